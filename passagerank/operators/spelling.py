@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passagerank.operators.sizing import lookup_join, measure, skew_join
+from passagerank.operators.sizing import measure, skew_join
 
 MAX_EDITS = 2
 _PIECES = MAX_EDITS + 1
@@ -97,9 +97,11 @@ def spell_correct(topics: DataFrame, term_stats: DataFrame, prepare=None) -> Dat
     if measure(distinct).small:
         known = vocabulary.join(F.broadcast(distinct), "word", "left_semi").select("word")
         unknown = distinct.join(known, "word", "left_anti")
+        # no more corrections than distinct words, which were measured
+        fixed = words.join(F.broadcast(corrections(unknown, term_stats)), "word", "left")
     else:
         unknown = distinct.join(vocabulary, "word", "left_anti")
-    fixed = lookup_join(words, corrections(unknown, term_stats), ["word"], "left")
+        fixed = skew_join(words, corrections(unknown, term_stats), ["word"], "left")
     rejoined = fixed.groupBy("qid").agg(
         F.array_sort(
             F.collect_list(F.struct("at", F.coalesce("term", "original").alias("w")))
