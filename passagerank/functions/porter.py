@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Executors need no copy of this package: the functions travel with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -144,13 +145,13 @@ class _Memo(dict):
         return stem
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def stem_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for words in batches:
         yield words.map(porter, na_action="ignore")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def stem_arrays(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     memo = _Memo()
     for arrays in batches:

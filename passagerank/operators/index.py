@@ -27,6 +27,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from passagerank.functions.porter import stem_words
 from passagerank.functions.text import STOPWORDS, tokens, with_term_groups
 from passagerank.functions.weighting import Collection
 from passagerank.operators.sizing import lookup_join
@@ -80,6 +81,11 @@ def tokenize_flat(df: DataFrame, column: str, stemmer: str | None = "porter",
     return exploded.filter(F.col("term").isNotNull())
 
 
+def stem_vocabulary(vocabulary: DataFrame, column: str = "term") -> DataFrame:
+    """``(term, stem)`` of a vocabulary: every word is stemmed once."""
+    return vocabulary.select(column, stem_words(column).alias("stem"))
+
+
 def document_terms(corpus: DataFrame, stemmer: str | None = "porter",
                    stopwords: tuple[str, ...] = STOPWORDS) -> DataFrame:
     """Corpus with ``dl`` and ``terms``; narrow, no exchange."""
