@@ -9,6 +9,7 @@ from passagerank.operators.index import Index
 from passagerank.operators.ranking import top_k
 from passagerank.operators.search import search
 from passagerank.operators.sizing import measure, skew_join
+from passagerank.operators.workspace import cut
 
 
 def feedback_terms(run: DataFrame, index: Index) -> DataFrame:
@@ -49,10 +50,12 @@ def offer_weight(r: Column, big_r: Column, n: Column, big_n: Column) -> Column:
 def offer_weights(feedback: DataFrame, index: Index, feedback_k: int) -> DataFrame:
     """``(qid, term, r, n, weight)``; terms the index does not know fall out."""
     stats = index.term_stats.select("term", F.col("df").alias("n"))
-    if measure(feedback).small:
-        joined = stats.join(F.broadcast(feedback), "term")
+    if measure(stats).small:
+        joined = feedback.join(F.broadcast(stats), "term")
     else:
-        joined = skew_join(feedback, stats, ["term"])
+        feedback = cut(feedback)  # measured, then joined: written once instead of worked out again
+        small = measure(feedback).small
+        joined = stats.join(F.broadcast(feedback), "term") if small else skew_join(feedback, stats, ["term"])
     r, n = F.col("r").cast("double"), F.col("n").cast("double")
     weight = offer_weight(
         r, F.lit(float(feedback_k)), n, F.lit(float(index.collection.n_docs))
@@ -80,7 +83,7 @@ def expand_queries(
 
     As in the original procedure R is the feedback depth, even where fewer documents were found.
     """
-    run = search(topics, index, k=feedback_k, **search_options)
+    run = cut(search(topics, index, k=feedback_k, **search_options))
     fresh = drop_query_terms(feedback_terms(run, index), topics, index)
     best = expansion_terms(offer_weights(fresh, index, feedback_k), n)
     tails = best.groupBy("qid").agg(

@@ -35,7 +35,7 @@ def features(
     wanted = list(dict.fromkeys([first_stage, *names]))
     scores = [Score(name, wm.FEATURES[name](index.collection)) for name in wanted]
     totals = scored(topics, index, scores)
-    best = top_k(totals, ["qid"], [F.col(first_stage).desc(), F.col("doc_id")], k)
+    best = top_k(totals, ["qid"], [F.col(first_stage).desc(), F.col("doc_id")], k, tasks=index.shards)
     return best.select(
         "qid", "doc_id", "rank",
         wm.unfixed(F.col(first_stage)).alias("score"),

@@ -30,7 +30,12 @@ from pyspark.sql import functions as F
 from passagerank.functions.porter import stem_words
 from passagerank.functions.text import STOPWORDS, tokens, with_term_groups
 from passagerank.functions.weighting import Collection
-from passagerank.operators.sizing import lookup_join
+from passagerank.operators.sizing import lookup_join, measure, skew_join
+
+# One shard holds about this much text; with 16 term slots its files stay near 100 MB.
+SHARD_BYTES = 2 << 30
+# Catalyst's own upper limit on buckets.
+MAX_SHARDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -154,16 +159,13 @@ def top_terms(docs: DataFrame, n: int = 10, out: str = "top_terms") -> DataFrame
 
 
 def fetch_docs(run: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Stored text of every hit.  The run moves to the documents unless it is the bigger side."""
-    return corpus.select("doc_id", "text").join(_small_first(run), "doc_id").select(
-        *run.columns, "text"
-    )
-
-
-def _small_first(df: DataFrame) -> DataFrame:
-    from passagerank.operators.sizing import measure
-
-    return F.broadcast(df) if measure(df).small else df
+    """Stored text of every hit.  A small run moves to the documents; a document in very many rankings is salted."""
+    texts = corpus.select("doc_id", "text")
+    if measure(run).small:
+        joined = texts.join(F.broadcast(run), "doc_id")
+    else:
+        joined = skew_join(run, texts, ["doc_id"])
+    return joined.select(*run.columns, "text")
 
 
 # ------------------------------------------------------------------ storage
@@ -180,12 +182,13 @@ def build_index(
 ) -> Index:
     """Build and store an index of ``corpus(doc_id, text)`` under ``path``; the path must be new.
 
-    ``shards`` sets the files per term slot and the tasks of a search: for a
-    large corpus about one per 200 MB of postings times ``term_slots``.
+    ``shards`` sets the files per term slot and the tasks of a search.  By
+    default it follows the estimated size of the corpus, and is never below the
+    session's shuffle partitions.
     """
     spark = corpus.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     corpus = corpus.select("doc_id", "text")
+    shards = shards or _default_shards(corpus)
     docs = document_terms(corpus.repartition(shards, "doc_id"), stemmer, STOPWORDS if stopwords else ())
     if not keep_text:
         docs = docs.drop("text")
@@ -219,6 +222,12 @@ def build_index(
     return open_index(spark, path)
 
 
+def _default_shards(corpus: DataFrame) -> int:
+    estimate = int(str(corpus._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MAX_SHARDS, estimate // SHARD_BYTES))
+
+
 def open_index(spark: SparkSession, path: str) -> Index:
     """Open a stored index; fails when the build never committed."""
     coll = spark.read.parquet(f"{path}/coll")

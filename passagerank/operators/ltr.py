@@ -36,35 +36,48 @@ def lambda_gradients(
     blocks and sums their pairs as a matrix.  A usual query is one block; a huge
     one becomes many tasks of equal, bounded size.
     """
-    bounded = depth is not None and depth <= group_rows
     rows = scored.select("qid", "doc_id", "label", "score")
-    placed = row_numbers(rows, ["qid"], [F.col("score").desc(), F.col("doc_id")], "pos", bounded, group_rows)
-    gained = rows.filter(F.col("label") > 0)
+    summed = _gradients(with_ideal(rows, depth, group_rows), block_rows, depth, group_rows)
+    out = rows.select("qid", "doc_id").join(summed, ["qid", "doc_id"], "left")
+    return out.select(
+        "qid", "doc_id",
+        F.coalesce("grad", F.lit(0.0)).alias("grad"),
+        F.coalesce("hess", F.lit(0.0)).alias("hess"),
+    )
+
+
+def with_ideal(rows: DataFrame, depth: int | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Add what depends on the labels alone: size and best DCG of the query.
+
+    Queries without a relevant row have no pair and fall out.
+    """
+    bounded = depth is not None and depth <= group_rows
+    gained = rows.select("qid", "doc_id", "label").filter(F.col("label") > 0)
     best = row_numbers(gained, ["qid"], [F.col("label").desc(), F.col("doc_id")], "place", bounded, group_rows)
     gain = F.pow(F.lit(2.0), F.col("label")) - 1
     ideal = best.groupBy("qid").agg(F.sum(gain / F.log2(F.col("place") + 1)).alias("max_dcg"))
-    sizes = rows.groupBy("qid").agg(F.count(F.lit(1)).alias("__n")).join(ideal, "qid")
-    ranked = lookup_join(placed, sizes, ["qid"])
-    block = F.floor((F.col("pos") - 1) / block_rows)
-    blocks = F.floor((F.col("__n") - 1) / block_rows)
+    sizes = rows.groupBy("qid").agg(F.count(F.lit(1)).alias("n_rows")).join(ideal, "qid")
+    return lookup_join(rows, sizes, ["qid"])
+
+
+def _gradients(rows: DataFrame, block_rows: int, depth: int | None, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Gradients of the rows of ``with_ideal`` that stand in a pair."""
+    bounded = depth is not None and depth <= group_rows
+    wanted = rows.select("qid", "doc_id", "label", "score", "n_rows", "max_dcg")
+    placed = row_numbers(wanted, ["qid"], [F.col("score").desc(), F.col("doc_id")], "pos", bounded, group_rows)
+    blocks = F.floor((F.col("n_rows") - 1) / block_rows)
     pairs = (
-        ranked.withColumn("rank", F.col("pos") - 1)
-        .withColumn("block", block)
+        placed.withColumn("rank", F.col("pos") - 1)
+        .withColumn("block", F.floor(F.col("rank") / block_rows))
         .withColumn("__other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks)))
         .withColumn("lo", F.least("block", "__other"))
         .withColumn("hi", F.greatest("block", "__other"))
         .select("qid", "doc_id", "label", "score", "rank", "block", "lo", "hi", "max_dcg")
     )
-    types = {f.name: f.dataType.simpleString() for f in scored.schema.fields}
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = GRADIENT_SCHEMA.format(qid=types["qid"], doc=types["doc_id"])
     partial = pairs.groupBy("qid", "lo", "hi").applyInPandas(block_gradients, schema)
-    summed = partial.groupBy("qid", "doc_id").agg(F.sum("grad").alias("grad"), F.sum("hess").alias("hess"))
-    out = rows.select("qid", "doc_id").join(summed, ["qid", "doc_id"], "left")
-    return out.select(
-        "qid", "doc_id",
-        F.coalesce("grad", F.lit(0.0)).alias("grad"),
-        F.coalesce("hess", F.lit(0.0)).alias("hess"),
-    )
+    return partial.groupBy("qid", "doc_id").agg(F.sum("grad").alias("grad"), F.sum("hess").alias("hess"))
 
 
 def assemble(df: DataFrame, names: list[str], out: str = "__features") -> DataFrame:
@@ -153,17 +166,15 @@ def train_lambdamart(
     ``sum grad / sum hess``, so no separate pass sets leaf values.  A depth of
     three gives at most eight leaves.  Scores are checkpointed every round.
     """
-    state = cut(
-        assemble(train, names).select("qid", "doc_id", "label", "__features", F.lit(0.0).alias("score"))
-    )
-    check = None
-    if valid is not None:
-        check = cut(
-            assemble(valid, names).select("qid", "doc_id", "label", "__features", F.lit(0.0).alias("score"))
-        )
+    def start(df: DataFrame) -> DataFrame:
+        kept = assemble(df, names).select("qid", "doc_id", "label", "__features", F.lit(0.0).alias("score"))
+        return cut(kept)
+
+    state = cut(with_ideal(start(train), depth))
+    check = start(valid) if valid is not None else None
     trees, history = [], []
     for i in range(rounds):
-        pulled = lambda_gradients(state, depth=depth).filter(F.col("hess") > 0)
+        pulled = _gradients(state, BLOCK_ROWS, depth).filter(F.col("hess") > 0)
         sample = state.join(pulled, ["qid", "doc_id"]).select(
             "__features", (F.col("grad") / F.col("hess")).alias("__target"), F.col("hess").alias("__weight")
         )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from passagerank.operators.workspace import cut
 GROUP_ROWS = 1_000_000
 # Catalyst cuts a row_number filter before and after the exchange up to this depth.
 WINDOW_LIMIT = 1_000
+MERGE_ROWS = 4_000_000
 
 
 def running_in_group(
@@ -28,18 +31,19 @@ def running_in_group(
     range-partitioned on the full order, summed per range, and every range
     gets the totals of the ranges before it.
     """
-    if bounded or _largest(df, keys) <= group_rows:
+    largest, total = (0, 0) if bounded else _group_sizes(df, keys)
+    if largest <= group_rows:
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(e).over(window).alias(n) for n, e in sums.items()])
-    return _running_by_range(df, keys, order, sums, group_rows)
+    return _running_by_range(df, keys, order, sums, max(2, -(-2 * total // group_rows)))
 
 
-def _largest(df: DataFrame, keys: list[str]) -> int:
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def _group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    row = df.groupBy(*keys).count().agg(F.max("count").alias("m"), F.sum("count").alias("t")).first()
+    return row["m"] or 0, row["t"] or 0
 
 
-def _running_by_range(df, keys, order, sums, group_rows):
-    ranges = max(2, -(-2 * df.count() // group_rows))
+def _running_by_range(df, keys, order, sums, ranges):
     inputs = {f"__in_{n}": e for n, e in sums.items()}
     ranged = df.select("*", *[e.alias(n) for n, e in inputs.items()])
     ranged = ranged.repartitionByRange(ranges, *[F.col(k) for k in keys], *order)
@@ -76,14 +80,22 @@ def row_numbers(
     return out.withColumn(name, F.col(name).cast("bigint"))
 
 
-def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str = "rank") -> DataFrame:
+def top_k(
+    df: DataFrame, keys: list[str], order: list[Column], k: int, name: str = "rank", tasks: int = 0
+) -> DataFrame:
     """The first ``k`` rows of every group with a 0-based position.
 
-    Each task keeps at most ``k`` rows per group before the exchange.  Deeper
-    cuts than Catalyst prunes get that step written out, over 256 slices of a group.
+    Each task keeps at most ``k`` rows per group before the exchange.  Where
+    ``tasks`` of them would still send one group millions of rows, they are
+    merged in two rounds.  Deeper cuts than Catalyst prunes inside a task are
+    first made in 256 slices of a group.
     """
+    slot = None
     if k > WINDOW_LIMIT:
         slot = F.pmod(F.xxhash64(*df.columns), F.lit(256))
+    elif k * tasks > MERGE_ROWS:
+        slot = F.spark_partition_id() % math.isqrt(tasks)
+    if slot is not None:
         inner = Window.partitionBy(*keys, "__slot").orderBy(*order)
         df = (
             df.withColumn("__slot", slot)

@@ -39,8 +39,10 @@ def matches(topics: DataFrame, index: Index) -> DataFrame:
         postings = postings.filter(F.col("term_slot").isin(*slots)).drop("term_slot")
         terms = stats.drop("term_slot").join(F.broadcast(wanted.drop("term_slot")), "term")
         return postings.join(F.broadcast(terms), "term")
-    terms = skew_join(wanted, stats, ["term_slot", "term"])
-    return skew_join(postings, terms, ["term_slot", "term"]).drop("term_slot")
+    keys = ["term_slot", "term"]
+    terms = skew_join(wanted, stats, keys)
+    known = stats.select(*keys, F.col("df").alias("count"))
+    return skew_join(postings, terms, keys, counts=known).drop("term_slot")
 
 
 @dataclass(frozen=True)
@@ -77,7 +79,7 @@ def search_with_scores(
     """
     weight = wm.bm25_search(index.collection, k1, b, length_norm)
     totals = scored(topics, index, [Score("total", weight)])
-    best = top_k(totals, ["qid"], [F.col("total").desc(), F.col("doc_id")], k)
+    best = top_k(totals, ["qid"], [F.col("total").desc(), F.col("doc_id")], k, tasks=index.shards)
     return best.select("qid", "doc_id", "rank", wm.unfixed(F.col("total")).alias("score"))
 
 
@@ -89,7 +91,7 @@ def search(topics: DataFrame, index: Index, k1: float = 0.9, b: float = 0.4, k:
 
 def search_one(spark: SparkSession, query: str, index: Index, k: int = 10, **options) -> DataFrame:
     """One ad-hoc query."""
-    topic = spark.createDataFrame([("q", query)], "qid STRING, query STRING")
+    topic = spark.range(1).select(F.lit("q").alias("qid"), F.lit(query).alias("query"))
     return search_with_scores(topic, index, k=k, **options).drop("qid")
 
 

@@ -6,12 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 << 20
 HOT_ROWS = 2_000_000
 HOT_KEYS = 2_000
-SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -43,17 +43,22 @@ def measure(df: DataFrame, *extra) -> Size:
     return Size(row["n"], row["b"] or 0, row)
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list[Row]:
-    """Keys with more rows than one task should hold.
+def hot_keys(
+    df: DataFrame, keys: list[str], hot_rows: int | None = None, counts: DataFrame | None = None
+) -> list[Row]:
+    """Keys with more rows than one task should hold, with their ``count``.
 
     The threshold rises with the total, so at most ``HOT_KEYS`` keys come back.
+    ``counts(keys, count)`` may be given where an index knows them already.
     """
-    counts = df.groupBy(*keys).count()
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    if counts is None:
+        counts = df.groupBy(*keys).count()
     biggest = counts.agg(F.max("count").alias("m"), F.sum("count").alias("t")).first()
     if not biggest["m"] or biggest["m"] <= hot_rows:
         return []
     floor = max(hot_rows, biggest["t"] // HOT_KEYS)
-    return counts.filter(F.col("count") > floor).select(*keys).collect()
+    return counts.filter(F.col("count") > floor).select(*keys, "count").collect()
 
 
 def skew_join(
@@ -61,26 +66,28 @@ def skew_join(
     right: DataFrame,
     keys: list[str],
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    hot_rows: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Shuffle join in which the rows of a hot left key are spread over ``salts`` tasks.
+    """Shuffle join in which the rows of a hot left key are spread over as many tasks as they fill.
 
     Only the right rows of hot keys are replicated.  ``left`` keeps every row,
     so ``how`` may be inner, left, left_semi or left_anti.
     """
-    hot = hot_keys(left, keys, hot_rows)
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    hot = hot_keys(left, keys, hot_rows, counts)
     if not hot:
         return left.join(right, keys, how)
     spark = left.sparkSession
-    schema = left.select(*keys).schema
-    marks = F.broadcast(spark.createDataFrame(hot, schema).withColumn("__hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns if not _is_map(left, c)]), F.lit(salts))
-    a = left.join(marks, keys, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), spread.cast("int")).otherwise(F.lit(0))
-    ).drop("__hot")
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    b = right.join(marks, keys, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
+    most = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = [(*[r[k] for k in keys], min(most, -(-r["count"] // hot_rows))) for r in hot]
+    schema = left.select(*keys).schema.add("__salts", T.IntegerType())
+    marks = F.broadcast(spark.createDataFrame(rows, schema))
+    hashable = [f.name for f in left.schema.fields if not f.dataType.simpleString().startswith("map")]
+    salt = F.coalesce(F.pmod(F.xxhash64(*hashable), F.col("__salts").cast("bigint")), F.lit(0))
+    a = left.join(marks, keys, "left").withColumn("__salt", salt).drop("__salts")
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("__salts", F.lit(1)).cast("bigint") - 1)
+    b = right.join(marks, keys, "left").withColumn("__salt", F.explode(copies)).drop("__salts")
     return a.join(b, [*keys, "__salt"], how).drop("__salt")
 
 
@@ -89,7 +96,3 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     if measure(right).small:
         return left.join(F.broadcast(right), keys, how)
     return skew_join(left, right, keys, how)
-
-
-def _is_map(df: DataFrame, column: str) -> bool:
-    return df.schema[column].dataType.simpleString().startswith("map")

@@ -18,46 +18,39 @@ MAX_EDITS = 2
 _PIECES = MAX_EDITS + 1
 
 
-def _piece_start(length: Column, i: int | Column) -> Column:
+def _piece_start(length: Column, i: Column) -> Column:
     """0-based start of piece ``i`` of a word cut into three nearly equal pieces."""
     return F.floor(length * i / _PIECES).cast("int")
 
 
-def _term_pieces(term: str) -> Column:
-    length = F.length(term)
-    return F.array(*[
-        F.struct(
-            length.alias("len"),
-            F.lit(i).alias("piece"),
-            F.substring(
-                F.col(term), _piece_start(length, i) + 1, _piece_start(length, i + 1) - _piece_start(length, i)
-            ).alias("text"),
-        )
-        for i in range(_PIECES)
-    ])
-
-
-def _word_pieces(word: str) -> Column:
-    """Substrings of a word that may equal a piece of a term of near length."""
-    length = F.length(word)
-
-    def of_length(d: int, i: int, shift: int) -> Column:
-        target = length + d
-        start = _piece_start(target, i) + shift
-        size = _piece_start(target, i + 1) - _piece_start(target, i)
-        fits = (target > 0) & (start >= 0) & (start + size <= length)
-        return F.when(
-            fits,
-            F.struct(
-                target.alias("len"),
-                F.lit(i).alias("piece"),
-                F.substring(F.col(word), start + 1, size).alias("text"),
-            ),
-        )
+def _each(values: range) -> Column:
+    return F.explode(F.array(*[F.lit(v) for v in values]))
 
+
+def term_pieces(terms: DataFrame) -> DataFrame:
+    """Three rows ``(len, piece, text)`` per term."""
+    length = F.length("term")
+    start, end = _piece_start(length, F.col("piece")), _piece_start(length, F.col("piece") + 1)
+    return terms.withColumn("piece", _each(range(_PIECES))).select(
+        "term", "df", length.alias("len"), "piece", F.substring("term", start + 1, end - start).alias("text")
+    )
+
+
+def word_pieces(words: DataFrame) -> DataFrame:
+    """Substrings of a word that may equal a piece of a term of near length: at most 75 per word."""
     edits = range(-MAX_EDITS, MAX_EDITS + 1)
-    candidates = [of_length(d, i, s) for d in edits for i in range(_PIECES) for s in edits]
-    return F.array_distinct(F.filter(F.array(*candidates), lambda c: c.isNotNull()))
+    placed = (
+        words.withColumn("longer", _each(edits))
+        .withColumn("len", F.length("word") + F.col("longer"))
+        .filter(F.col("len") > 0)
+        .withColumn("piece", _each(range(_PIECES)))
+        .withColumn("shift", _each(edits))
+        .withColumn("start", _piece_start(F.col("len"), F.col("piece")) + F.col("shift"))
+        .withColumn("size", _piece_start(F.col("len"), F.col("piece") + 1) - F.col("start") + F.col("shift"))
+        .filter((F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.length("word")))
+    )
+    cut = F.substring("word", F.col("start") + 1, F.col("size"))
+    return placed.select("word", "len", "piece", cut.alias("text")).distinct()
 
 
 def corrections(words: DataFrame, term_stats: DataFrame) -> DataFrame:
@@ -65,17 +58,15 @@ def corrections(words: DataFrame, term_stats: DataFrame) -> DataFrame:
 
     ``words`` are distinct and unknown to the vocabulary.
     """
-    probes = words.select("word", F.inline(_word_pieces("word")))
+    probes = word_pieces(words)
     keys = ["len", "piece", "text"]
     size = measure(probes, F.collect_set("len").alias("lens"))
     if size.small:
         # word lengths present are a handful of numbers: they let the vocabulary scan drop terms early
-        known = term_stats.filter(F.length("term").isin(*(size.extra["lens"] or [-1])))
-        pieces = known.select("term", "df", F.inline(_term_pieces("term")))
-        pairs = pieces.join(F.broadcast(probes), keys)
+        near = term_stats.filter(F.length("term").isin(*(size.extra["lens"] or [-1])))
+        pairs = term_pieces(near).join(F.broadcast(probes), keys)
     else:
-        pieces = term_stats.select("term", "df", F.inline(_term_pieces("term")))
-        pairs = skew_join(pieces, probes, keys)
+        pairs = skew_join(term_pieces(term_stats), probes, keys)
     distance = F.levenshtein("word", "term", MAX_EDITS)
     near = pairs.select("word", "term", "df", distance.alias("d")).filter(F.col("d") >= 0)
     best = F.min(F.struct("d", (-F.col("df")).alias("rarity"), "term"))

@@ -220,12 +220,12 @@ def ranking_arrays(t: Testbed) -> DataFrame:
 
 
 def _feedback(t: Testbed) -> DataFrame:
-    return expand.feedback_terms(search.rank_cutoff(t.run, DEPTH), t.index)
+    return t._stored("feedback", lambda: expand.feedback_terms(t.run, t.index))
 
 
 @query
 def feedback_terms(t: Testbed) -> DataFrame:
-    return _feedback(t)
+    return expand.feedback_terms(t.run, t.index)
 
 
 @query
