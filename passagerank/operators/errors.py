@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passagerank.operators.index import Index, top_terms
+from passagerank.operators.index import Index, select_docs, top_terms
 from passagerank.operators.ranking import GROUP_ROWS, row_numbers, running_in_group
 from passagerank.operators.sizing import lookup_join, measure, skew_join
 
@@ -100,8 +100,9 @@ def annotate_ranking(
     flag = (F.col("rating") >= min_rating).cast("int")
     bounded = depth is not None and depth <= group_rows
     walked = running_in_group(hits, ["qid"], [F.col("rank"), F.col("doc_id")], {"relevant_so_far": flag}, bounded, group_rows)
-    terms = top_terms(index.docs, n_terms)
-    if measure(walked).small:
+    small = measure(walked).small
+    terms = top_terms(select_docs(index.docs, walked) if small else index.docs, n_terms)
+    if small:
         return terms.join(F.broadcast(walked), "doc_id").select(*walked.columns, "top_terms")
     return skew_join(walked, terms, ["doc_id"])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passagerank.operators.index import Index
+from passagerank.operators.index import Index, select_docs
 from passagerank.operators.ranking import top_k
 from passagerank.operators.search import search
 from passagerank.operators.sizing import measure, skew_join
@@ -20,7 +20,7 @@ def feedback_terms(run: DataFrame, index: Index) -> DataFrame:
     hits = run.select("qid", "doc_id")
     vectors = index.docs.select("doc_id", F.col("terms.term").alias("vector"))
     if measure(hits).small:
-        joined = vectors.join(F.broadcast(hits), "doc_id")
+        joined = select_docs(vectors, hits).join(F.broadcast(hits), "doc_id")
     else:
         joined = skew_join(hits, vectors, ["doc_id"])
     flat = joined.select("qid", F.explode("vector").alias("term"))

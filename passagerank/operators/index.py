@@ -21,6 +21,8 @@ without another exchange.
 from __future__ import annotations
 
 import hashlib
+import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -36,6 +38,9 @@ from passagerank.operators.sizing import lookup_join, measure, skew_join
 SHARD_BYTES = 2 << 30
 # Catalyst's own upper limit on buckets.
 MAX_SHARDS = 100_000
+# So many terms, or ids, may stand as literals in a scan.
+LITERAL_TERMS = 200
+LITERAL_IDS = 5_000
 
 
 @dataclass(frozen=True)
@@ -133,12 +138,26 @@ def collection_stats(doc_stats: DataFrame) -> DataFrame:
     ).withColumn("avgdl", F.col("total_terms") / F.col("n_docs"))
 
 
+def select_docs(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` cut to the ids of ``ids`` where these are few enough to be literals of the scan.
+
+    Literal ids prune bucket files, and in a file sorted by id also pages.  With
+    many ids the scan stays whole; the join that follows does the selection.
+    """
+    kind = docs.schema["doc_id"].dataType
+    wanted = ids.select(F.col("doc_id").cast(kind).alias("doc_id"))
+    few = wanted.distinct().limit(LITERAL_IDS + 1).collect()
+    if len(few) > LITERAL_IDS:
+        return docs
+    return docs.filter(F.col("doc_id").isin([r["doc_id"] for r in few]))
+
+
 def doc_vector(docs: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """``(doc_id, vector MAP<term, tf>)`` of the given documents; ids may be of another type."""
     if ids is not None:
         kind = docs.schema["doc_id"].dataType
         wanted = ids.select(F.col("doc_id").cast(kind).alias("doc_id")).distinct()
-        docs = lookup_join(docs, wanted, ["doc_id"], "left_semi")
+        docs = lookup_join(select_docs(docs, wanted), wanted, ["doc_id"], "left_semi")
     entries = F.transform(
         "terms", lambda t: F.struct(t["term"].alias("key"), t["tf"].cast("bigint").alias("value"))
     )
@@ -162,7 +181,7 @@ def fetch_docs(run: DataFrame, corpus: DataFrame) -> DataFrame:
     """Stored text of every hit.  A small run moves to the documents; a document in very many rankings is salted."""
     texts = corpus.select("doc_id", "text")
     if measure(run).small:
-        joined = texts.join(F.broadcast(run), "doc_id")
+        joined = select_docs(texts, run).join(F.broadcast(run), "doc_id")
     else:
         joined = skew_join(run, texts, ["doc_id"])
     return joined.select(*run.columns, "text")
@@ -187,18 +206,25 @@ def build_index(
     session's shuffle partitions.
     """
     spark = corpus.sparkSession
+    if _committed(spark, path):
+        raise FileExistsError(f"{path} holds an index")
     corpus = corpus.select("doc_id", "text")
     shards = shards or _default_shards(corpus)
     docs = document_terms(corpus.repartition(shards, "doc_id"), stemmer, STOPWORDS if stopwords else ())
     if not keep_text:
         docs = docs.drop("text")
     id_type = corpus.schema["doc_id"].dataType.simpleString()
-    _write_bucketed(docs, f"{path}/docs", shards, "doc_id", "doc_id", None)
-    spec = _tables(path, id_type, keep_text, shards)
-    stored = _attach(spark, path, {"docs": spec["docs"]})
+    # data go to a folder of their own: a build that broke off is no obstacle to the next one
+    data = f"data-{uuid.uuid4().hex}"
+    root = f"{path}/{data}"
+    _write_bucketed(docs, f"{root}/docs", shards, "doc_id", "doc_id", None)
+    spec = _tables(root, id_type, keep_text, shards)
+    stored = _attach(spark, {"docs": spec["docs"]})
     postings = _explode_postings(stored["docs"]).withColumn("term_slot", term_slot("term", term_slots))
-    _write_bucketed(postings, f"{path}/postings", shards, "doc_id", "term", "term_slot")
-    stored = _attach(spark, path, spec)
+    # keep one task per bucket of documents, so that every (slot, bucket) is one sorted file
+    with _setting(spark, "spark.sql.sources.bucketing.autoBucketedScan.enabled", "false"):
+        _write_bucketed(postings, f"{root}/postings", shards, "doc_id", "term", "term_slot")
+    stored = _attach(spark, spec)
     slot = F.col("term_slot")
     counts = (
         stored["postings"].groupBy("term_slot", "term")
@@ -206,11 +232,12 @@ def build_index(
     )
     (
         counts.sortWithinPartitions(slot, "term")
-        .write.partitionBy("term_slot").mode("errorifexists").parquet(f"{path}/terms")
+        .write.partitionBy("term_slot").mode("errorifexists").parquet(f"{root}/terms")
     )
     stats = collection_stats(stored["docs"].select("doc_id", "dl"))
     stats = stats.select(
         "*",
+        F.lit(data).alias("data"),
         F.lit(stemmer).cast("string").alias("stemmer"),
         F.lit(stopwords).alias("stopwords"),
         F.lit(shards).alias("shards"),
@@ -232,8 +259,13 @@ def open_index(spark: SparkSession, path: str) -> Index:
     """Open a stored index; fails when the build never committed."""
     coll = spark.read.parquet(f"{path}/coll")
     row = coll.first()
-    tables = _attach(spark, path, _tables(path, row["id_type"], row["keep_text"], row["shards"]))
-    terms = spark.read.schema("term STRING, df BIGINT, cf BIGINT, term_slot INT").parquet(f"{path}/terms")
+    root = f"{path}/{row['data']}"
+    tables = _attach(spark, _tables(root, row["id_type"], row["keep_text"], row["shards"]))
+    terms = spark.read.schema("term STRING, df BIGINT, cf BIGINT, term_slot INT").parquet(f"{root}/terms")
+    # literal terms become exact page predicates only up to this many
+    threshold = "spark.sql.parquet.pushdown.inFilterThreshold"
+    if int(spark.conf.get(threshold)) < LITERAL_TERMS:
+        spark.conf.set(threshold, str(LITERAL_TERMS))
     return Index(
         docs=tables["docs"],
         postings=tables["postings"],
@@ -247,21 +279,26 @@ def open_index(spark: SparkSession, path: str) -> Index:
     )
 
 
-def open_or_build(corpus: DataFrame, path: str, **options) -> Index:
-    """Reuse a committed index, build it where there is none."""
+def _committed(spark: SparkSession, path: str) -> bool:
     try:
-        return open_index(corpus.sparkSession, path)
+        return not spark.read.parquet(f"{path}/coll").isEmpty()
     except AnalysisException as err:
         if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-    return build_index(corpus, path, **options)
+        return False
+
+
+def open_or_build(corpus: DataFrame, path: str, **options) -> Index:
+    """Reuse a committed index, build it where there is none."""
+    spark = corpus.sparkSession
+    return open_index(spark, path) if _committed(spark, path) else build_index(corpus, path, **options)
 
 
 _VECTOR = "ARRAY<STRUCT<term: STRING, tf: INT, positions: ARRAY<INT>>>"
 
 
-def _name(path: str, table: str) -> str:
-    return f"passagerank_{hashlib.md5(path.encode()).hexdigest()[:16]}_{table}"
+def _name(what: str, table: str) -> str:
+    return f"passagerank_{hashlib.md5(what.encode()).hexdigest()[:16]}_{table}"
 
 
 def _tables(path: str, id_type: str, keep_text: bool, shards: int) -> dict[str, str]:
@@ -275,11 +312,11 @@ def _tables(path: str, id_type: str, keep_text: bool, shards: int) -> dict[str,
     }
 
 
-def _attach(spark: SparkSession, path: str, spec: dict[str, str]) -> dict[str, DataFrame]:
+def _attach(spark: SparkSession, spec: dict[str, str]) -> dict[str, DataFrame]:
     """Name stored files in the session catalog so that scans know their bucketing."""
     out = {}
     for table, ddl in spec.items():
-        name = _name(path, table)
+        name = _name(ddl, table)
         if not spark.catalog.tableExists(name):
             spark.sql(f"CREATE TABLE {name} {ddl}")
         if table == "postings":
@@ -297,3 +334,13 @@ def _write_bucketed(df, path, shards, bucket, sort, slot):
         writer = writer.partitionBy(slot)
     writer.bucketBy(shards, bucket).sortBy(sort).saveAsTable(name)
     df.sparkSession.sql(f"DROP TABLE {name}")
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

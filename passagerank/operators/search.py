@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from passagerank.functions import weighting as wm
 from passagerank.functions.text import with_term_groups
-from passagerank.operators.index import Index, fetch_docs, term_slot
+from passagerank.operators.index import LITERAL_TERMS, Index, fetch_docs, term_slot
 from passagerank.operators.ranking import top_k
 from passagerank.operators.sizing import measure, skew_join
 
@@ -26,25 +26,37 @@ def matches(topics: DataFrame, index: Index) -> DataFrame:
     """Every posting of every query term, with ``qtf, df, cf`` beside ``tf, dl``.
 
     Query terms are measured first.  If small they are broadcast and only the
-    term slots they fall in are read; postings never move.  If not, postings
-    and query terms are joined by a shuffle whose hot terms are salted.
+    term slots they fall in are read; postings never move.  Few distinct terms
+    also stand as literals in the scan: files are sorted by term, so pages of
+    other terms are skipped.  Too many query terms for a broadcast are joined
+    by a shuffle whose hot terms are salted.
     """
     wanted = query_terms(topics, index).withColumn("term_slot", term_slot("term", index.term_slots))
     size = measure(wanted, F.collect_set("term_slot").alias("slots"))
     postings = index.postings.select("term_slot", "term", "doc_id", "tf", "dl")
     stats = index.term_stats
     if size.small:
-        slots = size.extra["slots"] or [-1]
-        stats = stats.filter(F.col("term_slot").isin(*slots))
-        postings = postings.filter(F.col("term_slot").isin(*slots)).drop("term_slot")
-        terms = stats.drop("term_slot").join(F.broadcast(wanted.drop("term_slot")), "term")
-        return postings.join(F.broadcast(terms), "term")
+        chosen = F.col("term_slot").isin(*(size.extra["slots"] or [-1]))
+        literals = _few_terms(wanted) if size.rows <= 10 * LITERAL_TERMS else None
+        if literals is not None:
+            chosen = chosen & F.col("term").isin(*literals)
+        stats = stats.filter(chosen).drop("term_slot")
+        terms = stats.join(F.broadcast(wanted.drop("term_slot")), "term")
+        return postings.filter(chosen).drop("term_slot").join(F.broadcast(terms), "term")
     keys = ["term_slot", "term"]
+    distinct = wanted.select("term").distinct()
+    if measure(distinct).small:
+        postings = postings.join(F.broadcast(distinct), "term", "left_semi")
     terms = skew_join(wanted, stats, keys)
     known = stats.select(*keys, F.col("df").alias("count"))
     return skew_join(postings, terms, keys, counts=known).drop("term_slot")
 
 
+def _few_terms(wanted: DataFrame) -> list[str] | None:
+    few = wanted.select("term").distinct().limit(LITERAL_TERMS + 1).collect()
+    return [r["term"] for r in few] if len(few) <= LITERAL_TERMS else None
+
+
 @dataclass(frozen=True)
 class Score:
     """A sum of per-term weights as an exact integer."""

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 32 << 20
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 2_000_000
 HOT_KEYS = 2_000
 

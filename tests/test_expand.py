@@ -61,7 +61,7 @@ def edits(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("limit", [500_000, 1])
+@pytest.mark.parametrize("limit", [1_000_000, 1])
 def test_corrections_against_all_pairs(spark, monkeypatch, limit):
     import random
 

@@ -50,8 +50,8 @@ def test_hot_keys_are_bounded(skewed):
 
 
 def test_measure_stops_early(spark):
-    size = measure(spark.range(600_000))
-    assert not size.small and size.rows == 500_001
+    size = measure(spark.range(1_200_000))
+    assert not size.small and size.rows == 1_000_001
     assert measure(spark.range(10)).small
-    wide = spark.range(40).select(F.repeat(F.lit("x"), 1 << 20).alias("s"))
+    wide = spark.range(80).select(F.repeat(F.lit("x"), 1 << 20).alias("s"))
     assert not measure(wide).small
