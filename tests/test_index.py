@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import DOCS
 
@@ -45,10 +47,41 @@ def test_open_or_build_reuses(spark, corpus, tmp_path):
     first = ix.open_or_build(corpus, path, shards=2, term_slots=2)
     again = ix.open_or_build(corpus.limit(1), path)
     assert again.collection == first.collection and again.stemmer == "porter" and again.shards == 2
-    with pytest.raises(Exception, match="(?i)exist"):
+    with pytest.raises(FileExistsError):
         ix.build_index(corpus, path, shards=2)
 
 
+def test_a_broken_build_is_no_obstacle(spark, corpus, tmp_path, monkeypatch):
+    path = str(tmp_path / "b")
+    with monkeypatch.context() as m:
+        m.setattr(ix, "collection_stats", lambda df: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ix.build_index(corpus, path, stemmer=None, shards=2, term_slots=2)
+    assert not ix._committed(spark, path)
+    assert ix.open_or_build(corpus, path, stemmer=None, shards=2, term_slots=2).collection.n_docs == 7
+
+
+def test_one_sorted_file_per_slot_and_bucket(spark, corpus, tmp_path):
+    ix.build_index(corpus, str(tmp_path / "f"), stemmer=None, shards=2, term_slots=3)
+    files = list((tmp_path / "f").glob("data-*/postings/term_slot=*/*.parquet"))
+    assert 3 <= len(files) <= 6
+    for file in files:
+        terms = [r.term for r in spark.read.parquet(str(file)).collect()]
+        assert terms == sorted(terms)
+
+
+def test_few_ids_are_literals_of_the_scan(spark, index, monkeypatch):
+    ids = spark.createDataFrame([(1,), (7,)], "doc_id BIGINT")
+    counted = ix.select_docs(index.docs, ids).groupBy("doc_id").count()
+    plan = counted._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "PushedFilters: [In(doc_id, [1,7])]" in plan
+    assert re.search("SelectedBucketsCount: [12] out of 3", plan)
+    monkeypatch.setattr(ix, "LITERAL_IDS", 1)
+    assert ix.select_docs(index.docs, ids) is index.docs
+
+
 def test_string_ids_and_no_text(spark, corpus, tmp_path):
     named = corpus.selectExpr("concat('d', doc_id) AS doc_id", "text")
     built = ix.build_index(named, str(tmp_path / "s"), stemmer=None, shards=2, term_slots=2, keep_text=False)

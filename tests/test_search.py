@@ -106,6 +106,16 @@ def test_search_plan(index, topics):
     assert "PartitionFilters: [term_slot" in plan
 
 
+def test_terms_are_literals_only_while_few(index, topics, monkeypatch):
+    def plan():
+        return se.search_with_scores(topics, index)._jdf.queryExecution().executedPlan().toString()
+
+    assert "In(term" in plan()
+    monkeypatch.setattr(se, "LITERAL_TERMS", 2)
+    assert "In(term" not in plan()
+    check(se.search_with_scores(topics, index), topics)
+
+
 def test_search_one_and_arrays(spark, index, topics):
     top = se.search_one(spark, "red car", index, k=1).collect()
     assert [(r.doc_id, r.rank) for r in top] == [(brute([(1, "red car")])[1][0][0], 0)]
