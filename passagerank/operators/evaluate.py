@@ -201,10 +201,11 @@ def eval_counts(judged: Judged) -> DataFrame:
 def eval_gm_map(judged: Judged) -> DataFrame:
     """Geometric mean of average precision, floored at 1e-5."""
     table = per_query(judged, ("map",))
-    floored = F.greatest(F.col("map"), F.lit(GM_FLOOR))
-    return table.groupBy(*[k for k in judged.keys if k != "qid"]).agg(
-        F.exp(F.avg(F.log(floored))).alias("gm_map")
-    )
+    return table.groupBy(*[k for k in judged.keys if k != "qid"]).agg(_geometric_mean().alias("gm_map"))
+
+
+def _geometric_mean() -> Column:
+    return F.exp(F.avg(F.log(F.greatest(F.col("map"), F.lit(GM_FLOOR)))))
 
 
 def _single(name: str):
@@ -227,18 +228,20 @@ eval_ndcg = _single("ndcg")
 
 
 def report(judged: Judged, measures: tuple[str, ...] = OFFICIAL) -> DataFrame:
-    """The evaluator's report: one (measure, value) row each, counts and means."""
-    counts = eval_counts(judged)
-    means = summary(judged, measures)
-    gm = eval_gm_map(judged)
-    parts = [
-        df.select(F.explode(F.map_from_arrays(
-            F.array(*[F.lit(c) for c in df.columns]),
-            F.array(*[F.col(c).cast("double") for c in df.columns]),
-        )).alias("measure", "value"))
-        for df in (counts, means, gm)
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """The evaluator's report: one (measure, value) row each, counts and means, from one pass over the run."""
+    table = per_query(judged, ("counts", *dict.fromkeys(("map", *measures))))
+    means = [n for m in measures for n, _, _ in _measures(m)]
+    values = {
+        "num_q": F.count(F.lit(1)),
+        "num_ret": F.sum("num_ret"),
+        "num_rel": F.sum("R"),
+        "num_rel_ret": F.sum("num_rel_ret"),
+        "gm_map": _geometric_mean(),
+        **{n: F.avg(n) for n in means},
+    }
+    systems = [k for k in judged.keys if k != "qid"]
+    wide = table.groupBy(*systems).agg(*[v.cast("double").alias(n) for n, v in values.items()])
+    return wide.unpivot(systems, list(values), "measure", "value")
 
 
 def experiment(

@@ -38,9 +38,9 @@ from passagerank.operators.sizing import lookup_join, measure, skew_join
 SHARD_BYTES = 2 << 30
 # Catalyst's own upper limit on buckets.
 MAX_SHARDS = 100_000
-# So many terms, or ids, may stand as literals in a scan.
+# So many terms, or ids, may stand as literals in a scan: more cost the planner more than they save.
 LITERAL_TERMS = 200
-LITERAL_IDS = 5_000
+LITERAL_IDS = 200
 
 
 @dataclass(frozen=True)

@@ -1,5 +1,5 @@
 """Whole procedures: batch BM25, learning to rank, re-ranking, evaluation."""
 
-from passagerank.plans.batch import bm25_batch, evaluate_run, ltr_pipeline, rerank_batch
+from passagerank.plans.batch import bm25_batch, evaluate_run, ltr_batch, rerank_batch
 
-__all__ = ["bm25_batch", "evaluate_run", "ltr_pipeline", "rerank_batch"]
+__all__ = ["bm25_batch", "evaluate_run", "ltr_batch", "rerank_batch"]

@@ -44,7 +44,7 @@ def bm25_batch(
     return run
 
 
-def ltr_pipeline(
+def ltr_batch(
     spark: SparkSession,
     index: Index,
     train: tuple[DataFrame, DataFrame],

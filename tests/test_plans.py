@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from passagerank.operators.rerank import coverage
-from passagerank.plans import bm25_batch, evaluate_run, ltr_pipeline, rerank_batch
+from passagerank.plans import bm25_batch, evaluate_run, ltr_batch, rerank_batch
 from passagerank.sources.readers import read_run_trec
 
 
@@ -28,10 +28,10 @@ def test_batch_with_spelling_and_expansion(spark, index):
 
 
 @pytest.mark.parametrize("algorithm", ["LAMBDAMART", "RANDOMFOREST"])
-def test_ltr_pipeline(spark, index, topics, qrels, tmp_path, algorithm):
+def test_ltr_batch(spark, index, topics, qrels, tmp_path, algorithm):
     ordered = topics.withColumn("seq", F.col("qid"))
     options = {"rounds": 1, "min_rows_in_leaf": 1} if algorithm == "LAMBDAMART" else {"n_trees": 2, "max_depth": 3}
-    model, run = ltr_pipeline(
+    model, run = ltr_batch(
         spark, index, (ordered, qrels), (ordered, qrels), ordered, algorithm, k=10,
         model_folder=str(tmp_path / "models"), out=str(tmp_path / "run"), judged_only=True, **options,
     )
@@ -44,7 +44,7 @@ def test_ltr_pipeline(spark, index, topics, qrels, tmp_path, algorithm):
 def test_unknown_algorithm(spark, index, topics, qrels):
     ordered = topics.withColumn("seq", F.col("qid"))
     with pytest.raises(ValueError, match="LAMBDAMART or RANDOMFOREST"):
-        ltr_pipeline(spark, index, (ordered, qrels), (ordered, qrels), ordered, "SVM", k=2)
+        ltr_batch(spark, index, (ordered, qrels), (ordered, qrels), ordered, "SVM", k=2)
 
 
 def test_rerank_and_evaluate(spark, index, topics, qrels, tmp_path):
