@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from passagerank.functions.weighting import fixed
 from passagerank.operators.index import Index, select_docs
 from passagerank.operators.ranking import top_k
 from passagerank.operators.search import search
@@ -68,7 +69,7 @@ def expansion_terms(weights: DataFrame, n: int = 10) -> DataFrame:
 
     Weights are compared to nine decimals, so the last bits of a logarithm decide nothing.
     """
-    order = [F.round("weight", 9).desc(), F.col("term")]
+    order = [fixed(F.col("weight")).desc(), F.col("term")]
     return top_k(weights, ["qid"], order, n)
 
 

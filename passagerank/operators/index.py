@@ -36,6 +36,7 @@ from passagerank.operators.sizing import lookup_join, measure, skew_join
 
 # One shard holds about this much text; with 16 term slots its files stay near 100 MB.
 SHARD_BYTES = 2 << 30
+LEAST_SHARD_BYTES = 64 << 20
 # Catalyst's own upper limit on buckets.
 MAX_SHARDS = 100_000
 # So many terms, or ids, may stand as literals in a scan: more cost the planner more than they save.
@@ -201,9 +202,8 @@ def build_index(
 ) -> Index:
     """Build and store an index of ``corpus(doc_id, text)`` under ``path``; the path must be new.
 
-    ``shards`` sets the files per term slot and the tasks of a search.  By
-    default it follows the estimated size of the corpus, and is never below the
-    session's shuffle partitions.
+    ``shards`` sets the files per term slot and the tasks of a search; by
+    default it follows the estimated size of the corpus.
     """
     spark = corpus.sparkSession
     if _committed(spark, path):
@@ -250,9 +250,10 @@ def build_index(
 
 
 def _default_shards(corpus: DataFrame) -> int:
+    """Shards by estimated size: all cores busy from 64 MB a shard on, never more than ``SHARD_BYTES`` each."""
     estimate = int(str(corpus._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    least = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(MAX_SHARDS, estimate // SHARD_BYTES))
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    return max(min(cores, 8), min(cores, estimate // LEAST_SHARD_BYTES), min(MAX_SHARDS, estimate // SHARD_BYTES))
 
 
 def open_index(spark: SparkSession, path: str) -> Index:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
@@ -21,6 +22,7 @@ from passagerank.operators.sizing import lookup_join
 from passagerank.operators.workspace import cut
 
 BLOCK_ROWS = 1024
+CUT_ROUNDS = 10
 
 
 def lambda_gradients(
@@ -164,7 +166,9 @@ def train_lambdamart(
     A tree is fitted to ``grad / hess`` with ``hess`` as weight: its variance gain
     is then the second-order gain ``G^2 / H`` and a leaf predicts the Newton step
     ``sum grad / sum hess``, so no separate pass sets leaf values.  A depth of
-    three gives at most eight leaves.  Scores are checkpointed every round.
+    three gives at most eight leaves.  Scores follow from the trees by narrow
+    steps, so they are checkpointed only every few rounds; the gradients of a
+    round are kept while its tree grows.
     """
     def start(df: DataFrame) -> DataFrame:
         kept = assemble(df, names).select("qid", "doc_id", "label", "__features", F.lit(0.0).alias("score"))
@@ -182,12 +186,17 @@ def train_lambdamart(
             featuresCol="__features", labelCol="__target", weightCol="__weight", predictionCol="__step",
             maxDepth=max_depth, maxBins=max_bins, minInstancesPerNode=min_rows_in_leaf, seed=seed + i,
         )
-        tree = learner.fit(cut(sample))
+        sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
+        tree = learner.fit(sample)
+        sample.unpersist()
         trees.append(tree)
         step = F.col("score") + F.lit(learning_rate) * F.col("__step")
-        state = cut(tree.transform(state).withColumn("score", step).drop("__step"))
+        state = tree.transform(state).withColumn("score", step).drop("__step")
+        if check is not None:
+            check = tree.transform(check).withColumn("score", step).drop("__step")
+        if (i + 1) % CUT_ROUNDS == 0:
+            state, check = cut(state), cut(check) if check is not None else None
         if check is not None:
-            check = cut(tree.transform(check).withColumn("score", step).drop("__step"))
             history.append({"round": i, **_ndcg(check, eval_at, depth)})
     return RankModel("lambdamart", list(names), trees, learning_rate, history)
 

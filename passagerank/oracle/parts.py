@@ -151,7 +151,7 @@ PARTS: dict[str, str] = {
         "SELECT qid, unnest(string_split(query, ' ')) AS word FROM topics)) WHERE term IS NOT NULL"
     ),
     "best": (
-        "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(weight, 9) DESC, term)-1 AS rank "
+        "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY floor(weight*1e9+0.5) DESC, term)-1 AS rank "
         "FROM weights WHERE NOT EXISTS (SELECT 1 FROM ownterm o WHERE o.qid = weights.qid AND o.term = weights.term)) "
         "WHERE rank < 10"
     ),
