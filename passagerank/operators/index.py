@@ -37,6 +37,8 @@ from passagerank.operators.sizing import lookup_join, measure, skew_join
 # One shard holds about this much text; with 16 term slots its files stay near 100 MB.
 SHARD_BYTES = 2 << 30
 LEAST_SHARD_BYTES = 64 << 20
+# A greater estimate is a guess (no statistics, or a product of two inputs): the text is measured instead.
+TRUSTED_BYTES = 1 << 50
 # Catalyst's own upper limit on buckets.
 MAX_SHARDS = 100_000
 # So many terms, or ids, may stand as literals in a scan: more cost the planner more than they save.
@@ -252,6 +254,8 @@ def build_index(
 def _default_shards(corpus: DataFrame) -> int:
     """Shards by estimated size: all cores busy from 64 MB a shard on, never more than ``SHARD_BYTES`` each."""
     estimate = int(str(corpus._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate > TRUSTED_BYTES:  # the planner does not know
+        estimate = corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cores = corpus.sparkSession.sparkContext.defaultParallelism
     return max(min(cores, 8), min(cores, estimate // LEAST_SHARD_BYTES), min(MAX_SHARDS, estimate // SHARD_BYTES))
 
