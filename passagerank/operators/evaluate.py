@@ -26,10 +26,14 @@ GM_FLOOR = 1e-5
 
 @dataclass(frozen=True)
 class Judged:
-    """Hits with position, rating and running counts; and what every judged query needs."""
+    """Hits with position, rating and running counts; and what every judged query needs.
+
+    ``ideal`` is joined only for measures of gain.
+    """
 
     rows: DataFrame
     needs: DataFrame
+    ideal: DataFrame
     keys: list[str] = field(default_factory=lambda: ["qid"])
 
 
@@ -67,27 +71,29 @@ def judge(
     sums = {"pos": F.lit(1), "rel_so_far": F.col("rel"), "nonrel_so_far": F.col("nonrel")}
     bounded = depth is not None and depth <= group_rows
     placed = running_in_group(counted, keys, _evaluator_order(), sums, bounded, group_rows)
-    needs = _needs(qrels, min_rating, ndcg_cutoffs)
-    with_needs = lookup_join(placed, needs.select("qid", "R", "M"), ["qid"])
-    return Judged(with_needs, needs, keys)
+    needs = _needs(qrels, min_rating)
+    return Judged(lookup_join(placed, needs, ["qid"]), needs, _ideal(qrels, ndcg_cutoffs), keys)
 
 
 def _gain(rating: Column) -> Column:
     return F.pow(F.lit(2.0), F.greatest(F.coalesce(rating, F.lit(0)), F.lit(0))) - 1
 
 
-def _needs(qrels: DataFrame, min_rating: int, cutoffs: tuple[int, ...]) -> DataFrame:
-    """Per judged query: relevant ``R``, non-relevant ``M``, ideal gain at every cut-off."""
-    counts = qrels.groupBy("qid").agg(
+def _needs(qrels: DataFrame, min_rating: int) -> DataFrame:
+    """Per judged query: relevant ``R`` and non-relevant ``M``."""
+    return qrels.groupBy("qid").agg(
         F.count(F.when(F.col("rating") >= min_rating, 1)).alias("R"),
         F.count(F.when(F.col("rating") < min_rating, 1)).alias("M"),
     )
+
+
+def _ideal(qrels: DataFrame, cutoffs: tuple[int, ...]) -> DataFrame:
+    """Per judged query: the gain of the best possible order at every cut-off."""
     best = top_k(qrels, ["qid"], [F.col("rating").desc(), F.col("doc_id")], max(cutoffs), "place")
     value = _gain(F.col("rating")) / F.log2(F.col("place") + 2)
-    ideal = best.groupBy("qid").agg(
+    return best.groupBy("qid").agg(
         *[F.sum(F.when(F.col("place") < k, value)).alias(f"ideal_{k}") for k in cutoffs]
     )
-    return counts.join(ideal, "qid")
 
 
 def _over_r(total: Column) -> Column:
@@ -165,7 +171,7 @@ def per_query(judged: Judged, measures: tuple[str, ...] = OFFICIAL, cutoffs: tup
     """One row per judged query (and system), every measure a column."""
     columns = [m for name in measures for m in _measures(name, cutoffs)]
     found = judged.rows.groupBy(*judged.keys).agg(*[agg.alias(f"__{n}") for n, agg, _ in columns])
-    base = judged.needs
+    base = judged.needs.join(judged.ideal, "qid") if "ndcg" in measures else judged.needs
     if systems:
         base = base.withColumn("name", F.explode(F.array(*[F.lit(s) for s in systems])))
     joined = base.join(found, judged.keys, "left")

@@ -22,7 +22,7 @@ from passagerank.sources import writers
 
 DEPTH = 100
 SEED = 42
-_indexes: dict[str, Index] = {}
+_indexes: dict[tuple[str, int], Index] = {}
 _written: set[str] = set()
 
 
@@ -65,9 +65,10 @@ class Testbed:
     def index(self) -> Index:
         """Unstemmed index, so that plain SQL can check every number."""
         path = f"{self.root}/index"
-        if path not in _indexes:
-            _indexes[path] = open_or_build(self.corpus, path, stemmer=None)
-        return _indexes[path]
+        key = (path, id(self.spark))
+        if key not in _indexes:
+            _indexes[key] = open_or_build(self.corpus, path, stemmer=None)
+        return _indexes[key]
 
     # -------------------------------------------------------------- topics
 
