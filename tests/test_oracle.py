@@ -4,9 +4,10 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry
+from passagerank.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-KEYS = list(entry.queries())
+KEYS = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
