@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagerank.llm import mixing, shards
+from passagerank.llm import mixing, shards, simhash, token_counts
 from passagerank.llm.shared import table
 
+#: Where the vocabulary files of public tokenizers lie; only the driver reads them.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign_shards(table(spark, sf_dir, "documents"), 24)
@@ -19,11 +23,23 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
+    "op5_token_counts": op5_token_counts,
+    "op8_simhash": op8_simhash,
     "op10_mixing": op10_mixing,
 }
