@@ -8,13 +8,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagerank.llm import mixing, shards, simhash, token_counts
+from passagerank.llm import chat, mixing, shards, simhash, token_counts, winnow
 from passagerank.llm.shared import table
 
 #: Where the vocabulary files of public tokenizers lie; only the driver reads them.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    rows = [(-1, 0, "user", probe), (-1, 1, "assistant", probe)]
+    extra = spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    return (
+        chat.format_conversations(given.unionByName(extra))
+        .withColumn("turns", chat.read_turns(F.col("formatted")))
+        .withColumn("loss", chat.learned_text(F.col("segments")))
+        .select(
+            "conv_id", F.size("turns").cast("long").alias("n_turns"),
+            F.sha2(
+                F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256
+            ).alias("turns_sha256"),
+            F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+            F.length("formatted").cast("long").alias("formatted_chars"),
+        )
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign_shards(table(spark, sf_dir, "documents"), 24)
     return placed.select(
@@ -33,13 +53,24 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.compare_with_next(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        winnow.shown(F.col("grams")).alias("fingerprint"), winnow.shown(F.col("edited_grams")).alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chat": op2_chat,
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
     "op8_simhash": op8_simhash,
+    "op9_winnowing": op9_winnowing,
     "op10_mixing": op10_mixing,
 }
