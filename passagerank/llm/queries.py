@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagerank.llm import chat, mixing, shards, simhash, token_counts, winnow
+from passagerank.llm import chat, mixing, quality, shards, simhash, token_counts, winnow
 from passagerank.llm.shared import table
 
 #: Where the vocabulary files of public tokenizers lie; only the driver reads them.
@@ -48,6 +48,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", *quality.ADDED)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat": op2_chat,
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
+    "op6_quality": op6_quality,
     "op8_simhash": op8_simhash,
     "op9_winnowing": op9_winnowing,
     "op10_mixing": op10_mixing,
