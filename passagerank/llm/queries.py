@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagerank.llm import chat, mixing, quality, shards, simhash, token_counts, winnow
+from passagerank.llm import chat, mixing, quality, shards, simhash, token_counts, toxicity, winnow
 from passagerank.llm.shared import table
 
 #: Where the vocabulary files of public tokenizers lie; only the driver reads them.
@@ -53,6 +53,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", *quality.ADDED)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -76,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
     "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_winnowing": op9_winnowing,
     "op10_mixing": op10_mixing,
