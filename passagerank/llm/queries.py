@@ -8,13 +8,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagerank.llm import chat, mixing, quality, shards, simhash, token_counts, toxicity, winnow
+from passagerank.llm import chat, mixing, pii, quality, shards, simhash, token_counts, toxicity, winnow
 from passagerank.llm.shared import table
 
 #: Where the vocabulary files of public tokenizers lie; only the driver reads them.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = pii.train_field(pii.labelled_examples(spark))
+    found = pii.find_spans(table(spark, sf_dir, "documents"), field)
+    exact = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform("exact", lambda s: s["kind"])
+    counts = [
+        (F.size("exact") - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
+    ]
+    return found.withColumn("exact", exact).select(
+        "doc_id", *counts, F.sha2(pii.listed(F.col("exact")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
@@ -80,6 +93,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_chat": op2_chat,
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
