@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from passagerank.llm.shared import stored, text_of
 
@@ -140,8 +141,8 @@ def measure_texts(texts: list[bytes], common: dict[bytes, int], n_common: int) -
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def measured(docs: DataFrame, doc_id: str, text: str, lang: str, common: dict[str, list[str]]) -> DataFrame:
-    """Base counts and both histograms of every document."""
+def measured(docs: DataFrame, kept: str, text: str, lang: str, common: dict[str, list[str]]) -> DataFrame:
+    """The column ``kept``, base counts and both histograms of every document."""
     names = sorted({w for words in common.values() for w in words})
     number = {w.encode(): i for i, w in enumerate(names)}
 
@@ -166,12 +167,12 @@ def measured(docs: DataFrame, doc_id: str, text: str, lang: str, common: dict[st
                 done += len(held)
                 columns = [part.column(0), part.column(1), *[pa.array(found[c]) for c in COUNTS]]
                 columns += [pa.array(list(found[h]), pa.list_(pa.int64())) for h in ("classes", "words")]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", *COUNTS, "classes", "words"])
+                yield pa.RecordBatch.from_arrays(columns, [kept, "lang", *COUNTS, "classes", "words"])
 
-    columns = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), text_of(text).alias("text"))
-    kind = columns.schema["doc_id"].dataType.simpleString()
+    columns = docs.select(F.col(kept).alias(kept), F.col(lang).cast("string").alias("lang"), text_of(text).alias("text"))
     longs = ", ".join(f"{c} bigint" for c in COUNTS)
-    return columns.mapInArrow(run, f"doc_id {kind}, lang string, {longs}, classes array<bigint>, words array<bigint>")
+    more = T.StructType.fromDDL(f"lang string, {longs}, classes array<bigint>, words array<bigint>")
+    return columns.mapInArrow(run, T.StructType([columns.schema[0], *more.fields]))
 
 
 def _sums(rows: DataFrame, n_words: int, known: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
@@ -207,8 +208,8 @@ def _distances(rows: DataFrame, references: dict) -> DataFrame:
     n_words = len(next(iter(references.values()))[1]) if references else 1
     if not references:
         return rows.select("*", *[F.lit(0.0).alias(a) for a in ADDED])
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + "".join(f", {a} double" for a in ADDED)
-    return rows.mapInArrow(run, schema)
+    more = [T.StructField(a, T.DoubleType()) for a in ADDED]
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *more]))
 
 
 ADDED = ["character_distance", "word_distance"]
@@ -223,18 +224,41 @@ def _far(limits: Limits):
     )
 
 
+def _failed():
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+
+
+def _references(rows: DataFrame, limits: Limits, common: dict[str, list[str]]) -> dict:
+    """References of the languages, summed twice: the second time without what is far from the first."""
+    n_words = len({w for words in common.values() for w in words}) + 1
+    passed, known = rows.filter(~F.col("base_failed")), sorted(common)
+    first = _sums(passed, n_words, known)
+    return {**first, **_sums(_distances(passed, first).filter(~_far(limits)), n_words, known)}
+
+
 def judge(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
     limits: Limits | None = None, common: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """Per row: ``doc_id``, base counts, ``base_failed``, both distances and ``kept``."""
     limits, common = limits or Limits(), common or COMMON
-    n_words = len({w for words in common.values() for w in words}) + 1
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    rows = stored(measured(docs, doc_id, text, lang, common).withColumn("base_failed", failed), "quality")
-    passed, known = rows.filter(~F.col("base_failed")), sorted(common)
-    first = _sums(passed, n_words, known)
-    second = _sums(_distances(passed, first).filter(~_far(limits)), n_words, known)
-    return _distances(rows, {**first, **second}).withColumn("kept", ~F.col("base_failed") & ~_far(limits)).drop(
-        "classes", "words", "lang"
-    )
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = stored(measured(rows, "doc_id", "text", "lang", common).withColumn("base_failed", _failed()), "quality")
+    found = _distances(rows, _references(rows, limits, common))
+    return found.withColumn("kept", ~F.col("base_failed") & ~_far(limits)).drop("classes", "words", "lang")
+
+
+def keep_good(
+    docs: DataFrame, text: str = "text", lang: str = "lang",
+    limits: Limits | None = None, common: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """The rows of ``docs`` that pass, with the columns they have.
+
+    Documents are measured a second time once the references are known, so no text is shuffled.
+    """
+    limits, common = limits or Limits(), common or COMMON
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = measured(whole, "row", "text", "lang", common).withColumn("base_failed", _failed())
+    references = _references(stored(rows.drop("row"), "quality"), limits, common)
+    good = _distances(rows, references).filter(~F.col("base_failed") & ~_far(limits))
+    return good.select("row.*")

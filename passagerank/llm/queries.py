@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagerank.llm import chat, mixing, pii, quality, shards, simhash, token_counts, toxicity, winnow
+from passagerank.llm import chat, mixing, pieces, pii, quality, shards, simhash, token_counts, toxicity, winnow
 from passagerank.llm.shared import table
 
 #: Where the vocabulary files of public tokenizers lie; only the driver reads them.
@@ -48,6 +48,16 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{TOKENIZERS}/piece_bpe_32k.model"
+    given = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = pieces.decode(pieces.encode(given, path, seed=42), path)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("pieces_hash"),
+        (F.col("decoded") == F.col("text")).alias("lossless"),
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign_shards(table(spark, sf_dir, "documents"), 24)
     return placed.select(
@@ -95,6 +105,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_chat": op2_chat,
+    "op3_pieces": op3_pieces,
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
     "op6_quality": op6_quality,

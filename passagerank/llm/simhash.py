@@ -58,17 +58,18 @@ def text_fingerprint(text: bytes, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
-    """``doc_id, fp`` per row; ``fp`` is the fingerprint as a signed 64-bit integer."""
+    """``doc_id, text_hash, fp`` per row; ``fp`` is the fingerprint as a signed 64-bit integer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(2).cast(pa.binary())
             fps = pa.array([text_fingerprint(t.as_py(), words) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], ["doc_id", "text_hash", "fp"])
 
-    columns = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
+    content = text_of(text)
+    columns = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(content).alias("text_hash"), content.alias("text"))
     kind = columns.schema["doc_id"].dataType.simpleString()
-    return columns.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return columns.mapInArrow(run, f"doc_id {kind}, text_hash bigint, fp bigint")
 
 
 def spanning_links(left: np.ndarray, right: np.ndarray, distance: int) -> tuple[list[int], list[int]]:
@@ -152,7 +153,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, distance: int = DISTANCE
 ) -> DataFrame:
-    """``doc_id, fp, component_id`` per row; the component's id is its smallest ``doc_id``."""
+    """``doc_id, text_hash, fp, component_id`` per row; the component's id is its smallest ``doc_id``."""
     rows = stored(fingerprints(docs, doc_id, text, words), "simhash-rows")
     first = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-first")
     linked = components(links(first.select("fp"), distance))
@@ -162,7 +163,18 @@ def near_duplicates(
     of = stored(of, "simhash-components")
     smallest = of.groupBy("component").agg(F.min("first").alias("component_id"))
     found = stored(of.join(smallest, "component").select("fp", "component_id"), "simhash-classes")
-    return rows.join(found, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(found, "fp").select("doc_id", "text_hash", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that give their component its id, one of each component."""
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fp").agg(
+        F.min("text_hash").alias("text_hash")
+    )
+    first = first.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"))
+    rows = docs.withColumn("__of", F.xxhash64(text_of(text)))
+    kept = rows.join(first, rows[doc_id].eqNullSafe(F.col("__doc")) & (F.col("__of") == F.col("__hash")))
+    return kept.dropDuplicates([doc_id, "__of"]).select(*docs.columns)
 
 
 def hex_fingerprint(fp: str = "fp") -> Column:
