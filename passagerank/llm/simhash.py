@@ -81,7 +81,7 @@ def spanning_links(left: np.ndarray, right: np.ndarray, distance: int) -> tuple[
     for i in range(0, len(left), TILE):
         for j in range(0, len(right), TILE):
             a, b = left[i : i + TILE], right[j : j + TILE]
-            near = np.bitwise_count(a[:, None] ^ b[None, :]) <= distance
+            near = np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :]) <= distance
             rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
             near = near[np.ix_(rows, columns)]
             if not near.size:
