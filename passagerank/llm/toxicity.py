@@ -32,7 +32,7 @@ from passagerank.llm.shared import stored, text_of
 #: Labelled rows that are learned from, at most about so many.
 MAX_DOCS = 20_000
 #: Toxic documents a piece must occur in, its least log-odds and their least size in standard errors.
-LEAST_DOCS, LEAST_WEIGHT, LEAST_SIGMA = 5, 2.0, 4.0
+LEAST_DOCS, LEAST_WEIGHT, LEAST_SIGMA = 5, 2.0, 5.0
 #: Lengths of a word's beginnings, and of the pieces inside it.
 BEGINNINGS, PIECE = range(3, 9), 5
 #: Before a piece: it is met in several distinct words of a text.
@@ -222,13 +222,16 @@ def _piece_counts(rows: DataFrame, language: np.ndarray, among=None) -> DataFram
 
 
 def weigh(in_toxic: dict, in_clean: dict, toxic: int, clean: int) -> dict[bytes, float]:
-    """Log-odds of the pieces that tell toxic texts apart."""
-    weights = {}
+    """Log-odds of the pieces that tell toxic texts apart, by a likelihood-ratio test."""
+    weights, share = {}, toxic / max(1, toxic + clean)
     for piece, t in in_toxic.items():
         c = in_clean.get(piece, 0)
         weight = math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
-        enough = LEAST_SIGMA * math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
-        if t >= LEAST_DOCS and weight >= max(LEAST_WEIGHT, enough):
+        if t < LEAST_DOCS or weight < LEAST_WEIGHT:
+            continue
+        expected = (t + c) * share
+        ratio = 2 * (t * math.log(t / expected) + (c * math.log(c / (t + c - expected)) if c else 0.0))
+        if ratio >= LEAST_SIGMA**2:
             weights[piece] = weight
     return weights
 
