@@ -1,3 +1,35 @@
-"""The same results as plain SQL, where SQL can express them."""
+"""The same results as plain SQL, where SQL can express them.
 
-SQL: dict[str, str] = {}
+The other operators hash with functions SQL engines do not share, decode by dynamic programming or
+draw by keyed hashes; their tests hold them against brute-force versions.
+"""
+
+_NAMES = "s|INST|SYS|ANS|NEXT|ROLE|SAY"
+
+OP2 = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before,
+    length(text) + len(regexp_extract_all(text, '[<\[]\\*/?(?:{_NAMES})[>\]]')) AS written
+  FROM turns
+), costs AS (
+  SELECT *, CASE WHEN before = role THEN length('[NEXT]')
+    WHEN role = 'system' THEN length('[SYS]  [/SYS]')
+    WHEN role = 'user' THEN length('[INST]  [/INST]')
+    WHEN role = 'assistant' THEN length('[ANS]  </s>')
+    ELSE length('[ROLE] [SAY]  [/ROLE]') + length(role)
+      + len(regexp_extract_all(role, '[<\[]\\*/?(?:{_NAMES})[>\]]')) END AS marks
+  FROM marked
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+  CAST(length('<s>') + sum(written + marks) AS BIGINT) AS formatted_chars
+FROM costs GROUP BY conv_id
+"""
+
+SQL: dict[str, str] = {"op2_chat": OP2}
