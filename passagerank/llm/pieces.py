@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +30,8 @@ from passagerank.llm.token_counts import NONE, PairTable
 
 #: Chance of a candidate to be skipped, and segmentations of a unit within one seed.
 DROPOUT, VARIANTS = 0.1, 8
-#: Units up to this length advance as arrays; characters of texts encoded at a time.
-SHORT, CHUNK_CHARS = 48, 3_000_000
+#: Units up to this length advance as arrays; characters of texts (or ids) a task holds at a time.
+SHORT, CHUNK_CHARS = 48, 1_000_000
 SPACE = chr(0x2581)
 #: A unit that no text gives: the sign for a space, standing for itself.
 LITERAL = "\0" + SPACE
@@ -315,7 +316,11 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", into: str = "deco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(shipped.value)
         for batch in batches:
-            texts = [decoder.decode(i.values.to_numpy()) if i.is_valid else "" for i in batch.column(ids)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, into])
+            lengths = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy()
+            cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // CHUNK_CHARS)) + 1
+            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(lengths)], strict=True):
+                part = batch.slice(start, end - start)
+                texts = [decoder.decode(i.values.to_numpy()) if i.is_valid else "" for i in part.column(ids)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, into])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(into, T.StringType())]))
