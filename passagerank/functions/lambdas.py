@@ -27,11 +27,13 @@ def block_gradients(pdf: pd.DataFrame) -> pd.DataFrame:
     if not same:
         block = pdf["block"].to_numpy()
         better &= block[:, None] != block[None, :]
-    rho = 1.0 / (1.0 + np.exp(np.clip(score[:, None] - score[None, :], -500, 500)))
+    apart = np.clip(score[:, None] - score[None, :], -500, 500)
+    rho = 1.0 / (1.0 + np.exp(apart))
     swap = np.abs(gain[:, None] - gain[None, :]) * np.abs(discount[:, None] - discount[None, :])
     swap = np.where(better, swap, 0.0) / pdf["max_dcg"].iloc[0]
     pull = rho * swap
-    bend = rho * (1.0 - rho) * swap
+    # rho * (1 - rho) without cancellation where rho is near 1
+    bend = rho / (1.0 + np.exp(-apart)) * swap
     return pd.DataFrame(
         {
             "qid": pdf["qid"],

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from passagerank.operators.index import Index, select_docs, top_terms
 from passagerank.operators.ranking import GROUP_ROWS, row_numbers, running_in_group
 from passagerank.operators.sizing import lookup_join, measure, skew_join
+from passagerank.operators.workspace import cut
 
 # Error analysis counts ratings of 2 and more as relevant.
 MIN_RATING = 2
@@ -66,7 +67,7 @@ def worst_queries(
         counts = counts.join(qrels.groupBy("qid").agg(F.min("seq").alias("first_seq")), "qid")
         order = "first_seq"
     chosen = counts.orderBy("recall_count", order).offset(pick or 0).limit(count)
-    named = topics.select("qid", "query").join(F.broadcast(chosen), "qid")
+    named = lookup_join(topics.select("qid", "query"), chosen, ["qid"])
     return named.select("qid", "query", "recall_count", index.analyze("query").alias("tokens"))
 
 
@@ -100,6 +101,8 @@ def annotate_ranking(
     flag = (F.col("rating") >= min_rating).cast("int")
     bounded = depth is not None and depth <= group_rows
     walked = running_in_group(hits, ["qid"], [F.col("rank"), F.col("doc_id")], {"relevant_so_far": flag}, bounded, group_rows)
+    # read three times below: sized, for its ids, and joined
+    walked = cut(walked)
     small = measure(walked).small
     terms = top_terms(select_docs(index.docs, walked) if small else index.docs, n_terms)
     if small:

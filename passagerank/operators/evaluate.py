@@ -70,7 +70,8 @@ def judge(
     counted = hits.withColumn("rel", rel).withColumn("nonrel", F.coalesce(nonrel, F.lit(0)))
     sums = {"pos": F.lit(1), "rel_so_far": F.col("rel"), "nonrel_so_far": F.col("nonrel")}
     bounded = depth is not None and depth <= group_rows
-    placed = running_in_group(counted, keys, _evaluator_order(), sums, bounded, group_rows)
+    # groups are counted before the join, which adds no row
+    placed = running_in_group(counted, keys, _evaluator_order(), sums, bounded, group_rows, run)
     needs = _needs(qrels, min_rating)
     return Judged(lookup_join(placed, needs, ["qid"]), needs, _ideal(qrels, ndcg_cutoffs), keys)
 

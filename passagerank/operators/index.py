@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagerank.functions.porter import stem_words
-from passagerank.functions.text import STOPWORDS, tokens, with_term_groups
+from passagerank.functions.text import STOPWORDS, raw_tokens, tokens, with_term_groups
 from passagerank.functions.weighting import Collection
 from passagerank.operators.sizing import lookup_join, measure, skew_join
 
@@ -48,11 +48,16 @@ LITERAL_IDS = 200
 
 @dataclass(frozen=True)
 class Index:
-    """A stored index: four tables and the analyzer settings it was built with."""
+    """A stored index: its tables and the analyzer settings it was built with.
+
+    ``words`` are the surface forms of the collection with their document frequency: lower case, neither
+    stemmed nor stripped of stop words.
+    """
 
     docs: DataFrame
     postings: DataFrame
     term_stats: DataFrame
+    words: DataFrame
     coll_stats: DataFrame
     collection: Collection
     stemmer: str | None
@@ -107,6 +112,12 @@ def document_terms(corpus: DataFrame, stemmer: str | None = "porter",
     return grouped.withColumn("dl", F.size("__tokens")).drop("__tokens")
 
 
+def surface_words(corpus: DataFrame) -> DataFrame:
+    """``(word, df)``: every token as it stands in the texts, lower-cased."""
+    distinct = corpus.select(F.explode(F.array_distinct(raw_tokens("text"))).alias("word"))
+    return distinct.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+
+
 def build_postings(corpus: DataFrame, stemmer: str | None = "porter",
                    stopwords: tuple[str, ...] = STOPWORDS) -> DataFrame:
     """``(term, doc_id, tf, dl, positions)``: grouped inside each document, no exchange."""
@@ -236,6 +247,7 @@ def build_index(
         counts.sortWithinPartitions(slot, "term")
         .write.partitionBy("term_slot").mode("errorifexists").parquet(f"{root}/terms")
     )
+    surface_words(corpus).sortWithinPartitions("word").write.mode("errorifexists").parquet(f"{root}/words")
     stats = collection_stats(stored["docs"].select("doc_id", "dl"))
     stats = stats.select(
         "*",
@@ -275,6 +287,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
         docs=tables["docs"],
         postings=tables["postings"],
         term_stats=terms,
+        words=spark.read.schema("word STRING, df BIGINT").parquet(f"{root}/words"),
         coll_stats=coll.select("n_docs", "n_nonempty", "total_terms", "avgdl"),
         collection=Collection(row["n_docs"], row["n_nonempty"], row["total_terms"]),
         stemmer=row["stemmer"],

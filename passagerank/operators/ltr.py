@@ -23,6 +23,9 @@ from passagerank.operators.workspace import cut
 
 BLOCK_ROWS = 1024
 CUT_ROUNDS = 10
+# What every row adds to the Hessian of its leaf: a pair that is ordered very wrongly bends hardly at all
+# but pulls with all its weight.
+RIDGE = 1e-3
 
 
 def lambda_gradients(
@@ -163,9 +166,9 @@ def train_lambdamart(
 ) -> RankModel:
     """Gradient-boosted ranker: a driver loop over Spark jobs, one tree per round.
 
-    A tree is fitted to ``grad / hess`` with ``hess`` as weight: its variance gain
+    A tree is fitted to ``grad / h`` with ``h = hess + RIDGE`` as weight: its variance gain
     is then the second-order gain ``G^2 / H`` and a leaf predicts the Newton step
-    ``sum grad / sum hess``, so no separate pass sets leaf values.  A depth of
+    ``sum grad / sum h``, so no separate pass sets leaf values.  A depth of
     three gives at most eight leaves.  Scores follow from the trees by narrow
     steps, so they are checkpointed only every few rounds; the gradients of a
     round are kept while its tree grows.
@@ -178,9 +181,11 @@ def train_lambdamart(
     check = start(valid) if valid is not None else None
     trees, history = [], []
     for i in range(rounds):
-        pulled = _gradients(state, BLOCK_ROWS, depth).filter(F.col("hess") > 0)
+        # rows without a pair pull nowhere
+        pulled = _gradients(state, BLOCK_ROWS, depth).filter((F.col("hess") > 0) | (F.col("grad") != 0))
+        bend = F.col("hess") + RIDGE
         sample = state.join(pulled, ["qid", "doc_id"]).select(
-            "__features", (F.col("grad") / F.col("hess")).alias("__target"), F.col("hess").alias("__weight")
+            "__features", (F.col("grad") / bend).alias("__target"), bend.alias("__weight")
         )
         learner = DecisionTreeRegressor(
             featuresCol="__features", labelCol="__target", weightCol="__weight", predictionCol="__step",

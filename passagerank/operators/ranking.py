@@ -23,15 +23,20 @@ def running_in_group(
     sums: dict[str, Column],
     bounded: bool = False,
     group_rows: int = GROUP_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add inclusive running sums over ``order`` inside every group of ``keys``.
 
     ``order`` must be a total order.  Groups that fit a task (``bounded`` says
-    so by construction, otherwise they are counted) are one window.  Bigger ones are
-    range-partitioned on the full order, summed per range, and every range
-    gets the totals of the ranges before it.
+    so by construction, otherwise they are counted) are one window.  Bigger ones, and one
+    group of everything, are range-partitioned on the full order, summed per range, and every
+    range gets the totals of the ranges before it.  ``counted`` has the same groups and is
+    cheaper to count.
     """
-    largest, total = (0, 0) if bounded else _group_sizes(df, keys)
+    if not keys:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return _running_by_range(df, keys, order, sums, partitions)
+    largest, total = (0, 0) if bounded else _group_sizes(df if counted is None else counted, keys)
     if largest <= group_rows:
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(e).over(window).alias(n) for n, e in sums.items()])

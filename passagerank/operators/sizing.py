@@ -6,12 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from passagerank.operators.workspace import cut
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 2_000_000
-HOT_KEYS = 2_000
 
 
 @dataclass(frozen=True)
@@ -26,11 +26,10 @@ class Size:
 
 
 def measure(df: DataFrame, *extra) -> Size:
-    """Rows and approximate bytes of ``df``, with optional further aggregates, in one job.
+    """Rows and approximate bytes of ``df``, with optional further aggregates, in one partial aggregate.
 
-    Counting stops at one row over the limit, so asking about a huge input is cheap.
+    Tasks send one row each, so asking costs one evaluation of ``df`` and nothing more.
     """
-    probe = df if extra else df.limit(BROADCAST_ROWS + 1)
     width = F.lit(0)
     for field in df.schema.fields:
         kind = field.dataType.simpleString()
@@ -39,26 +38,22 @@ def measure(df: DataFrame, *extra) -> Size:
         elif kind.startswith(("array", "map", "struct")):
             width = width + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
         width = width + 8
-    row = probe.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"), *extra).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b"), *extra).first()
     return Size(row["n"], row["b"] or 0, row)
 
 
 def hot_keys(
     df: DataFrame, keys: list[str], hot_rows: int | None = None, counts: DataFrame | None = None
-) -> list[Row]:
-    """Keys with more rows than one task should hold, with their ``count``.
+) -> DataFrame:
+    """Keys with more rows than one task should hold, with the pieces ``__salts`` that they fill.
 
-    The threshold rises with the total, so at most ``HOT_KEYS`` keys come back.
+    All of them: there is one key per ``hot_rows`` rows at most.
     ``counts(keys, count)`` may be given where an index knows them already.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    if counts is None:
-        counts = df.groupBy(*keys).count()
-    biggest = counts.agg(F.max("count").alias("m"), F.sum("count").alias("t")).first()
-    if not biggest["m"] or biggest["m"] <= hot_rows:
-        return []
-    floor = max(hot_rows, biggest["t"] // HOT_KEYS)
-    return counts.filter(F.col("count") > floor).select(*keys, "count").collect()
+    counts = df.groupBy(*keys).count() if counts is None else counts
+    salts = F.ceil(F.col("count") / hot_rows).cast("bigint").alias("__salts")
+    return counts.filter(F.col("count") > hot_rows).select(*keys, salts)
 
 
 def skew_join(
@@ -74,19 +69,15 @@ def skew_join(
     Only the right rows of hot keys are replicated.  ``left`` keeps every row,
     so ``how`` may be inner, left, left_semi or left_anti.
     """
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    hot = hot_keys(left, keys, hot_rows, counts)
-    if not hot:
+    hot = cut(hot_keys(left, keys, hot_rows, counts))
+    size = measure(hot)
+    if not size.rows:
         return left.join(right, keys, how)
-    spark = left.sparkSession
-    most = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = [(*[r[k] for k in keys], min(most, -(-r["count"] // hot_rows))) for r in hot]
-    schema = left.select(*keys).schema.add("__salts", T.IntegerType())
-    marks = F.broadcast(spark.createDataFrame(rows, schema))
+    marks = F.broadcast(hot) if size.small else hot
     hashable = [f.name for f in left.schema.fields if not f.dataType.simpleString().startswith("map")]
-    salt = F.coalesce(F.pmod(F.xxhash64(*hashable), F.col("__salts").cast("bigint")), F.lit(0))
+    salt = F.coalesce(F.pmod(F.xxhash64(*hashable), F.col("__salts")), F.lit(0))
     a = left.join(marks, keys, "left").withColumn("__salt", salt).drop("__salts")
-    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("__salts", F.lit(1)).cast("bigint") - 1)
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("__salts", F.lit(1).cast("bigint")) - 1)
     b = right.join(marks, keys, "left").withColumn("__salt", F.explode(copies)).drop("__salts")
     return a.join(b, [*keys, "__salt"], how).drop("__salt")
 

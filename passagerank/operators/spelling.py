@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagerank.operators.sizing import measure, skew_join
+from passagerank.operators.workspace import cut
 
 MAX_EDITS = 2
 _PIECES = MAX_EDITS + 1
+# Signs before a word, the word, signs after it.
+_CORE = r"(?s)^([^\p{L}\p{N}]*)(.*?)([^\p{L}\p{N}]*)$"
 
 
 def _piece_start(length: Column, i: Column) -> Column:
@@ -73,31 +76,36 @@ def corrections(words: DataFrame, term_stats: DataFrame) -> DataFrame:
     return near.groupBy("word").agg(best.alias("b")).select("word", F.col("b.term").alias("term"))
 
 
-def spell_correct(topics: DataFrame, term_stats: DataFrame, prepare=None) -> DataFrame:
+def spell_correct(topics: DataFrame, words: DataFrame, prepare=None) -> DataFrame:
     """Add ``corrected`` and ``changed``: every unknown word of the query replaced by its nearest known one.
 
-    Words are split on single spaces and rejoined in place.  ``prepare`` maps a
-    word to the form the vocabulary holds (lower case by default).
+    ``words(word, df)`` are the surface forms of the collection, stop words and
+    inflected forms included; a word that is one of them stays.  Queries are split on
+    single spaces and rejoined in place; signs around a word stay where they are.  ``prepare``
+    maps a word to the form the table holds (lower case by default).
     """
     prepare = prepare or F.lower
-    words = topics.select(
-        "qid", F.posexplode(F.split("query", " ")).alias("at", "original")
-    ).withColumn("word", prepare(F.col("original")))
-    distinct = words.select("word").filter(F.col("word") != "").distinct()
-    vocabulary = term_stats.select(F.col("term").alias("word"), "df")
-    if measure(distinct).small:
-        known = vocabulary.join(F.broadcast(distinct), "word", "left_semi").select("word")
-        unknown = distinct.join(known, "word", "left_anti")
-        # no more corrections than distinct words, which were measured
-        fixed = words.join(F.broadcast(corrections(unknown, term_stats)), "word", "left")
+    core = F.regexp_extract("original", _CORE, 2)
+    asked = topics.select("qid", F.posexplode(F.split("query", " ")).alias("at", "original")).select(
+        "qid", "at", "original", prepare(core).alias("word"),
+        F.regexp_extract("original", _CORE, 1).alias("before"), F.regexp_extract("original", _CORE, 3).alias("after"),
+    )
+    # both are read several times below
+    distinct = cut(asked.select("word").filter(F.col("word") != "").distinct())
+    small = measure(distinct).small
+    if small:
+        known = words.join(F.broadcast(distinct), "word", "left_semi").select("word")
+    else:
+        known = words.select("word")
+    unknown = cut(distinct.join(known, "word", "left_anti"))
+    fixes = corrections(unknown, words.select(F.col("word").alias("term"), "df"))
+    if small:  # no more corrections than distinct words, which were measured
+        fixed = asked.join(F.broadcast(fixes), "word", "left")
     else:
-        unknown = distinct.join(vocabulary, "word", "left_anti")
-        fixed = skew_join(words, corrections(unknown, term_stats), ["word"], "left")
-    rejoined = fixed.groupBy("qid").agg(
-        F.array_sort(
-            F.collect_list(F.struct("at", F.coalesce("term", "original").alias("w")))
-        ).alias("ws")
-    ).select("qid", F.array_join(F.transform("ws", lambda w: w["w"]), " ").alias("corrected"))
+        fixed = skew_join(asked, fixes, ["word"], "left")
+    spelled = F.coalesce(F.concat("before", "term", "after"), F.col("original"))
+    rejoined = fixed.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("at", spelled.alias("w")))).alias("ws"))
+    rejoined = rejoined.select("qid", F.array_join(F.transform("ws", lambda w: w["w"]), " ").alias("corrected"))
     out = topics.join(rejoined, "qid")
     return out.withColumn("changed", F.col("corrected") != F.col("query"))
 

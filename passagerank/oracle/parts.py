@@ -95,6 +95,11 @@ PARTS: dict[str, str] = {
         "(SELECT term, doc_id, count(*) AS tf FROM pos GROUP BY term, doc_id) JOIN dls USING (doc_id)"
     ),
     "tstat": "SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM post GROUP BY term",
+    # every token as it stands in a text, in lower case
+    "surface": (
+        "SELECT term, count(*) AS df FROM (SELECT doc_id, unnest(list_distinct("
+        f"regexp_extract_all(lower(text), '{TOKEN}'))) AS term FROM documents) GROUP BY term"
+    ),
     "coll": (
         "SELECT CAST(count(*) AS DOUBLE) AS n_docs, CAST(count(*) FILTER (WHERE dl > 0) AS DOUBLE) AS n_nonempty, "
         "CAST(sum(dl) AS DOUBLE) AS total_terms FROM dls"

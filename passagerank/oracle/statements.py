@@ -125,9 +125,9 @@ _SPELL = f"""
         SELECT word, term AS fix FROM (
           SELECT word, term, row_number() OVER (PARTITION BY word ORDER BY d, df DESC, term) AS rn FROM (
             SELECT word, term, df, levenshtein({_SAFE.format('word')}, {_SAFE.format('term')}) AS d FROM (
-              SELECT DISTINCT unnest(string_split(query, ' ')) AS word FROM typos) JOIN tstat
+              SELECT DISTINCT unnest(string_split(query, ' ')) AS word FROM typos) JOIN surface
               ON abs(length(word)-length(term)) <= 2
-            WHERE word <> '' AND word NOT IN (SELECT term FROM tstat)) WHERE d <= 2) WHERE rn = 1)
+            WHERE word <> '' AND word NOT IN (SELECT term FROM surface)) WHERE d <= 2) WHERE rn = 1)
       ON original = word GROUP BY qid) USING (qid)"""
 
 _STATEMENTS: dict[str, str] = {

@@ -31,7 +31,7 @@ def bm25_batch(
 ) -> DataFrame:
     """Optional spelling and expansion, then BM25 for every topic; written to ``out`` if given."""
     if spell_checking:
-        fixed = spell_correct(topics, index.term_stats)
+        fixed = spell_correct(topics, index.words)
         topics = fixed.drop("query", "changed").withColumnRenamed("corrected", "query")
     if relevance_weighing:
         topics = expand_queries(topics, index, n_extra_terms, feedback_k=k, k1=k1, b=b, **options)
@@ -39,6 +39,7 @@ def bm25_batch(
         topics = cut(topics)
     run = search_with_scores(topics, index, k1, b, k, **options)
     if out is not None:
+        run = cut(run)  # written, and returned to a caller who goes on with it
         write = write_run_trec if trec else write_run_plain
         write(run, out)
     return run
@@ -87,6 +88,7 @@ def ltr_batch(
         model.save(spark, f"{model_folder.rstrip('/')}/{model_name(kind, top_n_train, top_n_valid, run_id)}")
     run = rerank(features(test_topics, index, names, k), model, depth=k)
     if out is not None:
+        run = cut(run)
         write_run_ltr(run, out)
     return model, run
 
@@ -101,10 +103,11 @@ def rerank_batch(
     **options,
 ) -> DataFrame:
     """BM25 candidates with their text, scored by ``scorer``, ranked anew, written by file form."""
-    run = search_with_scores(topics, index, k=k, **options)
+    run = cut(search_with_scores(topics, index, k=k, **options))
     hits = candidates_with_text(run, index.docs, topics, k)
     ranked = rerank(hits, scorer, depth=k)
     if out is not None:
+        ranked = cut(ranked)
         write_run_reranked(ranked, out, name)
     return ranked
 

@@ -124,7 +124,7 @@ def stem_vocab(t: Testbed) -> DataFrame:
 
 @query
 def spell_correct(t: Testbed) -> DataFrame:
-    fixed = spelling.spell_correct(t.typo_topics, t.index.term_stats)
+    fixed = spelling.spell_correct(t.typo_topics, t.index.words)
     return fixed.select("qid", "query", "corrected", "changed")
 
 

@@ -87,13 +87,26 @@ def test_corrections_against_all_pairs(spark, monkeypatch, limit):
 
 
 def test_spell_correct(spark):
-    stats = spark.createDataFrame([("military", 5), ("suicide", 3), ("causes", 9)], "term STRING, df BIGINT")
+    stats = spark.createDataFrame([("military", 5), ("suicide", 3), ("causes", 9), ("of", 20)], "word STRING, df BIGINT")
     topics = spark.createDataFrame(
-        [(1, "causes of miltary suicid"), (2, "military causes"), (3, ""), (4, "xxxxxxxxxx")], "qid INT, query STRING"
+        [(1, "causes of miltary suicid"), (2, "Military causes,"), (3, ""), (4, "xxxxxxxxxx"), (5, "(miltary), 'suicid'?")],
+        "qid INT, query STRING",
     )
     out = spell_correct(topics, stats)
     got = {r.qid: (r.corrected, r.changed) for r in out.collect()}
     assert got == {
-        1: ("causes of military suicide", True), 2: ("military causes", False), 3: ("", False), 4: ("xxxxxxxxxx", False),
+        1: ("causes of military suicide", True), 2: ("Military causes,", False), 3: ("", False), 4: ("xxxxxxxxxx", False),
+        5: ("(military), 'suicide'?", True),
     }
-    assert changed_queries(out).first()["n_changed"] == 1
+    assert changed_queries(out).first()["n_changed"] == 2
+
+
+@pytest.mark.parametrize("stemmer", [None, "porter"])
+def test_words_of_the_collection_stay(spark, tmp_path, stemmer):
+    from passagerank.operators.index import build_index
+
+    texts = [(1, "The causes of running an engine"), (2, "He ran two queries off to it"), (3, "cause run engines query")]
+    index = build_index(spark.createDataFrame(texts, "doc_id INT, text STRING"), str(tmp_path / "index"), stemmer=stemmer)
+    topics = spark.createDataFrame([(1, "the causes of running queries to an engine"), (2, "enginne")], "qid INT, query STRING")
+    got = {r.qid: r.corrected for r in spell_correct(topics, index.words).collect()}
+    assert got == {1: "the causes of running queries to an engine", 2: "engine"}

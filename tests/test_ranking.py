@@ -44,14 +44,26 @@ def test_null_keys_survive_a_salted_left_join(spark):
     assert out.count() == 55 and out.filter("r IS NULL").count() == 5
 
 
-def test_hot_keys_are_bounded(skewed):
-    assert [r["k"] for r in hot_keys(skewed, ["k"], 500)] == [0]
-    assert hot_keys(skewed, ["k"], 5000) == []
+def test_hot_keys(skewed):
+    assert [r["k"] for r in hot_keys(skewed, ["k"], 500).collect()] == [0]
+    assert hot_keys(skewed, ["k"], 5000).count() == 0
 
 
-def test_measure_stops_early(spark):
+def test_many_hot_keys_and_few_partitions(spark):
+    left = spark.range(12_000).select((F.col("id") % 3000).alias("k"), "id")
+    right = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    assert hot_keys(left, ["k"], 3).count() == 3000
+    joined = skew_join(left, right, ["k"], hot_rows=1)
+    assert joined.count() == 12_000 and joined.filter("twice <> 2 * k").count() == 0
+    one = spark.range(5000).select(F.lit(0).alias("k"), "id")
+    assert [r["__salts"] for r in hot_keys(one, ["k"], 10).collect()] == [500]
+
+
+def test_measure(spark):
     size = measure(spark.range(1_200_000))
-    assert not size.small and size.rows == 1_000_001
+    assert not size.small and size.rows == 1_200_000
+    plan = spark.range(10).agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    assert "GlobalLimit" not in plan
     assert measure(spark.range(10)).small
     wide = spark.range(80).select(F.repeat(F.lit("x"), 1 << 20).alias("s"))
     assert not measure(wide).small
