@@ -141,40 +141,91 @@ def measure_texts(texts: list[bytes], common: dict[bytes, int], n_common: int) -
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def measured(docs: DataFrame, kept: str, text: str, lang: str, common: dict[str, list[str]]) -> DataFrame:
-    """The column ``kept``, base counts and both histograms of every document."""
-    names = sorted({w for words in common.values() for w in words})
-    number = {w.encode(): i for i, w in enumerate(names)}
-
-    def pieces(texts):
-        held, words = [], 0
-        for t in texts:
-            held.append(t)
-            words += len(t) // 5
-            if words > CHUNK_WORDS:
-                yield held
-                held, words = [], 0
-        if held:
-            yield held
+def _slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``CHUNK_WORDS`` words."""
+    start = words = 0
+    for i, text in enumerate(texts):
+        words += len(text) // 5
+        if words > CHUNK_WORDS:
+            yield start, i + 1
+            start, words = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _numbers(common: dict[str, list[str]]) -> dict[bytes, int]:
+    return {w.encode(): i for i, w in enumerate(sorted({w for words in common.values() for w in words}))}
+
+
+def measured(docs: DataFrame, doc_id: str, text: str, lang: str, common: dict[str, list[str]]) -> DataFrame:
+    """``doc_id, lang``, base counts and both histograms of every document."""
+    number = _numbers(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).cast(pa.binary()).to_pylist()
-            done = 0
-            for held in pieces(texts):
-                found = measure_texts(held, number, len(names))
-                part = batch.slice(done, len(held))
-                done += len(held)
+            for start, end in _slices(texts):
+                found = measure_texts(texts[start:end], number, len(number))
+                part = batch.slice(start, end - start)
                 columns = [part.column(0), part.column(1), *[pa.array(found[c]) for c in COUNTS]]
                 columns += [pa.array(list(found[h]), pa.list_(pa.int64())) for h in ("classes", "words")]
-                yield pa.RecordBatch.from_arrays(columns, [kept, "lang", *COUNTS, "classes", "words"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", *COUNTS, "classes", "words"])
 
-    columns = docs.select(F.col(kept).alias(kept), F.col(lang).cast("string").alias("lang"), text_of(text).alias("text"))
+    columns = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), text_of(text).alias("text"))
     longs = ", ".join(f"{c} bigint" for c in COUNTS)
     more = T.StructType.fromDDL(f"lang string, {longs}, classes array<bigint>, words array<bigint>")
     return columns.mapInArrow(run, T.StructType([columns.schema[0], *more.fields]))
 
 
+ADDED = ["character_distance", "word_distance"]
+
+
+def base_failed(found: dict[str, np.ndarray]) -> np.ndarray:
+    return (found["n_words"] < LEAST_WORDS) | (100 * found["n_repeat_words"] > MOST_REPEATED * found["n_words"])
+
+
+def distances(found: dict[str, np.ndarray], langs: list, references: dict) -> list[np.ndarray]:
+    """Both distances of documents from their languages' references."""
+    names, out = np.array(langs, object), []
+    for at, kind in enumerate(("classes", "words")):
+        counts = found[kind].astype(float)
+        every = {k: distance(counts, v[at]) for k, v in references.items()}
+        least = np.zeros(len(counts))
+        if every:
+            least = np.where(names == None, np.min(list(every.values()), axis=0), 0.0)  # noqa: E711
+        for k, values in every.items():
+            least = np.where(names == k, values, least)
+        out.append(least)
+    return out
+
+
+def far(found: dict[str, np.ndarray], both: list[np.ndarray], limits: Limits) -> np.ndarray:
+    """Documents that are too far from their language, and long enough to tell."""
+    out = np.zeros(len(both[0]), bool)
+    for value, length, limit, least in (
+        (both[0], found["word_chars"], limits.characters, limits.least_characters),
+        (both[1], found["n_words"], limits.words, limits.least_words),
+    ):
+        out |= (length >= least) & (value > limit[0] + limit[1] / np.sqrt(np.maximum(length, 1)))
+    return out
+
+
+def _judged(rows: DataFrame, references: dict, limits: Limits) -> DataFrame:
+    """``rows`` of measures with ``base_failed``, both distances and ``kept``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = {c: batch.column(c).to_numpy() for c in COUNTS}
+            for kind in ("classes", "words"):
+                found[kind] = batch.column(kind).flatten().to_numpy().reshape(batch.num_rows, -1)
+            failed, both = base_failed(found), distances(found, batch.column("lang").to_pylist(), references)
+            added = [failed, *both, ~failed & ~far(found, both, limits)]
+            names = [*batch.schema.names, "base_failed", *ADDED, "kept"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, added)], names)
+
+    more = T.StructType.fromDDL(f"base_failed boolean, {ADDED[0]} double, {ADDED[1]} double, kept boolean")
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *more.fields]))
+
+
 def _sums(rows: DataFrame, n_words: int, known: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Both histograms summed per known language: a few rows, whatever the corpus."""
     entries = [F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(CLASSES)]
@@ -188,52 +239,11 @@ def _sums(rows: DataFrame, n_words: int, known: list[str]) -> dict[str, tuple[np
     }
 
 
-def _distances(rows: DataFrame, references: dict) -> DataFrame:
-    """``rows`` with ``character_distance`` and ``word_distance``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            sizes = {"classes": CLASSES, "words": n_words}
-            found = {}
-            for at, (kind, size) in enumerate(sizes.items()):
-                counts = batch.column(kind).flatten().to_numpy().reshape(-1, size).astype(float)
-                every = {k: distance(counts, v[at]) for k, v in references.items()}
-                least = np.where(langs == None, np.min(list(every.values()), axis=0), 0.0)  # noqa: E711
-                for k, values in every.items():
-                    least = np.where(langs == k, values, least)
-                found[kind] = pa.array(least)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *found.values()], [*batch.schema.names, *ADDED])
-
-    n_words = len(next(iter(references.values()))[1]) if references else 1
-    if not references:
-        return rows.select("*", *[F.lit(0.0).alias(a) for a in ADDED])
-    more = [T.StructField(a, T.DoubleType()) for a in ADDED]
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *more]))
-
-
-ADDED = ["character_distance", "word_distance"]
-
-
-def _far(limits: Limits):
-    def above(found, length, limit, least):
-        return (F.col(length) >= least) & (F.col(found) > limit[0] + limit[1] / F.sqrt(F.greatest(length, F.lit(1))))
-
-    return above(ADDED[0], "word_chars", limits.characters, limits.least_characters) | above(
-        ADDED[1], "n_words", limits.words, limits.least_words
-    )
-
-
-def _failed():
-    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-
-
 def _references(rows: DataFrame, limits: Limits, common: dict[str, list[str]]) -> dict:
     """References of the languages, summed twice: the second time without what is far from the first."""
-    n_words = len({w for words in common.values() for w in words}) + 1
-    passed, known = rows.filter(~F.col("base_failed")), sorted(common)
-    first = _sums(passed, n_words, known)
-    return {**first, **_sums(_distances(passed, first).filter(~_far(limits)), n_words, known)}
+    n_words, known = len(_numbers(common)) + 1, sorted(common)
+    first = _sums(_judged(rows, {}, limits).filter("not base_failed"), n_words, known)
+    return {**first, **_sums(_judged(rows, first, limits).filter("kept"), n_words, known)}
 
 
 def judge(
@@ -242,10 +252,8 @@ def judge(
 ) -> DataFrame:
     """Per row: ``doc_id``, base counts, ``base_failed``, both distances and ``kept``."""
     limits, common = limits or Limits(), common or COMMON
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    rows = stored(measured(rows, "doc_id", "text", "lang", common).withColumn("base_failed", _failed()), "quality")
-    found = _distances(rows, _references(rows, limits, common))
-    return found.withColumn("kept", ~F.col("base_failed") & ~_far(limits)).drop("classes", "words", "lang")
+    rows = stored(measured(docs, doc_id, text, lang, common), "quality")
+    return _judged(rows, _references(rows, limits, common), limits).drop("classes", "words", "lang")
 
 
 def keep_good(
@@ -257,8 +265,17 @@ def keep_good(
     Documents are measured a second time once the references are known, so no text is shuffled.
     """
     limits, common = limits or Limits(), common or COMMON
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    rows = measured(whole, "row", "text", "lang", common).withColumn("base_failed", _failed())
-    references = _references(stored(rows.drop("row"), "quality"), limits, common)
-    good = _distances(rows, references).filter(~F.col("base_failed") & ~_far(limits))
-    return good.select("row.*")
+    references = _references(stored(measured(docs, lang, text, lang, common).drop("doc_id"), "quality"), limits, common)
+    number = _numbers(common)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or b"" for t in batch.column(text).cast(pa.binary()).to_pylist()]
+            langs = batch.column(lang).to_pylist()
+            for start, end in _slices(texts):
+                found = measure_texts(texts[start:end], number, len(number))
+                both = distances(found, langs[start:end], references)
+                good = ~base_failed(found) & ~far(found, both, limits)
+                yield batch.slice(start, end - start).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
