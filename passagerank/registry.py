@@ -10,10 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from passagerank.operators import errors, evaluate, expand, index, ltr, search, spelling, stance
 from passagerank.operators.features import DEFAULT_FEATURES, attach_labels, features, filter_qrels, head_topics
 from passagerank.operators.rerank import coverage, rerank
+from passagerank.operators.workspace import cut
 from passagerank.sources import readers, writers
 from passagerank.testbed import DEPTH, SEED, Testbed
 
@@ -35,11 +37,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles cut to ``digits`` by the same arithmetic in every engine."""
     scale = F.lit(10.0**digits)
 
-    def cut(name: str) -> Column:
+    def shortened(name: str) -> Column:
         return (F.floor(F.col(name) * scale + 0.5) / scale).alias(name)
 
     return df.select(*[
-        cut(f.name) if f.dataType.simpleString() == "double" else F.col(f.name) for f in df.schema.fields
+        shortened(f.name) if f.dataType.simpleString() == "double" else F.col(f.name) for f in df.schema.fields
     ])
 
 
@@ -102,6 +104,84 @@ def run_lines_csv(t: Testbed) -> DataFrame:
     )
 
 
+def _run_back(t: Testbed, name: str, write, read) -> DataFrame:
+    """A run as it comes back from the file that a writer made of it."""
+    path = t._files(name, write)
+    return big(rounded(read(path).select("qid", "doc_id", "rank", "score"), 4))
+
+
+@query
+def run_trec_file(t: Testbed) -> DataFrame:
+    return _run_back(
+        t, "run.trec", lambda p: writers.write_run_trec(t.run, p, mode="overwrite"), lambda p: readers.read_run_trec(t.spark, p)
+    )
+
+
+@query
+def run_plain_file(t: Testbed) -> DataFrame:
+    return _run_back(
+        t, "run.plain", lambda p: writers.write_run_plain(t.run, p, mode="overwrite"),
+        lambda p: readers.read_run_plain(t.spark, p),
+    )
+
+
+@query
+def run_csv_file(t: Testbed) -> DataFrame:
+    return _run_back(
+        t, "run.csv", lambda p: writers.write_run_reranked(t.tied_run, p, mode="overwrite"),
+        lambda p: readers.read_run_trec(t.spark, p, ","),
+    )
+
+
+@query
+def run_tsv_file(t: Testbed) -> DataFrame:
+    return _run_back(
+        t, "run.tsv", lambda p: writers.write_run_reranked(t.tied_run, p, mode="overwrite"),
+        lambda p: readers.read_run_trec(t.spark, p, "\t"),
+    )
+
+
+@query
+def run_ltr_file(t: Testbed) -> DataFrame:
+    learned = t.tied_run.withColumn("prior_rank", F.col("rank"))
+    return _run_back(
+        t, "run.ltr", lambda p: writers.write_run_ltr(learned, p, mode="overwrite"), lambda p: readers.read_run_trec(t.spark, p)
+    )
+
+
+@query
+def run_nb_file(t: Testbed) -> DataFrame:
+    return _run_back(
+        t, "run.nb", lambda p: writers.write_run_nb(t.tied_run, p, "csv", mode="overwrite"),
+        lambda p: readers.read_run_plain(t.spark, p),
+    )
+
+
+@query
+def index_reopened(t: Testbed) -> DataFrame:
+    """Term statistics of the stored index, opened once more instead of being built."""
+    _ = t.index
+    return index.open_or_build(t.corpus, f"{t.root}/index").term_stats.select("term", "df", "cf")
+
+
+@query
+def index_words(t: Testbed) -> DataFrame:
+    return t.index.words
+
+
+@query
+def stances_competition(t: Testbed) -> DataFrame:
+    bodies, stances = readers.read_stances(t.spark, t.stance_folder, "competition")
+    pairs = stance.pair_bodies(stances, bodies)
+    return big(pairs.select("headline", "body_id", "stance", "label", F.md5("article_body").alias("body_md5")))
+
+
+@query
+def stances_unlabelled(t: Testbed) -> DataFrame:
+    bodies, stances = readers.read_stances_unlabelled(t.spark, t.stance_folder)
+    return stance.pair_bodies(stances, bodies).select("headline", "body_id", F.md5("article_body").alias("body_md5"))
+
+
 # ------------------------------------------------------------------- analysis
 
 
@@ -213,7 +293,7 @@ def rerank_candidates(t: Testbed) -> DataFrame:
 
 @query
 def ranking_arrays(t: Testbed) -> DataFrame:
-    return big(search.ranking_arrays(t.run, part_rows=64).withColumn("doc_ids", text_of("doc_ids")))
+    return search.ranking_arrays(t.run, DEPTH).withColumn("doc_ids", text_of("doc_ids"))
 
 
 # ------------------------------------------------------------------ expansion
@@ -305,18 +385,67 @@ def lambda_gradients(t: Testbed) -> DataFrame:
     return rounded(ltr.lambda_gradients(rows, depth=DEPTH), 6)
 
 
+def _trained(t: Testbed, name: str) -> ltr.RankModel:
+    """The stored model of a session, trained when it is first asked for."""
+    train = {
+        "lambdamart": lambda: ltr.train_lambdamart(t.ltr_rows, None, list(DEFAULT_FEATURES), rounds=10, depth=DEPTH),
+        "randomforest": lambda: ltr.train_random_forest(t.ltr_rows, list(DEFAULT_FEATURES), n_trees=20, max_depth=8),
+    }[name]
+    return ltr.load_model(t.spark, t._files(f"model-{name}", lambda path: ltr.save_model(train(), t.spark, path)))
+
+
 @query
 def lambdamart_rank(t: Testbed) -> DataFrame:
-    model = ltr.train_lambdamart(t.ltr_rows, None, list(DEFAULT_FEATURES), rounds=3, depth=DEPTH)
+    model = _trained(t, "lambdamart")
     return rerank(t.ltr_rows, model, depth=DEPTH).select("qid", "doc_id", "rank", "prior_rank", "score")
 
 
 @query
 def random_forest_rank(t: Testbed) -> DataFrame:
-    model = ltr.train_random_forest(t.ltr_rows, list(DEFAULT_FEATURES), n_trees=20, max_depth=8)
+    model = _trained(t, "randomforest")
     return rerank(t.ltr_rows, model, depth=DEPTH).select("qid", "doc_id", "rank", "prior_rank", "score")
 
 
+def _checked(t: Testbed, model: ltr.RankModel, name: str) -> DataFrame:
+    """Per query, what must hold of any trained run; and what must hold of the model."""
+    path = f"{t.root}/models/{name}"
+    ltr.save_model(model, t.spark, path)
+    ranked = cut(rerank(t.ltr_rows, model, depth=DEPTH))
+    again = rerank(t.ltr_rows, ltr.load_model(t.spark, path), depth=DEPTH).select("qid", "doc_id", F.col("rank").alias("reloaded"))
+    gained = ltr._ndcg(ranked, (10,), DEPTH)["ndcg_10"] >= ltr._ndcg(t.ltr_rows, (10,), DEPTH)["ndcg_10"]
+    whole = abs(sum(model.feature_importance().values()) - 1) < 1e-6
+    ahead = Window.partitionBy("qid").orderBy("rank")
+    walked = ranked.join(again, ["qid", "doc_id"], "left").select(
+        "*", F.lag("score").over(ahead).alias("__score"), F.lag("prior_rank").over(ahead).alias("__prior")
+    )
+    given = t.ltr_rows.groupBy("qid").agg(F.count(F.lit(1)).alias("given"))
+    first = F.col("__score").isNull()
+    per = walked.groupBy("qid").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("doc_id").alias("docs"),
+        (F.count_distinct("rank") == F.max("rank") + 1).alias("dense_ranks"),
+        F.bool_and(first | (F.col("__score") >= F.col("score"))).alias("by_score"),
+        F.bool_and(first | (F.col("__score") != F.col("score")) | (F.col("__prior") < F.col("prior_rank"))).alias("stable_ties"),
+        F.bool_and(F.col("reloaded").eqNullSafe(F.col("rank"))).alias("same_after_reload"),
+    )
+    same = (F.col("docs") == F.col("given")) & (F.col("n_rows") == F.col("given"))
+    return per.join(given, "qid").select(
+        "qid", "n_rows", same.alias("same_candidates"), "dense_ranks", "by_score", "stable_ties", F.lit(gained).alias("gains"),
+        F.lit(whole).alias("importances_sum_to_one"), "same_after_reload",
+    )
+
+
+@query
+def lambdamart_checked(t: Testbed) -> DataFrame:
+    model = _trained(t, "lambdamart")
+    return _checked(t, model, "lambdamart")
+
+
+@query
+def random_forest_checked(t: Testbed) -> DataFrame:
+    model = _trained(t, "randomforest")
+    return _checked(t, model, "randomforest")
+
+
 @query
 def rerank_coverage(t: Testbed) -> DataFrame:
     hits = search.candidates_with_text(t.run, t.index.docs, t.topics, DEPTH)

@@ -19,8 +19,9 @@ from passagerank.operators.search import Score, scored, search_with_scores
 from passagerank.operators.sizing import lookup_join
 from passagerank.operators.workspace import workspace
 from passagerank.sources import writers
+from passagerank.sources.readers import STANCE_FILES
 
-DEPTH = 100
+DEPTH = 1000
 SEED = 42
 _indexes: dict[tuple[str, int], Index] = {}
 _written: set[str] = set()
@@ -209,7 +210,9 @@ class Testbed:
             quoted = {"header": True, "quote": '"', "escape": '"', "quoteAll": True, "mode": "overwrite"}
             bodies = self.bodies.toDF("Body ID", "articleBody")
             stances = self.stances.select("headline", "body_id", "stance").toDF("Headline", "Body ID", "Stance")
-            bodies.write.csv(f"{path}/train_bodies.csv", **quoted)
-            stances.write.csv(f"{path}/train_stances.csv", **quoted)
+            for split, (body_file, stance_file) in STANCE_FILES.items():
+                told = stances.drop("Stance") if split == "test" else stances
+                bodies.write.csv(f"{path}/{body_file}", **quoted)
+                told.write.csv(f"{path}/{stance_file}", **quoted)
 
         return self._files("stance", write)

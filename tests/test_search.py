@@ -120,12 +120,9 @@ def test_search_one_and_arrays(spark, index, topics):
     top = se.search_one(spark, "red car", index, k=1).collect()
     assert [(r.doc_id, r.rank) for r in top] == [(brute([(1, "red car")])[1][0][0], 0)]
     run = se.search_with_scores(topics, index)
-    lists = {(r.qid, r.part): r.doc_ids for r in se.ranking_arrays(run, part_rows=2).collect()}
-    flat = defaultdict(list)
-    for key in sorted(lists):
-        assert len(lists[key]) <= 2
-        flat[key[0]] += lists[key]
-    assert dict(flat) == {q: [d for d, _ in rows] for q, rows in as_dict(run).items()}
+    for depth in (2, 1000):
+        lists = {r.qid: r.doc_ids for r in se.ranking_arrays(run, depth).collect()}
+        assert lists == {q: [d for d, _ in rows][:depth] for q, rows in as_dict(run).items()}
 
 
 def test_candidates(index, topics):
