@@ -45,6 +45,7 @@ def drop_query_terms(feedback: DataFrame, topics: DataFrame, index: Index) -> Da
 def offer_weight(r: Column, big_r: Column, n: Column, big_n: Column) -> Column:
     """Robertson's offer weight; an odds ratio below zero counts as 0.001."""
     odds = ((r + 0.5) * (big_n - n - big_r + r + 0.5)) / ((n - r + 0.5) * (big_r - r + 0.5))
+    # fixed value: what stands for an odds ratio below zero
     return r * F.log(F.when(odds < 0, F.lit(0.001)).otherwise(odds))
 
 

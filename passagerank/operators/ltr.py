@@ -132,6 +132,7 @@ class RankModel:
 
 def model_name(algorithm: str, n_train: int, n_valid: int, run_id: str = "00") -> str:
     """Folder name of a stored model."""
+    # fixed values: names of the algorithms in stored models
     label = {"lambdamart": "LambdaRANK", "randomforest": "RandomForest"}[algorithm.lower()]
     return f"{label}_model_{n_train}_{n_valid}_{run_id}"
 

@@ -12,6 +12,7 @@ from passagerank.operators.stance import stance_to_label
 # Stored metadata lengths of the passage index.
 META_LENGTHS = (20, 4096)
 
+# File names of the stance splits.
 STANCE_FILES = {
     "train": ("train_bodies.csv", "train_stances.csv"),
     "competition": ("competition_test_bodies.csv", "competition_test_stances.csv"),
