@@ -2,8 +2,8 @@
 
 The field's tokens are words, numbers and single signs; its features are their shapes, a
 few key words and those of the neighbours.  It is trained from a small labelled table (``text, spans``)
-and decodes, in batches, the stretches around digits, at-signs and the word ``dot``: only
-these can hold personal data of the four kinds.  A span of the field that meets a base span is left out.
+and decodes, in batches, the stretches around digits, at-signs and the words ``at`` and ``dot``: what a span of
+the four kinds looks like holds one of these.  A stretch ends between words, and grows while a span touches its edge.  A span of the field that meets a base span is left out.
 
 Edge cases: null and empty texts have no spans; texts are read whole, and every search is linear
 in their length; repeated rows are searched each; an empty table gives no rows.
@@ -36,7 +36,8 @@ CHAIN = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-ANCHOR = re.compile(r"[0-9@]|\b[Dd][Oo][Tt]\b")
+ANCHOR = re.compile(r"[0-9@]|(?<![^\W\d_])(?:[Aa][Tt]|[Dd][Oo][Tt])(?![^\W\d_])")
+UNBROKEN = re.compile(r"\S*+")
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\S")
 
 Span = tuple[str, int, int]
@@ -185,17 +186,29 @@ def _plausible(kind: str, text: str) -> bool:
     return {"email": True, "card": 14 <= len(digits) <= 19 and luhn(digits or "1"), "phone": 9 <= len(digits) <= 15}[kind]
 
 
+def _word_start(text: str, at: int, floor: int) -> int:
+    while at > floor and not text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def _word_end(text: str, at: int) -> int:
+    return UNBROKEN.match(text, min(at, len(text))).end()
+
+
 def _stretches(text: str) -> Iterator[tuple[int, int]]:
     """Stretches around anchors, with whole words at their ends."""
     start = end = -1
     for m in ANCHOR.finditer(text):
+        if m.start() - AROUND > end >= 0:
+            end = _word_end(text, end)
         if m.start() - AROUND > end:
             if end >= 0:
                 yield start, end
-            start = max(0, m.start() - AROUND)
-        end = min(len(text), m.end() + AROUND)
+            start = _word_start(text, max(0, m.start() - AROUND), max(0, end))
+        end = max(end, m.end() + AROUND)
     if end >= 0:
-        yield start, end
+        yield start, _word_end(text, end)
 
 
 class Finder:
@@ -204,24 +217,46 @@ class Finder:
 
     def added(self, texts: list[str], base: list[list[Span]]) -> list[list[Span]]:
         """Spans of the field for every text, beside its base spans."""
-        pieces = []  # text, tokens, first and last token whose labels count
-        for i, text in enumerate(texts):
-            for start, end in _stretches(text):
-                found = _tokens(text, start, end)
-                glued = _glued(found)
-                for at in range(0, len(found), CHUNK):
-                    low, high = max(0, at - MARGIN), min(len(found), at + CHUNK + MARGIN)
-                    pieces.append((i, found[low:high], glued[low:high], at - low, min(at + CHUNK, len(found)) - low))
-        pieces.sort(key=lambda p: len(p[1]))
         out: list[list[Span]] = [[] for _ in texts]
+        stretches, around = [(i, *s) for i, text in enumerate(texts) for s in _stretches(text)], AROUND
+        while stretches:
+            touched = self._decode(texts, stretches, out)
+            # a stretch that a span may run out of is decoded again with more text around it
+            stretches = [
+                (i, _word_start(texts[i], max(0, start - around), 0), _word_end(texts[i], end + around))
+                for i, start, end in touched
+            ]
+            around *= 2
+        return [self._beside(spans, kept) for spans, kept in zip(out, base, strict=True)]
+
+    def _decode(self, texts: list[str], stretches: list[tuple[int, int, int]], out: list[list[Span]]) -> list:
+        """Adds the spans of the stretches to ``out``; returns instead stretches with a span at an edge inside the text."""
+        pieces = []  # stretch, tokens, first and last token whose labels count, whether these are the first and last of all
+        for n, (i, start, end) in enumerate(stretches):
+            found = _tokens(texts[i], start, end)
+            glued = _glued(found)
+            for at in range(0, len(found), CHUNK):
+                low, high = max(0, at - MARGIN), min(len(found), at + CHUNK + MARGIN)
+                stop = min(at + CHUNK, len(found))
+                edges = (at == 0 and start > 0, stop == len(found) and end < len(texts[i]))
+                pieces.append((n, found[low:high], glued[low:high], at - low, stop - low, edges))
+        pieces.sort(key=lambda p: len(p[1]))
+        spans: list[list[Span]] = [[] for _ in stretches]
+        touched = set()
         for at in range(0, len(pieces), BATCH):
             held = pieces[at : at + BATCH]
             scores = [self.field.emissions(features_of([m.group() for m in p[1]], p[2])) for p in held]
-            for (i, found, _, first, last), labels in zip(
+            for (n, found, _, first, last, edges), labels in zip(
                 held, crf.viterbi(scores, self.field.steps, self.field.starts), strict=True
             ):
-                out[i] += self._spans(found, labels.tolist(), first, last, texts[i])
-        return [self._beside(spans, kept) for spans, kept in zip(out, base, strict=True)]
+                kept = self._spans(found, labels.tolist(), first, last, texts[stretches[n][0]])
+                spans[n] += kept
+                if any((edges[0] and s == found[first].start()) or (edges[1] and e >= found[last - 1].end()) for _, s, e in kept):
+                    touched.add(n)
+        for n, (i, _, _) in enumerate(stretches):
+            if n not in touched:
+                out[i] += spans[n]
+        return [stretches[n] for n in sorted(touched)]
 
     @staticmethod
     def _spans(found, labels, first, last, text) -> list[Span]:
@@ -235,6 +270,9 @@ class Finder:
             while i < len(found) and LABELS[labels[i]] == "I-" + label[2:]:
                 end = found[i].end()
                 i += 1
+            if label == "B-email" and (whole := SURFACES["email"].match(text, start, end)):
+                # labels may run on into the words after an address
+                end = whole.end()
             if _plausible(label[2:], text[start:end]):
                 spans.append((label[2:], start, end))
         return spans

@@ -88,6 +88,26 @@ def test_field_adds_disguised_data_beside_base_spans(field):
     assert pii.Finder(field).added([plain], [pii.base_spans(plain)])[0] == []
 
 
+def test_addresses_without_signs_or_digits_around(field):
+    prose = "the river was long and the day went by as slowly as ever before "
+    for address in ("jane (at) example.com", "jane at host.org", "jane(at)host.de", "jane [at] host.net"):
+        text = prose * 3 + "mail " + address + " " + prose * 3
+        spans = pii.Finder(field).added([text], [[]])[0]
+        assert [text[s:e] for _, s, e in spans] == [address]
+    assert pii.Finder(field).added([prose + "look at that and stay at home " + prose], [[]])[0] == []
+
+
+def test_long_addresses_are_found_whole(field):
+    prose = "the river was long and the day went by as slowly as ever before "
+    for address in ("a" * 60 + " (at) " + "b" * 60 + ".com", "-".join(["name"] * 20) + "(at)" + ".".join(["part"] * 20) + ".org"):
+        text = prose + address + " " + prose
+        spans = pii.Finder(field).added([text], [[]])[0]
+        assert all(text[s - 1] == " " and text[e] == " " for _, s, e in spans), [text[s:e] for _, s, e in spans]
+    text = prose * 3 + "x" * 200 + "7" + "y" * 200 + " " + prose * 3
+    ((start, end),) = pii._stretches(text)
+    assert text[start - 1] == " " and text[end] == " " and end - start >= 401
+
+
 def test_viterbi_equals_all_paths():
     random_ = np.random.default_rng(1)
     steps, starts = random_.normal(size=(3, 3)), random_.normal(size=3)
