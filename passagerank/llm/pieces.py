@@ -2,14 +2,14 @@
 
 Pieces never run across the start of a word, so a text is cut into units of spaces and what
 follows them.  Candidate merges of a unit are taken from an agenda, best score first, the
-leftmost on ties; a keyed hash of the seed, the unit, its variant and the candidate's three
-boundaries skips some of them for good.  Short units advance together as flat arrays, one merge of each a
-round; long ones use a heap.  Both give the same pieces.  The occurrences of a unit
-take one of ``variants`` segmentations by a hash of the document's id and the occurrence's number.
+leftmost on ties; a keyed hash of the seed, the unit, the document, the copy of it, the place in it and the
+candidate's three boundaries skips some of them for good.  Short units advance together as flat arrays, one merge of each a
+round; long ones use a heap.  Both give the same pieces.  Occurrences of a unit that skip none of
+the merges made without dropout share their result; every other one is segmented by itself.
 
 Edge cases: null and empty texts have no pieces and decode to the empty text; characters outside the
 vocabulary, and the sign that stands for a space, become byte pieces, so every text decodes to
-itself; repeated rows are encoded alike; an empty table gives no rows; texts are never cut.
+itself; repeated rows are encoded alike unless a column numbers them; an empty table gives no rows; texts are never cut.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from passagerank.llm.shared import text_of
 from passagerank.llm.token_counts import NONE, PairTable
 
-#: Chance of a candidate to be skipped, and segmentations of a unit within one seed.
-DROPOUT, VARIANTS = 0.1, 8
+#: Chance of a candidate to be skipped.
+DROPOUT = 0.1
 #: Units up to this length advance as arrays; characters of texts (or ids) a task holds at a time.
 SHORT, CHUNK_CHARS = 48, 1_000_000
 SPACE = chr(0x2581)
@@ -69,7 +69,8 @@ def take_runs(flat: np.ndarray, begins: np.ndarray, lengths: np.ndarray, order:
 
 
 class Encoder:
-    def __init__(self, model: dict, seed: int, dropout: float = DROPOUT, variants: int = VARIANTS):
+    def __init__(self, model: dict, seed: int, dropout: float = DROPOUT, variants: int | None = None):
+        """``variants`` limits the segmentations of a unit to so many; by default every occurrence has its own."""
         self.pieces, self.byte = model["pieces"], model["first_byte"]
         self.ids = {p: i for i, (p, ok) in enumerate(zip(self.pieces, model["plain"], strict=True)) if ok}
         self.of_point = np.full(0x110000, -1, np.int64)
@@ -86,13 +87,13 @@ class Encoder:
         ]
         table = np.array(pairs, np.int64).reshape(-1, 3)
         self.table = PairTable(table[:, 0], table[:, 1], table[:, 2], bits=20)
-        self.seed, self.variants = np.uint64(seed), variants
+        self.seed, self.variants = np.uint64(seed % 2**64), variants
         self.limit = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
 
     # keys and symbols
 
-    def described(self, units: list[str], variants) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Lengths, keys (seed, variant and characters) and a piece for every character of the units.
+    def described(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Lengths, hashes of the characters and a piece for every character of the units.
 
         A character outside the vocabulary has the piece -1.
         """
@@ -102,9 +103,12 @@ class Encoder:
         with np.errstate(over="ignore"):
             at = (np.arange(len(points)) - np.repeat(first, lengths)).astype(np.uint64)
             spread = _mix(points.astype(np.uint64) * M1 + at * M4)
-            salt = self.seed * M3 + np.asarray(variants, np.uint64) * M2
-            keys = _mix(np.add.reduceat(spread, first) + salt)
-        return lengths, keys, self.of_point[points]
+            return lengths, np.add.reduceat(spread, first), self.of_point[points]
+
+    def keyed(self, hashes: np.ndarray, variants) -> np.ndarray:
+        """Keys of units by seed, variant and characters."""
+        with np.errstate(over="ignore"):
+            return _mix(hashes + (self.seed * M3 + np.asarray(variants, np.uint64) * M2))
 
     def skipped(self, keys, start, middle, end) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -124,7 +128,8 @@ class Encoder:
     # one long unit
 
     def encode_long(self, unit: str, variant: int) -> list[int]:
-        _, key, points = self.described([unit], [variant])
+        _, hashes, points = self.described([unit])
+        key = self.keyed(hashes, [variant])
         ids, n = points.tolist(), len(unit)
         ends, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), [*range(1, n), -1]
         alive, agenda = [True] * n, []
@@ -162,11 +167,15 @@ class Encoder:
 
     # many short units
 
-    def encode_short(self, units: list[str], variants: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_short(self, units: list[str], variants) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units in a row, and their number per unit."""
         if not units:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        lengths, keys, ids = self.described(units, variants)
+        lengths, hashes, ids = self.described(units)
+        return self._advance(units, lengths, ids, self.keyed(hashes, variants))
+
+    def _advance(self, units: list[str], lengths, ids, keys, merges: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode_short``; without keys nothing is skipped, and ``merges`` gets the units and boundaries of all merges."""
         starts = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         ends, who = starts + 1, np.arange(len(units))
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # units, their numbers of ids, their ids
@@ -186,8 +195,8 @@ class Encoder:
             pair = np.flatnonzero((sequence[:-1] == sequence[1:]) & (ids[:-1] >= 0) & (ids[1:] >= 0))
             made[pair] = self.table.find(ids[pair], ids[pair + 1])
             pair = pair[made[pair] != NONE]
-            dropped = self.skipped(keys[who[sequence[pair]]], starts[pair], starts[pair + 1], ends[pair + 1])
-            pair = pair[~dropped]
+            if keys is not None:
+                pair = pair[~self.skipped(keys[who[sequence[pair]]], starts[pair], starts[pair + 1], ends[pair + 1])]
             ranks = np.full(len(ids), NONE, np.int32)
             ranks[pair] = self.rank_of[made[pair]]
             first = np.cumsum(lengths) - lengths
@@ -206,6 +215,8 @@ class Encoder:
             leftmost = np.ones(len(at), bool)
             leftmost[1:] = sequence[at[1:]] != sequence[at[:-1]]
             at = at[leftmost]
+            if merges is not None:
+                merges.append((who[sequence[at]], starts[at], starts[at + 1], ends[at + 1]))
             ids[at], ends[at] = made[at], ends[at + 1]
             keep = np.ones(len(ids), bool)
             keep[at + 1] = False
@@ -225,21 +236,56 @@ class Encoder:
             out += [LITERAL, *UNIT.findall(part.replace(" ", SPACE))]
         return out
 
-    def _segmented(self, units: list[str], variants: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all units, where each unit's begin, and their number."""
-        sizes = np.fromiter(map(len, units), np.int64, len(units))
+    def _segmented(self, names: list[str], of: np.ndarray, variants: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of segmentations, and where each occurrence's (of unit ``of``) begin in them, and their number."""
+        sizes = np.fromiter(map(len, names), np.int64, len(names))
         odd = sizes > SHORT
-        odd[[i for i in np.flatnonzero(sizes == len(LITERAL)).tolist() if units[i] == LITERAL]] = True
+        odd[[i for i in np.flatnonzero(sizes == len(LITERAL)).tolist() if names[i] == LITERAL]] = True
+        begins, lengths = np.zeros(len(of), np.int64), np.zeros(len(of), np.int64)
+        parts, at = [], 0
+
+        def put(these: np.ndarray, flat: np.ndarray, firsts, counts) -> None:
+            nonlocal at
+            begins[these], lengths[these] = at + firsts, counts
+            parts.append(flat)
+            at += len(flat)
+
         short = np.flatnonzero(~odd)
-        flat, counts = self.encode_short([units[i] for i in short.tolist()], variants[short])
-        begins, lengths = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
-        begins[short], lengths[short] = np.cumsum(counts) - counts, counts
-        parts, at = [flat], len(flat)
-        for i in np.flatnonzero(odd).tolist():
-            found = self.literal() if units[i] == LITERAL else self.encode_long(units[i], int(variants[i]))
-            parts.append(np.array(found, np.int64))
-            begins[i], lengths[i] = at, len(found)
-            at += len(found)
+        units = [names[i] for i in short.tolist()]
+        if units:
+            number = np.zeros(len(names), np.int64)
+            number[short] = np.arange(len(short))
+            merges: list[tuple] = []
+            chars, hashes, points = self.described(units)
+            flat, counts = self._advance(units, chars, points.copy(), None, merges)
+            these = np.flatnonzero(~odd[of])
+            unit = number[of[these]]
+            put(these, flat, (np.cumsum(counts) - counts)[unit], counts[unit])
+            if self.limit and merges:
+                keys = self.keyed(hashes[unit], variants[these])
+                who, *bounds = (np.concatenate(columns) for columns in zip(*merges, strict=True))
+                order = np.argsort(who, kind="stable")
+                made = np.bincount(who, minlength=len(units))
+                first, taken = (np.cumsum(made) - made)[unit], made[unit]
+                place = order[np.repeat(first - (np.cumsum(taken) - taken), taken) + np.arange(int(taken.sum()))]
+                occurrence = np.repeat(np.arange(len(unit)), taken)
+                skipped = self.skipped(keys[occurrence], *(column[place] for column in bounds))
+                own = np.unique(occurrence[skipped])
+                if len(own):
+                    unit = unit[own]
+                    ids = take_runs(points, np.cumsum(chars) - chars, chars, unit)
+                    flat, counts = self._advance([units[i] for i in unit.tolist()], chars[unit], ids, keys[own])
+                    put(these[own], flat, np.cumsum(counts) - counts, counts)
+        memo: dict[tuple[int, int], tuple[int, int]] = {}
+        for i in np.flatnonzero(odd[of]).tolist():
+            name = names[of[i]]
+            same = int(of[i]), int(variants[i]) if self.limit and name != LITERAL else 0
+            if same not in memo:
+                found = self.literal() if name == LITERAL else self.encode_long(name, int(variants[i]))
+                parts.append(np.array(found, np.int64))
+                memo[same] = at, len(found)
+                at += len(found)
+            begins[i], lengths[i] = memo[same]
         return np.concatenate(parts), begins, lengths
 
     def encode(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -253,14 +299,12 @@ class Encoder:
         nth = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
         document = np.repeat(np.array([k % 2**64 for k in keys], np.uint64), counts)
         with np.errstate(over="ignore"):
-            variant = _mix(document * M1 + nth.astype(np.uint64) * M4 + self.seed) % np.uint64(self.variants)
-        pairs, which = np.unique(flat * self.variants + variant.astype(np.int64), return_inverse=True)
-        names = list(numbers)
-        ids, begins, lengths = self._segmented(
-            [names[p] for p in (pairs // self.variants).tolist()], pairs % self.variants
-        )
-        per_text = np.add.reduceat(np.append(lengths[which], 0), np.minimum(np.cumsum(counts) - counts, len(which)))
-        return take_runs(ids, begins, lengths, which).astype(np.int32), np.where(counts > 0, per_text, 0)
+            variant = _mix(document * M1 + nth.astype(np.uint64) * M4 + self.seed)
+        if self.variants is not None:
+            variant %= np.uint64(self.variants)
+        ids, begins, lengths = self._segmented(list(numbers), flat, variant)
+        per_text = np.add.reduceat(np.append(lengths, 0), np.minimum(np.cumsum(counts) - counts, len(flat)))
+        return take_runs(ids, begins, lengths, np.arange(len(flat))).astype(np.int32), np.where(counts > 0, per_text, 0)
 
 
 class Decoder:
@@ -278,12 +322,16 @@ class Decoder:
 
 
 def encode(
-    docs: DataFrame, model_path: str, seed: int = 42, dropout: float = DROPOUT, variants: int = VARIANTS,
+    docs: DataFrame, model_path: str, seed: int = 42, dropout: float = DROPOUT, variants: int | None = None,
     doc_id: str = "doc_id", text: str = "text", into: str = "ids",
+    copy: str | None = None,
 ) -> DataFrame:
-    """``docs`` with the column ``into``: the ids of its texts.  Only the driver reads the model file."""
+    """``docs`` with the column ``into``: the ids of its texts.  Only the driver reads the model file.
+
+    A column ``copy`` that numbers the copies of a document lets them be segmented each in its own way.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
-    rows = docs.withColumns({"__key": F.xxhash64(doc_id, F.lit(seed)), "__text": text_of(text)})
+    rows = docs.withColumns({"__key": F.xxhash64(doc_id, F.lit(seed), *([copy] if copy else [])), "__text": text_of(text)})
 
     names = docs.columns
 

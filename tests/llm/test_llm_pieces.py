@@ -69,6 +69,34 @@ def test_dropout_skips_about_its_share(model):
     assert abs(skipped.mean() - 0.25) < 0.02
 
 
+def test_every_occurrence_draws_its_own_skips(model):
+    encoder, n = pieces.Encoder(model, 5), 4000
+    plain = pieces.Encoder(model, 5, 0.0)
+    text = "a t s of in the and to information"
+    for unit in (SPACE + w for w in text.split()):
+        merges = []
+        lengths, _, ids = plain.described([unit])
+        plain._advance([unit], lengths, ids, None, merges)
+        whole = encoded(plain, [unit[1:]], [0])[0]
+        found = encoded(encoder, [unit[1:]] * n, list(range(n)))
+        kept = sum(f == whole for f in found) / n
+        # without a skip the result is that without dropout, which other merges may give as well
+        assert 0.9 ** len(merges) - 0.03 < kept < 1, unit
+        assert len(merges) > 1 or abs(kept - 0.9) < 0.03, unit
+    assert len({tuple(f) for f in encoded(encoder, ["information"] * n, list(range(n)))}) > 8
+
+
+def test_shared_results_equal_the_agenda(model, documents):
+    encoder = pieces.Encoder(model, 3, 0.3)
+    text = next(t for t in documents.values() if 500 < len(t) and SPACE not in t)[:3000]
+    units = encoder.units(text)
+    with np.errstate(over="ignore"):
+        nth = np.arange(len(units)).astype(np.uint64)
+        variants = pieces._mix(np.uint64(77) * pieces.M1 + nth * pieces.M4 + encoder.seed)
+    wanted = [i for u, v in zip(units, variants.tolist(), strict=True) for i in encoder.encode_long(u, v)]
+    assert encoded(encoder, [text], [77])[0] == wanted
+
+
 def test_query(spark, sf_dir, documents):
     rows = QUERIES["op3_pieces"](spark, sf_dir).collect()
     assert len(rows) == len(documents) and all(r["lossless"] for r in rows)

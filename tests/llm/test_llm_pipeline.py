@@ -68,3 +68,10 @@ def test_odd_tables(spark, odd_docs, no_docs):
             docs = corpus_pipeline.stored(stage(spark, docs, "unused"), "test-odd")
         assert docs.columns == odd_docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, "unused").count() == docs.count()
+
+
+def test_copies_are_segmented_each_and_decoded(spark):
+    text = "segmentation of the repeated information " * 20
+    docs = spark.createDataFrame([(1, text, "en", "a")] * 2, "doc_id BIGINT, text STRING, lang STRING, source STRING")
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, "unused").collect()
+    assert rows[0]["ids"] != rows[1]["ids"] and all(r["lossless"] for r in rows)
