@@ -279,7 +279,7 @@ def train(
     sizes = {(r["half"], r["label"]): r["count"] for r in rows.groupBy("half", "label").count().collect()}
     every = sum(sizes.values())
     prior = sum(v for k, v in sizes.items() if k[1]) / every if every else 0.0
-    language = language_model(_trigrams(rows))
+    language = language_model(_trigrams(docs.select(text_of(text).alias("text"))))
     if not all(sizes.get((half, label)) for half in (0, 1) for label in (0, 1)):
         return Model(language, {}, np.zeros(0), prior)
     pieces_of = _piece_counts(rows.filter("label = 1"), language)

@@ -78,3 +78,12 @@ def test_odd_tables(spark, odd_docs, no_docs):
     empty = toxicity.train(no_docs, labels.limit(0))
     assert toxicity.score(no_docs, empty).count() == 0
     assert {r["score"] for r in toxicity.score(odd_docs, empty).collect()} == {0.0}
+
+
+def test_language_model_counts_all_documents(spark):
+    texts = [f"common words of document {i}" for i in range(50)] + ["zyxwv qponm"] * 30
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id BIGINT, toxic INT")
+    found = toxicity.train(docs, labels, max_docs=10).language
+    wanted = toxicity.language_model(sum(toxicity.trigram_counts(t.encode()) for t in texts))
+    assert np.allclose(found, wanted)
