@@ -2,7 +2,7 @@
 
 A noisy channel turns letters into digits and signs, repeats them or spaces them out.
 Tokens that look disguised become lattices of the letters they may stand for; Viterbi decoding
-under a character trigram model, learned from the sample, restores the likeliest word.  Restored and
+under a character trigram model, counted over all documents, restores the likeliest word.  Restored and
 plain words are scored by word and character-piece log-odds learned from labels.
 
 Learning takes a sample of at most about ``max_docs`` labelled rows, chosen by a hash of the id.  Its
