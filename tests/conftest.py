@@ -6,6 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
+from corpus_rows import DOCS
+
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
@@ -26,17 +28,6 @@ def spark():
     session.stop()
 
 
-DOCS = [
-    (1, "The cat sat on the mat. The cat's hat was red."),
-    (2, "A red car and a red bus."),
-    (3, "Cats and cars: the cat drives a car, a red car!"),
-    (4, ""),
-    (5, "the of and to"),
-    (6, "Bus stops near www.example.com and near the mat"),
-    (7, "cat cat cat cat"),
-]
-
-
 @pytest.fixture(scope="session")
 def corpus(spark):
     return spark.createDataFrame(DOCS, "doc_id BIGINT, text STRING")

@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import DOCS
+from corpus_rows import DOCS
 
 from passagerank.operators import index as ix
 

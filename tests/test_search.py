@@ -2,7 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import DOCS
+from corpus_rows import DOCS
 
 from passagerank.operators import search as se
 from passagerank.operators import sizing
