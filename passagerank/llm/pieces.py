@@ -9,7 +9,9 @@ the merges made without dropout share their result; every other one is segmented
 
 Edge cases: null and empty texts have no pieces and decode to the empty text; characters outside the
 vocabulary, and the sign that stands for a space, become byte pieces, so every text decodes to
-itself; repeated rows are encoded alike unless a column numbers them; an empty table gives no rows; texts are never cut.
+itself; repeated rows are encoded alike unless a column numbers them; an empty table gives no rows; texts are never cut:
+a long one is segmented window by window, between units, with the same pieces.  Extra columns stay; one that has the name of
+a column to be added is an error.
 """
 
 from __future__ import annotations
@@ -30,12 +32,15 @@ from passagerank.llm.token_counts import NONE, PairTable
 
 #: Chance of a candidate to be skipped.
 DROPOUT = 0.1
-#: Units up to this length advance as arrays; characters of texts (or ids) a task holds at a time.
-SHORT, CHUNK_CHARS = 48, 1_000_000
+#: Units up to this length advance as arrays; characters of texts (or ids) a task segments at a time.  A longer text is
+#: read in windows that end between units.
+SHORT, CHUNK_CHARS = 48, 250_000
 SPACE = chr(0x2581)
 #: A unit that no text gives: the sign for a space, standing for itself.
 LITERAL = "\0" + SPACE
 UNIT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+#: Where a unit of spaces and what follows them begins.
+BOUNDARY = re.compile("(?<! ) ")
 M1, M2, M3, M4 = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
 
@@ -227,11 +232,12 @@ class Encoder:
 
     # texts
 
-    def units(self, text: str) -> list[str]:
+    def units(self, text: str, first: bool = True) -> list[str]:
+        """The units of a text, or of a window of it; only the ``first`` window has the space that stands before a text."""
         if not text:
             return []
         parts = text.split(SPACE)
-        out = UNIT.findall(SPACE + parts[0].replace(" ", SPACE))
+        out = UNIT.findall((SPACE if first else "") + parts[0].replace(" ", SPACE))
         for part in parts[1:]:
             out += [LITERAL, *UNIT.findall(part.replace(" ", SPACE))]
         return out
@@ -288,23 +294,68 @@ class Encoder:
             begins[i], lengths[i] = memo[same]
         return np.concatenate(parts), begins, lengths
 
-    def encode(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and their number per text; ``keys`` tell documents apart."""
+    def _occurrences(self, found: list[list[str]], keys: list[int], places: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of windows (their units, the key of their text, the place of the first unit in it), and their number."""
         numbers: dict[str, int] = {}
-        found = [[numbers.setdefault(u, len(numbers)) for u in self.units(t)] for t in texts]
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.array([n for f in found for n in f], np.int64)
+        flat = np.array([numbers.setdefault(u, len(numbers)) for units in found for u in units], np.int64)
         if not len(flat):
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        nth = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
+            return np.zeros(0, np.int32), counts
+        nth = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts - np.array(places, np.int64), counts)
         document = np.repeat(np.array([k % 2**64 for k in keys], np.uint64), counts)
         with np.errstate(over="ignore"):
             variant = _mix(document * M1 + nth.astype(np.uint64) * M4 + self.seed)
         if self.variants is not None:
             variant %= np.uint64(self.variants)
         ids, begins, lengths = self._segmented(list(numbers), flat, variant)
-        per_text = np.add.reduceat(np.append(lengths, 0), np.minimum(np.cumsum(counts) - counts, len(flat)))
-        return take_runs(ids, begins, lengths, np.arange(len(flat))).astype(np.int32), np.where(counts > 0, per_text, 0)
+        per_window = np.add.reduceat(np.append(lengths, 0), np.minimum(np.cumsum(counts) - counts, len(flat)))
+        return take_runs(ids, begins, lengths, np.arange(len(flat))).astype(np.int32), np.where(counts > 0, per_window, 0)
+
+    def chunks(self, texts: list[str]) -> Iterator[list[tuple[int, int, int]]]:
+        """Windows (text, start, end), in order, as many as a task segments at a time."""
+        held, chars = [], 0
+        for n, text in enumerate(texts):
+            start = 0
+            while start < len(text):
+                m = BOUNDARY.search(text, start + CHUNK_CHARS - chars)
+                end = m.start() if m and m.start() > start else len(text)
+                if held and chars + end - start > 2 * CHUNK_CHARS:
+                    yield held
+                    held, chars = [], 0
+                    continue
+                held.append((n, start, end))
+                chars, start = chars + end - start, end
+                if chars >= CHUNK_CHARS:
+                    yield held
+                    held, chars = [], 0
+        if held:
+            yield held
+
+    def encode(
+        self, texts: list[str], keys: list[int], decoder: Decoder | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, their number per text, and whether ``decoder`` gives the text back.
+
+        ``keys`` tell documents apart.
+        """
+        parts, counts, same = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64), np.ones(len(texts), bool)
+        last, place = -1, 0
+        for windows in self.chunks(texts):
+            found, places = [], []
+            for n, start, end in windows:
+                place = place if n == last else 0
+                last = n
+                found.append(self.units(texts[n][start:end], start == 0))
+                places.append(place)
+                place += len(found[-1])
+            ids, sizes = self._occurrences(found, [keys[n] for n, _, _ in windows], places)
+            parts.append(ids)
+            np.add.at(counts, [n for n, _, _ in windows], sizes)
+            if decoder is not None:
+                ends = np.cumsum(sizes)
+                for (n, start, end), low, high in zip(windows, (ends - sizes).tolist(), ends.tolist(), strict=True):
+                    same[n] &= decoder.decode(ids[low:high], start == 0) == texts[n][start:end]
+        return np.concatenate(parts), counts, same
 
 
 class Decoder:
@@ -315,46 +366,59 @@ class Decoder:
             spelled.append(bytes([byte]) if 0 <= byte < 256 else piece.replace(SPACE, " ").encode() if plain else b"")
         self.spelled = spelled
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The text that the ids stand for, without the space that encoding puts before it."""
-        whole = b"".join(map(self.spelled.__getitem__, ids.tolist()))
-        return whole[1:].decode("utf-8", "surrogatepass") if whole[:1] == b" " else whole.decode("utf-8", "surrogatepass")
+    def decode(self, ids: np.ndarray, first: bool = True) -> str:
+        """The text that the ids stand for, without the space that encoding puts before the ``first`` of them."""
+        whole = b"".join(
+            b"".join(map(self.spelled.__getitem__, ids[at : at + CHUNK_CHARS].tolist()))
+            for at in range(0, len(ids), CHUNK_CHARS)
+        )
+        return (whole[1:] if first and whole[:1] == b" " else whole).decode("utf-8", "surrogatepass")
 
 
 def encode(
     docs: DataFrame, model_path: str, seed: int = 42, dropout: float = DROPOUT, variants: int | None = None,
     doc_id: str = "doc_id", text: str = "text", into: str = "ids",
-    copy: str | None = None,
+    copy: str | None = None, check: str | None = None,
 ) -> DataFrame:
     """``docs`` with the column ``into``: the ids of its texts.  Only the driver reads the model file.
 
-    A column ``copy`` that numbers the copies of a document lets them be segmented each in its own way.
+    A column ``copy`` that numbers the copies of a document lets them be segmented each in its own way.  The column
+    ``check``, if asked for, says whether the ids decode to the text; that takes no second pass.  A column of ``docs`` that
+    has the name of a new one is an error.
     """
+    names, added = docs.columns, [into, *([check] if check else [])]
+    if clash := set(added) & set(names):
+        raise ValueError(f"columns {sorted(clash)} are there already: name others by into and check")
     shipped = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
-    rows = docs.withColumns({"__key": F.xxhash64(doc_id, F.lit(seed), *([copy] if copy else [])), "__text": text_of(text)})
-
-    names = docs.columns
+    key, content = (f"__{i}" for i in _unused(names, 2))
+    rows = docs.withColumns({key: F.xxhash64(doc_id, F.lit(seed), *([copy] if copy else [])), content: text_of(text)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shipped.value, seed, dropout, variants)
+        model = shipped.value
+        encoder, decoder = Encoder(model, seed, dropout, variants), Decoder(model) if check else None
         for batch in batches:
-            texts, keys = batch.column("__text").to_pylist(), batch.column("__key").to_pylist()
-            at = 0
-            while at < len(texts):
-                end, chars = at, 0
-                while end < len(texts) and (end == at or chars + len(texts[end]) <= CHUNK_CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                ids, counts = encoder.encode(texts[at:end], keys[at:end])
+            for part in _parts(batch, content):
+                ids, counts, same = encoder.encode(part.column(content).to_pylist(), part.column(key).to_pylist(), decoder)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-                part = batch.slice(at, end - at)
-                kept = [part.column(c) for c in names]
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.ListArray.from_arrays(offsets, pa.array(ids))], [*names, into]
-                )
-                at = end
-
-    return rows.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))]))
+                made = [pa.ListArray.from_arrays(offsets, pa.array(ids)), *([pa.array(same)] if check else [])]
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), *made], [*names, *added])
+
+    fields = [T.StructField(into, T.ArrayType(T.IntegerType())), *([T.StructField(check, T.BooleanType())] if check else [])]
+    return rows.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
+
+
+def _unused(names: list[str], n: int) -> list[int]:
+    """Numbers that, after two underscores, name no column yet."""
+    found = (i for i in range(len(names) + n) if f"__{i}" not in names)
+    return [next(found) for _ in range(n)]
+
+
+def _parts(batch: pa.RecordBatch, content: str) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``CHUNK_CHARS`` bytes of text at a time; a longer text stands alone."""
+    sizes = pc.binary_length(batch.column(content)).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // (4 * CHUNK_CHARS))) + 1
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)], strict=True):
+        yield batch.slice(start, end - start)
 
 
 def decode(rows: DataFrame, model_path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:

@@ -6,13 +6,10 @@ radius 1 and fetches the values that exist.  Fingerprints that share a neighbour
 compared in full.  They come in blocks by a hash, two blocks at a time, and a
 comparison returns the links of a spanning forest, never all pairs.
 
-``similar_documents`` finds texts whose sets of word shingles are alike.  That takes more bits: 32 segments of
-12 bits each.  Fingerprints that share a segment are compared in full; what is near enough
-forms candidate groups, and inside a group all pairs are held against the exact similarity of their sets.
-
 Edge cases: null and empty texts have the fingerprint 0, linked like any other; a text of
 fewer words than a shingle is one shingle; repeated rows and equal texts share a component;
 a null id never names a component, unless it has no other; an empty table gives no rows.
+Extra columns are not read, whatever their names; only ``keep_one`` returns them.
 """
 
 from __future__ import annotations
@@ -26,25 +23,15 @@ from pyspark.sql import functions as F
 
 from passagerank.llm.components import components
 from passagerank.llm.shared import stored, text_of
+from passagerank.operators.sizing import lookup_join
 
 #: Hash seed and the number of bits that may differ.
 SEED = 42
 DISTANCE = 3
-#: Blocks over which the fingerprints of one segment value are spread.
-BLOCKS = 64
-#: Fingerprints compared with each other at a time, inside a block.
+#: Fingerprints of one segment value in a block, which are compared with each other at a time.
 TILE = 2048
 #: Shingles whose bits are counted at a time.
 ROWS = 1 << 16
-#: Similarity of shingle sets: words of a shingle and least share of common ones.
-WORDS, LEAST = 5, 0.8
-#: Segments of a wide fingerprint, bits of one, and bits of the whole that may differ in candidates.  Sets at 0.8 differ
-#: in 58 of 384 bits on average with a deviation of 7, and share no segment with chance 0.01.
-SEGMENTS, SEGMENT_BITS, WIDE_DISTANCE = 32, 12, 88
-WIDE = SEGMENTS * SEGMENT_BITS
-#: Wide fingerprints of one segment value in a block; texts and shingles of a candidate group in a block; shingles
-#: counted at a time.
-WIDE_BLOCK, GROUP_TEXTS, GROUP_SHINGLES, COLUMNS = 512, 128, 200_000, 4096
 
 
 def shingle_hashes(text: bytes, words: int) -> bytes:
@@ -155,13 +142,16 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
         F.struct(F.lit(0).alias("seg"), F.shiftrightunsigned("fp", 32).alias("value")),
         F.struct(F.lit(1).alias("seg"), low.alias("value")),
     ))
+    keys = fps.select("fp", segment.alias("s")).select("fp", "s.seg", "s.value")
+    values = stored(keys.groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n")), "simhash-values")
+    # one value of many fingerprints is spread over as many blocks as it fills: few values are so full
+    full = values.filter(F.col("n") > TILE).select("seg", "value", F.ceil(F.col("n") / TILE).alias("blocks"))
+    block = F.coalesce(F.pmod(F.xxhash64("fp"), F.col("blocks")), F.lit(0)).cast("int").alias("block")
     index = stored(
-        fps.select("fp", segment.alias("s"), F.pmod(F.xxhash64("fp"), F.lit(BLOCKS)).cast("int").alias("block"))
-        .groupBy("s.seg", "s.value", "block")
-        .agg(F.collect_list("fp").alias("fps")),
+        lookup_join(keys, full, ["seg", "value"], "left").select("fp", "seg", "value", block)
+        .groupBy("seg", "value", "block").agg(F.collect_list("fp").alias("fps")),
         "simhash-index",
     )
-    values = stored(index.groupBy("seg", "value").agg(F.sum(F.size("fps")).alias("n")), "simhash-values")
     probes = values.select("seg", F.col("value").alias("of"), "n", F.explode(_ball(F.col("value"))).alias("value"))
     # a value meets itself only if several fingerprints have it
     probes = probes.filter((F.col("of") != F.col("value")) | (F.col("n") > 1)).drop("n")
@@ -189,194 +179,6 @@ def near_duplicates(
     return rows.join(found, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
-def wide_fingerprint(shingles: np.ndarray) -> np.ndarray:
-    """``WIDE`` bits as bytes, each set if it is set in over half of the distinct shingles."""
-    counts, words = np.zeros(WIDE, np.int64), np.arange(1, WIDE // 64 + 1, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for at in range(0, len(shingles), ROWS):
-            x = shingles[at : at + ROWS, None] + words * np.uint64(0x9E3779B97F4A7C15)
-            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            x ^= x >> np.uint64(31)
-            counts += np.unpackbits(x.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * counts > len(shingles))
-
-
-def _segments(fp: np.ndarray) -> np.ndarray:
-    """Segment values of a wide fingerprint, told apart by segment."""
-    values = np.unpackbits(fp).reshape(SEGMENTS, SEGMENT_BITS) @ (1 << np.arange(SEGMENT_BITS))
-    return values + (np.arange(SEGMENTS) << SEGMENT_BITS)
-
-
-def wide_fingerprints(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """``doc_id, text_hash, node, n, fp, segments`` per row; texts of the same words have the same ``node``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
-
-        for batch in batches:
-            nodes, sizes, fps, keys = [], [], [], []
-            for t in batch.column(2).cast(pa.binary()):
-                content = t.as_py()
-                shingles = np.unique(np.frombuffer(shingle_hashes(content, words), np.uint64))
-                fp = wide_fingerprint(shingles)
-                nodes.append(xxh64_intdigest(b" ".join(content.lower().split()), SEED))
-                sizes.append(len(shingles))
-                fps.append(fp.tobytes())
-                keys.append(_segments(fp))
-            columns = [
-                pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
-                pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int32())),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *columns], ["doc_id", "text_hash", "node", "n", "fp", "segments"]
-            )
-
-    content = text_of(text)
-    columns = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(content).alias("text_hash"), content.alias("text"))
-    kind = columns.schema["doc_id"].dataType.simpleString()
-    return columns.mapInArrow(
-        run, f"doc_id {kind}, text_hash bigint, node bigint, n bigint, fp binary, segments array<int>"
-    )
-
-
-def _linked(near_of):
-    """Spanning links of pairs of blocks; a block is a list of nodes and what ``near_of`` compares."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            us, vs = [], []
-            for left, right in zip(batch.column(0), batch.column(1), strict=True):
-                a, b = (side.values.field("node").to_numpy() for side in (left, right))
-                near = near_of(left.values.field("what"), right.values.field("what"))
-                rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
-                if not len(rows):
-                    continue
-                label, across = _forest(near[np.ix_(rows, columns)])
-                us += [*a[rows].tolist(), *b[columns].tolist()]
-                vs += [*a[rows[label]].tolist(), *a[rows[across]].tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
-
-    return run
-
-
-def _near_bits(left: pa.Array, right: pa.Array) -> np.ndarray:
-    a, b = (np.frombuffer(b"".join(side.to_pylist()), np.uint64).reshape(len(side), -1) for side in (left, right))
-    apart = np.zeros((len(a), len(b)), np.uint16)
-    for word in range(a.shape[1]):
-        apart += np.bitwise_count(a[:, word, None] ^ b[None, :, word])
-    return apart <= WIDE_DISTANCE
-
-
-def similarity(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Exact Jaccard similarity of every left and right set of hashes; two empty sets are equal."""
-    sizes = [np.fromiter(map(len, side), np.int64, len(side)) for side in (left, right)]
-    flat = [np.concatenate(side) if side else np.zeros(0, np.int64) for side in (left, right)]
-    common = np.intersect1d(*flat)
-    both = np.zeros((len(left), len(right)))
-    held = []
-    for values, lengths in zip(flat, sizes, strict=True):
-        at = np.searchsorted(common, values)
-        there = np.flatnonzero(common[np.minimum(at, len(common) - 1)] == values) if len(common) else at[:0]
-        order = there[np.argsort(at[there], kind="stable")]
-        held.append((at[order], np.repeat(np.arange(len(lengths)), lengths)[order]))
-    for start in range(0, len(common), COLUMNS):
-        parts = []
-        for (at, who), lengths in zip(held, sizes, strict=True):
-            span = slice(*np.searchsorted(at, (start, start + COLUMNS)))
-            part = np.zeros((len(lengths), COLUMNS), np.float32)
-            part[who[span], at[span] - start] = 1
-            parts.append(part)
-        both += parts[0] @ parts[1].T
-    union = sizes[0][:, None] + sizes[1][None, :] - both
-    return np.where(union > 0, both / np.maximum(union, 1), 1.0)
-
-
-def _near_sets(least: float):
-    def near_of(left: pa.Array, right: pa.Array) -> np.ndarray:
-        sets = [[np.frombuffer(one, np.int64) for one in side.to_pylist()] for side in (left, right)]
-        return similarity(*sets) >= least
-
-    return near_of
-
-
-def _block_links(rows: DataFrame, key: str, near_of) -> DataFrame:
-    """``u, v`` from ``key, blocks, node, what``: spanning links of what is near among the rows of a key."""
-    block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("node"), F.col("blocks"))).otherwise(F.lit(0)).alias("block")
-    index = stored(
-        rows.select(key, "blocks", block, F.struct("node", "what").alias("one"))
-        .groupBy(key, "blocks", "block").agg(F.collect_list("one").alias("of")),
-        "simhash-blocks",
-    )
-    alone = index.filter("blocks = 1").select(F.col("of").alias("left"), F.col("of").alias("right"))
-    more = index.filter("blocks > 1")
-    left = more.select(key, F.col("block").alias("b1"), F.col("of").alias("left"))
-    right = more.select(key, F.col("block").alias("b2"), F.col("of").alias("right"))
-    pairs = alone.union(left.join(right, key).filter("b1 <= b2").select("left", "right"))
-    return pairs.mapInArrow(_linked(near_of), "u bigint, v bigint").filter("u <> v").distinct()
-
-
-def candidate_links(texts: DataFrame) -> DataFrame:
-    """``u, v``: links that connect distinct texts (``node, fp, segments``) that share a segment and are near."""
-    keys = texts.select("node", F.col("fp").alias("what"), F.explode("segments").alias("segment"))
-    # at most SEGMENTS * 2 ** SEGMENT_BITS values
-    counts = keys.groupBy("segment").count().filter("count > 1")
-    blocks = F.ceil(F.col("count") / WIDE_BLOCK).alias("blocks")
-    return _block_links(keys.join(F.broadcast(counts.select("segment", blocks)), "segment"), "segment", _near_bits)
-
-
-def _shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """``node, component, blocks, what``: the distinct shingles of each text as bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [
-                np.unique(np.frombuffer(shingle_hashes(t.as_py(), words), np.int64)).tobytes()
-                for t in batch.column(3).cast(pa.binary())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(sets, pa.binary())], ["node", "component", "blocks", "what"]
-            )
-
-    columns = texts.select("node", "component", "blocks", "text")
-    return columns.mapInArrow(run, "node bigint, component bigint, blocks bigint, what binary")
-
-
-def similar_documents(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, least: float = LEAST
-) -> DataFrame:
-    """``doc_id, text_hash, fp, component_id`` per row, as ``near_duplicates`` gives them, by shingle similarity.
-
-    A component connects texts whose sets of shingles share ``least`` or more; ``fp`` tells components apart.
-    """
-    rows = stored(wide_fingerprints(docs, doc_id, text, words), "simhash-wide")
-    texts = stored(
-        rows.groupBy("node").agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("of"), F.first("n").alias("n"), F.first("fp").alias("fp"),
-            F.first("segments").alias("segments"),
-        ),
-        "simhash-texts",
-    )
-    groups = components(candidate_links(texts))
-    groups = stored(texts.select("node", "n", "of").join(groups, "node"), "simhash-groups")
-    sizes = groups.groupBy("component").agg(
-        F.ceil(F.greatest(F.count(F.lit(1)) / GROUP_TEXTS, F.sum("n") / GROUP_SHINGLES, F.lit(1.0))).alias("blocks")
-    )
-    groups = groups.join(sizes, "component").select(
-        "node", "component", "blocks", F.col("of.doc_id").alias("__doc"), F.col("of.text_hash").alias("__hash")
-    )
-    given = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    found = groups.join(given, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__hash")))
-    sets = _shingle_sets(found, words).dropDuplicates(["node"])
-    linked = components(_block_links(sets, "component", _near_sets(least)))
-    of = rows.select("doc_id", "text_hash", "node").join(linked, "node", "left")
-    of = of.select("doc_id", "text_hash", F.coalesce("component", "node").alias("fp"))
-    of = stored(of, "simhash-similar")
-    return of.join(stored(of.groupBy("fp").agg(F.min("doc_id").alias("component_id")), "simhash-smallest"), "fp").select(
-        "doc_id", "text_hash", "fp", "component_id"
-    )
-
-
 def keep_one(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that give their component its id, one of each component."""
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fp").agg(

@@ -1,8 +1,12 @@
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from passagerank.llm import pieces
 from passagerank.llm.queries import QUERIES, TOKENIZERS
@@ -25,7 +29,7 @@ def texts():
 
 
 def encoded(encoder, texts, keys):
-    ids, counts = encoder.encode(texts, keys)
+    ids, counts, _ = encoder.encode(texts, keys)
     ends = np.cumsum(counts)
     return [ids[e - n : e].tolist() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
 
@@ -102,12 +106,79 @@ def test_query(spark, sf_dir, documents):
     assert len(rows) == len(documents) and all(r["lossless"] for r in rows)
 
 
+def test_windows_change_nothing(model, texts, documents, monkeypatch):
+    encoder, decoder = pieces.Encoder(model, 11), pieces.Decoder(model)
+    given = [*texts[-30:], *list(documents.values())[:20], SPACE + " a" + SPACE, "a " + SPACE + " b", "  "]
+    ids, counts, same = encoder.encode(given, list(range(len(given))), decoder)
+    assert same.all()
+    for size in (1, 13, 1000):
+        monkeypatch.setattr(pieces, "CHUNK_CHARS", size)
+        again = encoder.encode(given, list(range(len(given))), decoder)
+        assert again[0].tolist() == ids.tolist() and again[1].tolist() == counts.tolist() and again[2].all()
+
+
+def test_a_very_long_text_stays_in_bounds():
+    code = """
+import resource, sys
+sys.path.insert(0, sys.argv[1])
+from passagerank.llm import pieces
+model = pieces.load_model(sys.argv[2])
+encoder, decoder = pieces.Encoder(model, 42), pieces.Decoder(model)
+words = "the repeated information of segmentation was never in one place for long, é 2024! "
+text = (words * (20_000_000 // len(words) + 1))[:20_000_000]
+assert encoder.encode([text], [1], decoder)[2].all()
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    root = Path(pieces.__file__).resolve().parents[2]
+    found = subprocess.run([sys.executable, "-c", code, str(root), PATH], capture_output=True, text=True, check=True)
+    assert int(found.stdout) < 400
+
+
+def agenda(model, seed, key, text):
+    """Ids of a text by the plainest procedure: always the best candidate that its hash does not skip."""
+    encoder, out = pieces.Encoder(model, seed), []
+    with np.errstate(over="ignore"):
+        for nth, unit in enumerate(encoder.units(text)):
+            if unit == pieces.LITERAL:
+                out += encoder.literal()
+                continue
+            variant = pieces._mix(np.array([key % 2**64], np.uint64) * pieces.M1 + np.uint64(nth) * pieces.M4 + encoder.seed)
+            drawn = encoder.keyed(encoder.described([unit])[1], variant)
+            parts = [(i, i + 1) for i in range(len(unit))]
+            while True:
+                best = None
+                for (a, b), (_, c) in zip(parts[:-1], parts[1:], strict=True):
+                    made = encoder.ids.get(unit[a:c])
+                    sides = unit[a:b] in encoder.ids and unit[b:c] in encoder.ids
+                    if made is None or not sides or encoder.skipped(drawn, *(np.array([v]) for v in (a, b, c)))[0]:
+                        continue
+                    if best is None or model["scores"][made] > best[0]:
+                        best = (model["scores"][made], a, b, c)
+                if best is None:
+                    break
+                at = parts.index((best[1], best[2]))
+                parts[at : at + 2] = [(best[1], best[3])]
+            for a, b in parts:
+                out += [encoder.ids[unit[a:b]]] if unit[a:b] in encoder.ids else encoder.spelled(unit[a:b], [0, b - a], [-1])
+    return out
+
+
+def test_query_equals_the_plain_agenda(spark, sf_dir, documents, model):
+    rows = {r["doc_id"]: r for r in QUERIES["op3_pieces"](spark, sf_dir).collect()}
+    few = [d for d, t in documents.items() if len(t) < 400][:40]
+    keyed = spark.createDataFrame([(d,) for d in few], "doc_id BIGINT").select("doc_id", F.xxhash64("doc_id", F.lit(42)).alias("k"))
+    wanted = [(r["doc_id"], agenda(model, 42, r["k"], documents[r["doc_id"]])) for r in keyed.collect()]
+    hashed = spark.createDataFrame(wanted, "doc_id BIGINT, ids ARRAY<INT>").select("doc_id", F.size("ids"), F.xxhash64("ids"))
+    for doc_id, n, value in hashed.collect():
+        assert (rows[doc_id]["n_pieces"], rows[doc_id]["pieces_hash"]) == (n, value)
+
+
 def test_odd_tables(odd_docs, no_docs):
-    given = odd_docs.drop("ids")
-    rows = pieces.decode(pieces.encode(given, PATH), PATH).collect()
-    assert len(rows) == odd_docs.count() and all(r["decoded"] == (r["text"] or "") for r in rows)
-    same = [r["ids"] for r in rows if r["doc_id"] == 6]
-    assert same[0] == same[1]
-    assert pieces.encode(no_docs.drop("ids"), PATH).count() == 0
-    kept = pieces.encode(odd_docs, PATH, into="token_ids")
-    assert kept.columns == [*odd_docs.columns, "token_ids"] and kept.count() == odd_docs.count()
+    with pytest.raises(ValueError, match="ids"):
+        pieces.encode(odd_docs, PATH)
+    named = odd_docs.withColumnRenamed("n", "__0")
+    rows = pieces.decode(pieces.encode(named, PATH, into="found", check="lossless"), PATH, ids="found").collect()
+    assert len(rows) == odd_docs.count() and all(r["decoded"] == (r["text"] or "") and r["lossless"] for r in rows)
+    same = [r["found"] for r in rows if r["doc_id"] == 6]
+    assert same[0] == same[1] and rows[0]["ids"] == rows[0]["__0"] == "x"
+    assert pieces.encode(no_docs, PATH, into="found").count() == 0
