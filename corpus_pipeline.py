@@ -16,8 +16,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of copies and texts that share 0.8 of their five-word shingles the smallest id stays."""
-    return simhash.keep_one(docs, simhash.similar_documents(docs))
+    """Of each group of texts whose fingerprints of three-word shingles link at three bits or fewer the smallest id stays."""
+    return simhash.keep_one(docs, simhash.near_duplicates(docs, words=3, distance=3))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +33,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every text that is left, segmented with merge-dropout, every copy its own way, and decoded again."""
-    path = f"{TOKENIZERS}/piece_bpe_32k.model"
     given = docs.select("doc_id", "source", "lang", text_of("text").alias("text"))
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang")
-    found = pieces.decode(pieces.encode(given.withColumn("copy", F.row_number().over(same)), path, copy="copy"), path)
-    return found.select(
-        "doc_id", "source", "lang", F.size("ids").cast("long").alias("n_pieces"), "ids",
-        (F.col("decoded") == F.col("text")).alias("lossless"),
+    found = pieces.encode(
+        given.withColumn("copy", F.row_number().over(same)), f"{TOKENIZERS}/piece_bpe_32k.model", copy="copy", check="lossless"
     )
+    return found.select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
 
 
 STAGES = [
@@ -48,7 +46,7 @@ STAGES = [
     ("SimHash near-dedup", near_duplicates),
     ("PII", personal_data),
     ("mixing sources to target weights", mix_sources),
-    ("SentencePiece encoding", encode_pieces),
+    ("SentencePiece encoding and decoding", encode_pieces),
 ]
 
 #: Learned models and keyed draws: the stages are tested against brute-force versions instead.
