@@ -6,7 +6,8 @@ and decodes, in batches, the stretches around digits, at-signs and the words ``a
 the four kinds looks like holds one of these.  A stretch ends between words, and grows while a span touches its edge.  A span of the field that meets a base span is left out.
 
 Edge cases: null and empty texts have no spans; texts are read whole, and every search is linear
-in their length; repeated rows are searched each; an empty table gives no rows.
+in their length; repeated rows are searched each; an empty table gives no rows; extra columns are
+returned by ``masked`` as they are and read by nothing, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,10 +26,8 @@ from passagerank.llm.shared import text_of
 
 #: The kinds, in the order that breaks ties.
 KINDS = ("email", "ip", "card", "phone")
-#: Labelled rows the field is trained from at most.
-MAX_LABELLED = 2_000
-#: Characters around an anchor, tokens decoded at a time and read around them, stretches of a batch.
-AROUND, CHUNK, MARGIN, BATCH = 48, 192, 24, 256
+#: Characters around an anchor, tokens decoded at a time and read before and after them, stretches of a batch.
+AROUND, CHUNK, BEFORE, AFTER, BATCH = 48, 192, 24, 80, 256
 
 LOCAL = "".join(map(chr, (*range(48, 58), *range(65, 91), *range(97, 123)))) + "._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -119,7 +118,7 @@ def features_of(tokens: list[str], glued: list[bool]) -> list[list[str]]:
     """Feature names of every token; ``glued`` says that no space stands before it."""
     shapes = ["^", *map(shape, tokens), "$", "$"]
     low = [t.lower() for t in tokens]
-    keys = ["", *[w if w in KEYWORDS else "" for w in low], "", ""]
+    keys = ["", "", *[w if w in KEYWORDS else "" for w in low], "", "", ""]
     out = []
     for i in range(len(tokens)):
         joint = ("+" if glued[i] else " ") + ("+" if i + 1 < len(tokens) and glued[i + 1] else " ")
@@ -127,7 +126,8 @@ def features_of(tokens: list[str], glued: list[bool]) -> list[list[str]]:
         out.append([
             "bias", f"s={here}", f"s-={before}", f"s+={after}", f"s-s={before}|{here}|{joint[0]}",
             f"ss+={here}|{after}|{joint[1]}", f"-s+={before}|{here}|{after}|{joint}", f"s++={after}|{later}",
-            f"j={joint}", f"k={keys[i + 1]}", f"k-={keys[i]}", f"k+={keys[i + 2]}",
+            f"j={joint}", f"k={keys[i + 2]}", f"k-={keys[i + 1]}", f"k+={keys[i + 3]}", f"k--={keys[i]}", f"k++={keys[i + 4]}",
+            f"k-+={keys[i + 1]}|{keys[i + 3]}",
         ])
     return out
 
@@ -149,9 +149,12 @@ def _glued(found: list[re.Match]) -> list[bool]:
     return [i > 0 and found[i - 1].end() == m.start() for i, m in enumerate(found)]
 
 
-def train_field(labelled: DataFrame) -> crf.Field:
-    """The field learned from ``text, spans`` rows (``spans``: structs of kind, start, end)."""
-    rows = labelled.select("text", "spans").limit(MAX_LABELLED).collect()
+def train_field(labelled: DataFrame, most: int = 2_000) -> crf.Field:
+    """The field learned from ``text, spans`` rows (``spans``: structs of kind, start, end).
+
+    It is fitted on ``most`` rows at most, chosen by a hash of the text, so that reruns agree.
+    """
+    rows = labelled.select("text", "spans").orderBy(F.xxhash64("text"), "text").limit(most).collect()
     sequences, labels = [], []
     for row in rows:
         found = _tokens(row["text"])
@@ -169,10 +172,12 @@ def train_field(labelled: DataFrame) -> crf.Field:
 
 #: What a span of the field must look like, disguises included.
 SURFACES = {
-    "email": re.compile(r"[\w.%+-]+\s?(?:@|[\[(]?at[\])]?)\s?[\w-]+(?:\s?(?:\.|[\[(]?dot[\])]?)\s?[\w-]+)+"),
+    "email": re.compile(
+        r"[\w.%+-]+\s?(?:@|[\[(]?(?:at|AT|At)[\])]?)\s?[\w-]+(?:\s?(?:\.|[\[(]?(?:dot|DOT|Dot)[\])]?)\s?[\w-]+)+"
+    ),
     "ip": re.compile(r"[0-9]{1,3}(?:\s?[\[(]?\.[\])]?\s?[0-9]{1,3}){3}"),
-    "card": re.compile(r"[0-9](?:[ .-]*[0-9])+"),
-    "phone": re.compile(r"[+(]?[0-9](?:[ ().+-]*[0-9])+"),
+    "card": re.compile(r"[0-9](?:[ .-]{0,3}[0-9])+"),
+    "phone": re.compile(r"[+(]?[0-9](?:[ ().+-]{0,3}[0-9])+"),
 }
 
 
@@ -236,12 +241,13 @@ class Finder:
             found = _tokens(texts[i], start, end)
             glued = _glued(found)
             for at in range(0, len(found), CHUNK):
-                low, high = max(0, at - MARGIN), min(len(found), at + CHUNK + MARGIN)
+                low, high = max(0, at - BEFORE), min(len(found), at + CHUNK + AFTER)
                 stop = min(at + CHUNK, len(found))
                 edges = (at == 0 and start > 0, stop == len(found) and end < len(texts[i]))
                 pieces.append((n, found[low:high], glued[low:high], at - low, stop - low, edges))
         pieces.sort(key=lambda p: len(p[1]))
         spans: list[list[Span]] = [[] for _ in stretches]
+        unended: list[list[int]] = [[] for _ in stretches]
         touched = set()
         for at in range(0, len(pieces), BATCH):
             held = pieces[at : at + BATCH]
@@ -249,18 +255,31 @@ class Finder:
             for (n, found, _, first, last, edges), labels in zip(
                 held, crf.viterbi(scores, self.field.steps, self.field.starts), strict=True
             ):
-                kept = self._spans(found, labels.tolist(), first, last, texts[stretches[n][0]])
+                kept, open_ = self._spans(found, labels.tolist(), first, last, texts[stretches[n][0]])
                 spans[n] += kept
+                unended[n] += open_
                 if any((edges[0] and s == found[first].start()) or (edges[1] and e >= found[last - 1].end()) for _, s, e in kept):
                     touched.add(n)
-        for n, (i, _, _) in enumerate(stretches):
+        for n, (i, _, end) in enumerate(stretches):
+            floor = -1
+            for start in sorted(unended[n]):
+                # an address that its piece does not end: read on in the stretch, each part of it once
+                if start >= floor and (whole := SURFACES["email"].match(texts[i], start, end)):
+                    floor = whole.end()
+                    spans[n].append(("email", start, floor))
+                    if floor >= end < len(texts[i]):
+                        touched.add(n)
             if n not in touched:
                 out[i] += spans[n]
         return [stretches[n] for n in sorted(touched)]
 
     @staticmethod
-    def _spans(found, labels, first, last, text) -> list[Span]:
-        spans, i = [], first
+    def _spans(found, labels, first, last, text) -> tuple[list[Span], list[int]]:
+        """Spans that begin at the tokens from ``first`` to ``last``, and where addresses begin that the tokens do not end.
+
+        Numbers of the greatest length, with separators, end within ``AFTER`` tokens.
+        """
+        spans, unended, i = [], [], first
         while i < last:
             label = LABELS[labels[i]]
             i += 1
@@ -270,21 +289,29 @@ class Finder:
             while i < len(found) and LABELS[labels[i]] == "I-" + label[2:]:
                 end = found[i].end()
                 i += 1
+            if label == "B-email" and i == len(found) > last:
+                unended.append(start)
+                continue
             if label == "B-email" and (whole := SURFACES["email"].match(text, start, end)):
                 # labels may run on into the words after an address
                 end = whole.end()
             if _plausible(label[2:], text[start:end]):
                 spans.append((label[2:], start, end))
-        return spans
+        return spans, unended
 
     @staticmethod
     def _beside(spans: list[Span], kept: list[Span]) -> list[Span]:
         """Spans that meet no base span (of any kind), sorted and without repeats."""
-        out, held = [], sorted((s, e) for _, s, e in kept)
+        out, held, at, reach, floor = [], sorted(s for _, *s in kept), 0, -1, -1
         for span in sorted(set(spans), key=place):
-            i = np.searchsorted([s for s, _ in held], span[2], "left") if held else 0
-            if not any(e > span[1] for _, e in held[:i]) and not (out and out[-1][2] > span[1]):
+            # base spans that begin before this one, and how far they reach
+            while at < len(held) and held[at][0] < span[1]:
+                reach = max(reach, held[at][1])
+                at += 1
+            meets = reach > span[1] or (at < len(held) and held[at][0] < span[2])
+            if not meets and floor <= span[1]:
                 out.append(span)
+                floor = span[2]
         return out
 
 
@@ -350,7 +377,7 @@ def masked(docs: DataFrame, field: crf.Field, text: str = "text") -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
-def labelled_examples(spark: SparkSession, n: int = 800, seed: int = 5) -> DataFrame:
+def labelled_examples(spark: SparkSession, n: int = 1600, seed: int = 5) -> DataFrame:
     """A small labelled table ``text, spans``: personal data in usual and disguised forms among other numbers."""
     return spark.createDataFrame(examples(n, seed), "text string, spans array<struct<kind:string,start:int,end:int>>")
 
@@ -368,8 +395,8 @@ def examples(n: int, seed: int) -> list[tuple[str, list[Span]]]:
         name, host, top = word(3), word(3), draw.choice(("com", "org", "net", "de", "fr", "es"))
         if draw.random() < 0.4:
             name += draw.choice(("", ".", "_", "-")) + draw.choice((word(), digits(2)))
-        at = draw.choice(("@", "@", " at ", " (at) ", "(at)", " [at] ", " @ "))
-        dot = "." if at == "@" else draw.choice((".", " dot ", " (dot) ", " [dot] "))
+        at = draw.choice(("@", "@", " at ", " at ", " (at) ", "(at)", " [at] ", " @ ", "[at]", " AT "))
+        dot = "." if at == "@" else draw.choice((".", ".", ".", " dot ", " (dot) ", " [dot] ", "[dot]", "(dot)", " DOT "))
         return name + at + host + dot + top
 
     def ip() -> str:
@@ -392,7 +419,7 @@ def examples(n: int, seed: int) -> list[tuple[str, list[Span]]]:
             f"{digits(2)}%", f"${digits(2)}.{digits(2)}", f"{digits(1)},{digits(3)}", f"v{digits(1)}.{digits(1)}",
             f"isbn {digits(3)}-{digits(1)}", f"order {digits(8)}", f'"{word(3)}{digits(3)}{word(2)}{digits(2)}{word(3)}{digits(4)}"',
             f"{word()}{digits(2)}", f"{digits(2)}-{digits(2)}", f"page {digits(2)}", f"{word()} at {word()}", f"{word()} dot {word()}",
-            f"{digits(4)} {word()} {digits(4)}", f"#{digits(4)}", f"{digits(2)}/{digits(2)}/{digits(4)}", f"({digits(4)})",
+            f"{digits(4)} {word()} {digits(4)}", f"{digits(3)}-{digits(2)}-{digits(4)}", f"#{digits(4)}", f"{digits(2)}/{digits(2)}/{digits(4)}", f"({digits(4)})",
         ))
 
     makers = {"email": email, "ip": ip, "card": card, "phone": phone}

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -108,6 +109,66 @@ def test_long_addresses_are_found_whole(field):
     assert text[start - 1] == " " and text[end] == " " and end - start >= 401
 
 
+def test_upper_case_and_unspaced_disguises(field):
+    prose = "the river was long and the day went by as slowly as ever before "
+    for address in ("jane AT example DOT com", "jane[at]example[dot]com", "jane.roe(at)host(dot)net"):
+        text = prose + address + " " + prose
+        assert [text[s:e] for _, s, e in pii.Finder(field).added([text], [[]])[0]] == [address]
+    text = prose + "ssn 123-45-6789 " + prose
+    assert pii.Finder(field).added([text], [[]])[0] == []
+
+
+def test_held_out_recall_of_every_disguise(field):
+    """Share of held-out addresses found whole, form by form."""
+    draw, prose = random.Random(77), "the river was long and the day went by "
+    word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randint(4, 9)))
+    for at in (" at ", " (at) ", "(at)", " [at] ", "[at]", " AT ", " @ "):
+        for dot in (".", " dot ", " (dot) ", "[dot]", " DOT "):
+            rows = [prose + word() + at + word() + dot + "com " + prose for _ in range(40)]
+            found = pii.Finder(field).added(rows, [[] for _ in rows])
+            whole = sum(any((s, e) == (len(prose), len(r) - len(prose) - 1) for _, s, e in f) for r, f in zip(rows, found, strict=True))
+            assert whole >= 36, (at, dot, whole)
+
+
+def test_exclusion_is_one_sweep():
+    n = 100_000
+    base = [("email", 20 * i, 20 * i + 9) for i in range(n)]
+    spans = [("phone", 20 * i + d, 20 * i + d + 5) for i in range(n) for d in (5, 9, 12, 16)]
+    began = time.perf_counter()
+    wanted = [("phone", 20 * i + 9, 20 * i + 14) for i in range(n)] + [("phone", 20 * n - 4, 20 * n + 1)]
+    assert pii.Finder._beside(spans, base) == wanted
+    assert time.perf_counter() - began < 5
+    draw = random.Random(12)
+    for _ in range(500):
+        held, given = ([("ip", s, s + draw.randint(1, 9)) for s in draw.sample(range(60), draw.randint(0, 6))] for _ in "ab")
+        out = []
+        for span in sorted(set(given), key=pii.place):
+            if all(b[2] <= span[1] or b[1] >= span[2] for b in held) and all(o[2] <= span[1] for o in out):
+                out.append(span)
+        assert pii.Finder._beside(given, held) == out
+
+
+def test_time_is_linear_in_the_addresses_of_a_text(field):
+    def seconds(n):
+        text = " ".join(f"word jane{i}@host.org and (555) 123-{i % 10000:04d}" for i in range(n))
+        began = time.perf_counter()
+        pii.Finder(field).added([text], [pii.base_spans(text)])
+        return time.perf_counter() - began
+
+    seconds(500)
+    assert seconds(8000) < 8 * seconds(2000)
+
+
+def test_spans_across_the_cut_of_a_long_stretch(field):
+    number = "4 1 1 1 - 1 1 1 1 - 1 1 1 1 - 1 1 1 1"
+    for before in range(pii.CHUNK - 20, pii.CHUNK + 2):
+        text = "1 " * before + "card " + number
+        found, labels = pii._tokens(text), [0] * len(pii._tokens(text))
+        at = before + 1
+        labels[at:] = [pii.LABELS.index("B-card"), *[pii.LABELS.index("I-card")] * (len(found) - at - 1)]
+        assert pii.Finder._spans(found, labels, 0, at + 1, text) == ([("card", 2 * before + 5, len(text))], [])
+
+
 def test_viterbi_equals_all_paths():
     random_ = np.random.default_rng(1)
     steps, starts = random_.normal(size=(3, 3)), random_.normal(size=3)
