@@ -32,4 +32,35 @@ SELECT conv_id, count(*) AS n_turns,
 FROM costs GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op2_chat": OP2}
+_CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERMS = (
+    rf"regexp_extract_all(translate(text, '{_CAPITALS}', '{_SMALL}'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+OP12 = f"""
+WITH rows AS (
+  SELECT row_number() OVER () AS row_, doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL
+), held AS (SELECT row_, doc_id, terms, len(terms) AS n FROM rows WHERE len(terms) > 0
+), total AS (SELECT count(*) AS c, sum(n)::BIGINT AS l FROM held
+), postings AS (
+  SELECT row_, term, count(*) AS tf FROM (SELECT row_, unnest(terms) AS term FROM held) GROUP BY row_, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * c + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM postings, total GROUP BY term, c
+), asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE text IS NOT NULL) GROUP BY item_id, term
+), lengths AS (SELECT row_, doc_id, 100 - 25 + (25 * n * c) // l AS m FROM held, total
+), scores AS (
+  SELECT item_id, row_, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (row_)
+  GROUP BY item_id, row_, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+SQL: dict[str, str] = {"op2_chat": OP2, "op12_ranked_search": OP12}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagerank.llm import chat, mixing, pieces, pii, quality, shards, simhash, token_counts, toxicity, variants, winnow
+from passagerank.llm import chat, mixing, pieces, pii, quality, shards, simhash, term_pipeline, token_counts, toxicity, variants, winnow
 from passagerank.llm.shared import table
 
 #: Where the vocabulary files of public tokenizers lie; only the driver reads them.
@@ -99,6 +99,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_pipeline.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(table(spark, sf_dir, "documents"))
 
@@ -114,5 +118,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_winnowing": op9_winnowing,
     "op10_mixing": op10_mixing,
+    "op12_ranked_search": op12_ranked_search,
     "op13_variants": op13_variants,
 }
