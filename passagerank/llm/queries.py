@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagerank.llm import chat, mixing, pieces, pii, quality, shards, simhash, term_pipeline, token_counts, toxicity, variants, winnow
+from passagerank.llm import (
+    chat, mixing, pieces, pii, quality, shards, simhash, suffix_dedup, term_pipeline, token_counts, toxicity, variants, winnow,
+)
 from passagerank.llm.shared import table
 
 #: Where the vocabulary files of public tokenizers lie; only the driver reads them.
@@ -99,6 +101,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.removed(table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return term_pipeline.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
@@ -118,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_winnowing": op9_winnowing,
     "op10_mixing": op10_mixing,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_ranked_search": op12_ranked_search,
     "op13_variants": op13_variants,
 }
