@@ -1,133 +1,19 @@
-"""Training rankers on labelled feature rows."""
+"""Training rankers on labelled feature rows, and keeping them."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel,
-    DecisionTreeRegressor,
-    RandomForestRegressionModel,
-    RandomForestRegressor,
-)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagerank.functions.lambdas import GRADIENT_SCHEMA, block_gradients
+from passagerank.operators.boosting import train_lambdamart
 from passagerank.operators.evaluate import judge, summary
-from passagerank.operators.ranking import GROUP_ROWS, row_numbers
-from passagerank.operators.sizing import lookup_join
-from passagerank.operators.workspace import cut
-
-BLOCK_ROWS = 1024
-CUT_ROUNDS = 10
-# What every row adds to the Hessian of its leaf: a pair that is ordered very wrongly bends hardly at all
-# but pulls with all its weight.
-RIDGE = 1e-3
-
-
-def lambda_gradients(
-    scored: DataFrame,
-    block_rows: int = BLOCK_ROWS,
-    depth: int | None = None,
-    group_rows: int = GROUP_ROWS,
-) -> DataFrame:
-    """``grad`` and ``hess`` of every row of ``scored(qid, doc_id, label, score)``.
-
-    All pairs of differing labels count.  They are never rows: the hits of a
-    query are cut into blocks of at most ``block_rows`` by rank, a task gets two
-    blocks and sums their pairs as a matrix.  A usual query is one block; a huge
-    one becomes many tasks of equal, bounded size.
-    """
-    rows = scored.select("qid", "doc_id", "label", "score")
-    summed = _gradients(with_ideal(rows, depth, group_rows), block_rows, depth, group_rows)
-    out = rows.select("qid", "doc_id").join(summed, ["qid", "doc_id"], "left")
-    return out.select(
-        "qid", "doc_id",
-        F.coalesce("grad", F.lit(0.0)).alias("grad"),
-        F.coalesce("hess", F.lit(0.0)).alias("hess"),
-    )
-
-
-def with_ideal(rows: DataFrame, depth: int | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Add what depends on the labels alone: size and best DCG of the query.
-
-    Queries without a relevant row have no pair and fall out.
-    """
-    bounded = depth is not None and depth <= group_rows
-    gained = rows.select("qid", "doc_id", "label").filter(F.col("label") > 0)
-    best = row_numbers(gained, ["qid"], [F.col("label").desc(), F.col("doc_id")], "place", bounded, group_rows)
-    gain = F.pow(F.lit(2.0), F.col("label")) - 1
-    ideal = best.groupBy("qid").agg(F.sum(gain / F.log2(F.col("place") + 1)).alias("max_dcg"))
-    sizes = rows.groupBy("qid").agg(F.count(F.lit(1)).alias("n_rows")).join(ideal, "qid")
-    return lookup_join(rows, sizes, ["qid"])
-
-
-def _gradients(rows: DataFrame, block_rows: int, depth: int | None, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Gradients of the rows of ``with_ideal`` that stand in a pair."""
-    bounded = depth is not None and depth <= group_rows
-    wanted = rows.select("qid", "doc_id", "label", "score", "n_rows", "max_dcg")
-    placed = row_numbers(wanted, ["qid"], [F.col("score").desc(), F.col("doc_id")], "pos", bounded, group_rows)
-    blocks = F.floor((F.col("n_rows") - 1) / block_rows)
-    pairs = (
-        placed.withColumn("rank", F.col("pos") - 1)
-        .withColumn("block", F.floor(F.col("rank") / block_rows))
-        .withColumn("__other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks)))
-        .withColumn("lo", F.least("block", "__other"))
-        .withColumn("hi", F.greatest("block", "__other"))
-        .select("qid", "doc_id", "label", "score", "rank", "block", "lo", "hi", "max_dcg")
-    )
-    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = GRADIENT_SCHEMA.format(qid=types["qid"], doc=types["doc_id"])
-    partial = pairs.groupBy("qid", "lo", "hi").applyInPandas(block_gradients, schema)
-    return partial.groupBy("qid", "doc_id").agg(F.sum("grad").alias("grad"), F.sum("hess").alias("hess"))
-
-
-def assemble(df: DataFrame, names: list[str], out: str = "__features") -> DataFrame:
-    return VectorAssembler(inputCols=names, outputCol=out, handleInvalid="error").transform(df)
+from passagerank.operators.forest import train_random_forest
+from passagerank.operators.pairs import lambda_gradients
+from passagerank.operators.trees import RankModel
 
-
-@dataclass(frozen=True)
-class RankModel:
-    """A trained ranker: trees whose predictions are summed with a weight, over named features."""
-
-    kind: str
-    names: list[str]
-    trees: list
-    rate: float
-    history: list[dict]
-
-    def transform(self, df: DataFrame, out: str = "model_score") -> DataFrame:
-        scored = assemble(df, self.names)
-        total = F.lit(0.0)
-        for i, tree in enumerate(self.trees):
-            scored = tree.setPredictionCol(f"__p{i}").transform(scored)
-            total = total + F.lit(self.rate) * F.col(f"__p{i}")
-        return scored.select(*df.columns, total.alias(out))
-
-    def feature_importance(self) -> dict[str, float]:
-        """Gain share per feature, averaged over the trees."""
-        total = dict.fromkeys(self.names, 0.0)
-        for tree in self.trees:
-            for name, value in zip(self.names, tree.featureImportances.toArray()):
-                total[name] += float(value) / len(self.trees)
-        return total
-
-    def save(self, spark: SparkSession, path: str) -> None:
-        for i, tree in enumerate(self.trees):
-            tree.write().overwrite().save(f"{path}/trees/{i:05d}")
-        meta = [(self.kind, self.names, len(self.trees), self.rate)]
-        schema = "kind STRING, names ARRAY<STRING>, trees INT, rate DOUBLE"
-        spark.createDataFrame(meta, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
-
-    @staticmethod
-    def load(spark: SparkSession, path: str) -> RankModel:
-        meta = spark.read.parquet(f"{path}/meta").first()
-        reader = RandomForestRegressionModel if meta["kind"] == "randomforest" else DecisionTreeRegressionModel
-        trees = [reader.load(f"{path}/trees/{i:05d}") for i in range(meta["trees"])]
-        return RankModel(meta["kind"], list(meta["names"]), trees, meta["rate"], [])
+__all__ = [
+    "RankModel", "lambda_gradients", "load_model", "model_name", "save_model", "train_lambdamart", "train_random_forest",
+]
 
 
 def model_name(algorithm: str, n_train: int, n_valid: int, run_id: str = "00") -> str:
@@ -150,76 +36,3 @@ def _ndcg(rows: DataFrame, cutoffs: tuple[int, ...], depth: int | None) -> dict[
     run = rows.select("qid", "doc_id", "score")
     row = summary(judge(run, qrels, depth=depth, ndcg_cutoffs=cutoffs), ("ndcg",), cutoffs).first()
     return row.asDict()
-
-
-def train_lambdamart(
-    train: DataFrame,
-    valid: DataFrame | None,
-    names: list[str],
-    rounds: int = 100,
-    learning_rate: float = 0.1,
-    max_depth: int = 3,
-    max_bins: int = 255,
-    min_rows_in_leaf: int = 20,
-    eval_at: tuple[int, ...] = (1, 3, 5, 10),
-    depth: int | None = None,
-    seed: int = 42,
-) -> RankModel:
-    """Gradient-boosted ranker: a driver loop over Spark jobs, one tree per round.
-
-    A tree is fitted to ``grad / h`` with ``h = hess + RIDGE`` as weight: its variance gain
-    is then the second-order gain ``G^2 / H`` and a leaf predicts the Newton step
-    ``sum grad / sum h``, so no separate pass sets leaf values.  A depth of
-    three gives at most eight leaves.  Scores follow from the trees by narrow
-    steps, so they are checkpointed only every few rounds; the gradients of a
-    round are kept while its tree grows.
-    """
-    def start(df: DataFrame) -> DataFrame:
-        kept = assemble(df, names).select("qid", "doc_id", "label", "__features", F.lit(0.0).alias("score"))
-        return cut(kept)
-
-    state = cut(with_ideal(start(train), depth))
-    check = start(valid) if valid is not None else None
-    trees, history = [], []
-    for i in range(rounds):
-        # rows without a pair pull nowhere
-        pulled = _gradients(state, BLOCK_ROWS, depth).filter((F.col("hess") > 0) | (F.col("grad") != 0))
-        bend = F.col("hess") + RIDGE
-        sample = state.join(pulled, ["qid", "doc_id"]).select(
-            "__features", (F.col("grad") / bend).alias("__target"), bend.alias("__weight")
-        )
-        learner = DecisionTreeRegressor(
-            featuresCol="__features", labelCol="__target", weightCol="__weight", predictionCol="__step",
-            maxDepth=max_depth, maxBins=max_bins, minInstancesPerNode=min_rows_in_leaf, seed=seed + i,
-        )
-        sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
-        tree = learner.fit(sample)
-        sample.unpersist()
-        trees.append(tree)
-        step = F.col("score") + F.lit(learning_rate) * F.col("__step")
-        state = tree.transform(state).withColumn("score", step).drop("__step")
-        if check is not None:
-            check = tree.transform(check).withColumn("score", step).drop("__step")
-        if (i + 1) % CUT_ROUNDS == 0:
-            state, check = cut(state), cut(check) if check is not None else None
-        if check is not None:
-            history.append({"round": i, **_ndcg(check, eval_at, depth)})
-    return RankModel("lambdamart", list(names), trees, learning_rate, history)
-
-
-def train_random_forest(
-    train: DataFrame,
-    names: list[str],
-    n_trees: int = 100,
-    max_depth: int = 30,
-    max_bins: int = 255,
-    seed: int = 42,
-) -> RankModel:
-    """Random-forest regression on the labels, every feature tried at every split."""
-    learner = RandomForestRegressor(
-        featuresCol="__features", labelCol="label", predictionCol="__p0", numTrees=n_trees,
-        maxDepth=max_depth, maxBins=max_bins, minInstancesPerNode=1,
-        featureSubsetStrategy="all", subsamplingRate=1.0, seed=seed,
-    )
-    rows = assemble(train, names).select("__features", F.col("label").cast("double").alias("label"))
-    return RankModel("randomforest", list(names), [learner.fit(rows)], 1.0, [])

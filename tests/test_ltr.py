@@ -1,12 +1,13 @@
 import math
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from passagerank.operators import boosting, forest, ltr, trees
 from passagerank.operators import features as ft
-from passagerank.operators import ltr
 from passagerank.operators.evaluate import judge, summary
 from passagerank.operators.rerank import coverage, rerank
 
@@ -143,3 +144,164 @@ def test_labels(spark, index, topics):
     qrels = spark.createDataFrame([(1, 3, 2)], "qid BIGINT, doc_id BIGINT, rating INT")
     got = {(r.qid, r.doc_id): r.label for r in ft.attach_labels(ft.features(topics, index), qrels).collect()}
     assert got[(1, 3)] == 2 and set(got.values()) == {0, 2}
+
+
+# trees
+
+
+def best_tree(rows, target, weight):
+    """Brute force: the tree of least squares as nested (feature, threshold, left, right) or a value."""
+    total = sum(weight)
+    mean = sum(w * y for w, y in zip(weight, target, strict=True)) / total
+    if len(set(target)) == 1:
+        return mean
+    best = None
+    for f in range(len(rows[0])):
+        values = sorted({r[f] for r in rows})
+        for a, b in zip(values[:-1], values[1:], strict=True):
+            left = [i for i, r in enumerate(rows) if r[f] <= a]
+            right = [i for i, r in enumerate(rows) if r[f] > a]
+            gain = -(sum(w * y for w, y in zip(weight, target, strict=True)) ** 2) / total
+            for side in (left, right):
+                gain += sum(weight[i] * target[i] for i in side) ** 2 / sum(weight[i] for i in side)
+            if gain > 1e-9 and (best is None or gain > best[0] + 1e-8):
+                best = (gain, f, a + (b - a) / 2, left, right)
+    if best is None:
+        return mean
+    _, f, t, left, right = best
+    return f, t, *(best_tree(*([c[i] for i in side] for c in (rows, target, weight))) for side in (left, right))
+
+
+def nested(nodes, i=0):
+    r = nodes.iloc[i]
+    return r["value"] if r["feature"] < 0 else (int(r["feature"]), r["threshold"], nested(nodes, int(r["left"])), nested(nodes, int(r["right"])))
+
+
+def same(a, b):
+    if isinstance(a, tuple) != isinstance(b, tuple):
+        return False
+    if not isinstance(a, tuple):
+        return a == pytest.approx(b)
+    return a[0] == b[0] and a[1] == pytest.approx(b[1]) and same(a[2], b[2]) and same(a[3], b[3])
+
+
+def test_exact_tree_equals_brute_force():
+    draw = random.Random(3)
+    for n in (1, 2, 7, 40):
+        for _ in range(8):
+            rows = [[float(draw.randrange(6)), draw.random(), float(draw.randrange(2))] for _ in range(n)]
+            target = [float(draw.randrange(4)) for _ in range(n)]
+            weight = [draw.randrange(4) for _ in range(n)]
+            weight[0] = 1
+            some = [i for i in range(n) if weight[i]]
+            found = forest.grow_exact(np.array(rows), np.array(target), np.array(weight))
+            assert same(nested(found), best_tree(*([c[i] for i in some] for c in (rows, target, weight))))
+
+
+def learning_rows(spark, n=400, seed=2):
+    draw = random.Random(seed)
+    data = [(q, q * 1000 + d, float(draw.randrange(5)), draw.random(), draw.randrange(4)) for q in range(4) for d in range(n // 4)]
+    return data, spark.createDataFrame(data, "qid INT, doc_id INT, f_a DOUBLE, f_b DOUBLE, label INT")
+
+
+def test_forest_without_draws_is_the_exact_tree(spark):
+    data, df = learning_rows(spark, 120)
+    model = ltr.train_random_forest(df, ["f_a", "f_b"], n_trees=2, bootstrap=False)
+    wanted = best_tree([list(r[2:4]) for r in data], [float(r[4]) for r in data], [1] * len(data))
+    low, high = model.trees[1]
+    assert same(nested(model.nodes.iloc[low:high]), wanted)
+    scored = {r["doc_id"]: r["model_score"] for r in model.transform(df).collect()}
+    assert all(scored[r[1]] == pytest.approx(r[4]) for r in data)
+
+
+def test_large_nodes_by_histograms(spark):
+    """Few values: bins are exact, so that both ways give the same trees."""
+    draw = random.Random(8)
+    data = [(q, q * 100 + d, float(draw.randrange(12)), float(draw.randrange(9)), draw.randrange(4)) for q in range(5) for d in range(100)]
+    df = spark.createDataFrame(data, "qid INT, doc_id INT, f_a DOUBLE, f_b DOUBLE, label INT").repartition(3)
+    for options in ({}, {"bootstrap": False}, {"max_depth": 2}, {"min_rows_in_leaf": 9}):
+        whole = ltr.train_random_forest(df, ["f_a", "f_b"], n_trees=3, **options).transform(df).collect()
+        parts = ltr.train_random_forest(df, ["f_a", "f_b"], n_trees=3, task_rows=60, **options).transform(df).collect()
+        scores = [{r["doc_id"]: r["model_score"] for r in rows} for rows in (whole, parts)]
+        assert scores[0] == pytest.approx(scores[1])
+
+
+def test_a_large_node_of_one_value_is_a_leaf(spark):
+    rows = [(0, d, 1.0, 3) for d in range(200)] + [(1, 500 + d, 2.0, d % 2) for d in range(20)]
+    df = spark.createDataFrame(rows, "qid INT, doc_id INT, f_a DOUBLE, label INT")
+    model = ltr.train_random_forest(df, ["f_a"], n_trees=2, bootstrap=False, task_rows=50)
+    assert model.nodes["value"].tolist()[1:3] == [3.0, 0.5] and len(model.nodes) == 6
+
+
+def test_draws_are_those_of_a_poisson_law():
+    found = forest.draws(np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 200_000), 3, 42)
+    assert abs(found.mean() - 1) < 0.02 and abs(found.var() - 1) < 0.02 and abs((found == 0).mean() - np.exp(-1)) < 0.01
+
+
+def test_query_gradients_equal_all_pairs():
+    draw = random.Random(6)
+    rows = [(0, d, draw.randrange(4), float(draw.randrange(5))) for d in range(60)]
+    grad, hess = boosting.query_gradients(
+        np.array([r[2] for r in rows], float), np.array([r[3] for r in rows]), boosting._best_dcg(np.array([r[2] for r in rows], float), ())[0]
+    )
+    want = brute_gradients(rows)
+    assert [(g, h) for g, h in zip(grad, hess, strict=True)] == [pytest.approx(want[0, d], abs=1e-9) for d in range(60)]
+
+
+def naive_boosting(data, rounds, leaves, rate, least):
+    """Leaf by leaf over all thresholds, in plain Python."""
+    rows = sorted(data)
+    score = [0.0] * len(rows)
+    for _ in range(rounds):
+        pulls = brute_gradients([(r[0], r[1], r[4], s) for r, s in zip(rows, score, strict=True)])
+        g, h = zip(*(pulls[r[0], r[1]] for r in rows), strict=True)
+        h = [b + boosting.RIDGE if a or b else 0.0 for a, b in zip(g, h, strict=True)]
+        value = lambda side: sum(g[i] for i in side) ** 2 / sum(h[i] for i in side) if sum(h[i] for i in side) > 0 else 0.0  # noqa: B023, E731
+        parts = [list(range(len(rows)))]
+        while len(parts) < leaves:
+            best = None
+            for p, part in enumerate(parts):
+                for f in (2, 3):
+                    for t in sorted({rows[i][f] for i in part})[:-1]:
+                        left, right = [i for i in part if rows[i][f] <= t], [i for i in part if rows[i][f] > t]
+                        if min(len(left), len(right)) < least or any(sum(h[i] for i in s) < 1e-3 for s in (left, right)):
+                            continue
+                        gain = value(left) + value(right) - value(part)
+                        if gain > 0 and (best is None or gain > best[0] + 1e-9):
+                            best = (gain, p, left, right)
+            if best is None:
+                break
+            parts[best[1] : best[1] + 1] = best[2:]
+        for part in parts:
+            total = sum(h[i] for i in part)
+            for i in part:
+                score[i] += rate * (sum(g[j] for j in part) / total if total > 0 else 0.0)
+    return {r[1]: s for r, s in zip(rows, score, strict=True)}
+
+
+@pytest.mark.parametrize("query_rows", [1 << 18, 30])
+def test_boosting_equals_plain_python(spark, monkeypatch, query_rows):
+    monkeypatch.setattr(boosting, "QUERY_ROWS", query_rows)
+    monkeypatch.setattr(boosting, "CUT_ROUNDS", 2)
+    data, df = learning_rows(spark, 160)
+    model = ltr.train_lambdamart(df.repartition(3), None, ["f_a", "f_b"], rounds=3, min_rows_in_leaf=4)
+    wanted = naive_boosting(data, 3, 7, 0.1, 4)
+    assert {r["doc_id"]: r["model_score"] for r in model.transform(df).collect()} == pytest.approx(wanted, abs=1e-6)
+
+
+def test_early_stopping_keeps_the_best_round(spark, rows):
+    model = ltr.train_lambdamart(rows, rows.withColumn("label", (F.col("f_a") > 0.7).cast("int")), ["f_a", "f_b"], rounds=40, min_rows_in_leaf=5, early_stopping=3)
+    last = [h["ndcg_10"] for h in model.history]
+    assert len(last) < 40 and len(model.trees) == last.index(max(last)) + 1 == len(last) - 3
+
+
+def test_both_ways_of_scoring_agree(spark, monkeypatch):
+    data, df = learning_rows(spark)
+    odd = spark.createDataFrame([(9, 1, None, 0.5, 0), (9, 2, float("nan"), None, 0)], df.schema)
+    model = ltr.train_random_forest(df, ["f_a", "f_b"], n_trees=4, max_depth=4)
+    given = df.union(odd)
+    folded = {(r["qid"], r["doc_id"]): r["model_score"] for r in model.transform(given).collect()}
+    monkeypatch.setattr(trees, "FOLD_NODES", 0)
+    monkeypatch.setattr(trees, "SHIPPED_NODES", 20)
+    assert len(list(model._shipments())) > 1
+    assert {(r["qid"], r["doc_id"]): r["model_score"] for r in model.transform(given).collect()} == pytest.approx(folded)
