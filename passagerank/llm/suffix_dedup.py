@@ -35,8 +35,6 @@ from passagerank.operators.sizing import lookup_join
 LENGTH = 400
 #: Starts of a segment; different contexts of a group that one task sorts, bytes of contexts sorted together; starts of a block.
 SEGMENT, GROUP_CONTEXTS, SORT_BYTES, BLOCK = 1 << 20, 2048, 2_000_000, 16
-#: Contexts of a text that leave a task at a time.
-ROWS = 4096
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -186,44 +184,16 @@ def copies(found: DataFrame) -> DataFrame:
     return rows.select("text_hash", F.col("least.doc_id").alias("doc_id"), "copies")
 
 
-def _digest(content: bytes, mark: int) -> bytes:
-    return hashlib.blake2b(content, digest_size=16, salt=mark.to_bytes(8, "little", signed=True)).digest()
-
-
-OCCURRENCES = "anchor long, context binary, text_hash binary, doc_id {doc}, start int, size int, reach int, bytes binary"
-
-
 def occurrences(texts: DataFrame, length: int) -> DataFrame:
-    """One row per context of ``texts(text_hash, doc_id, text, contexts)``; of equal ones in a batch one has the bytes."""
-    gram = gram_of(length)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: set[bytes] = set()
-            for i in range(batch.num_rows):
-                content, every = batch.column(2)[i].as_buffer().to_pybytes(), batch.column(3)[i].values
-                for at in range(0, len(every), ROWS):
-                    rows: list[list] = [[] for _ in range(6)]
-                    for c in every.slice(at, ROWS).to_pylist():
-                        start, size, place = c["starts"], c["sizes"], c["places"]
-                        held = content[start : start + size + length - 1]
-                        name, anchor = _digest(held, place - start), _digest(content[place : place + gram], 0)[:8]
-                        new = name not in seen
-                        seen.add(name)
-                        row = (int.from_bytes(anchor, "little", signed=True), name, start, size, place - start, held if new else None)
-                        for column, value in zip(rows, row, strict=True):
-                            column.append(value)
-                    n = len(rows[0])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary()), pa.array([batch.column(0)[i].as_py()] * n, pa.binary()),
-                            pa.array([batch.column(1)[i].as_py()] * n, batch.column(1).type),
-                            *(pa.array(c, pa.int32()) for c in rows[2:5]), pa.array(rows[5], pa.binary()),
-                        ],
-                        ["anchor", "context", "text_hash", "doc_id", "start", "size", "reach", "bytes"],
-                    )
-
-    return texts.mapInArrow(run, OCCURRENCES.format(doc=texts.schema["doc_id"].dataType.simpleString()))
+    """One row per context of ``texts(text_hash, doc_id, text, contexts)``, with its bytes; ``reach`` is from its first start to its anchor."""
+    place, start, size = (F.col(f"c.{n}") for n in ("places", "starts", "sizes"))
+    rows = texts.select("text_hash", "doc_id", "text", F.explode("contexts").alias("c"))
+    rows = rows.select(
+        F.xxhash64(F.substring("text", place + 1, F.lit(gram_of(length)))).alias("anchor"), "text_hash", "doc_id",
+        start.alias("start"), size.alias("size"), (place - start).alias("reach"),
+        F.substring("text", start + 1, size + length - 1).alias("bytes"),
+    )
+    return rows.withColumn("context", F.unhex(F.md5(F.concat("bytes", F.col("reach").cast("string").cast("binary")))))
 
 
 # suffix order of a task's groups
@@ -334,6 +304,10 @@ def sorted_groups(groups: DataFrame, length: int) -> DataFrame:
 # groups of very many contexts
 
 
+def _digest(content: bytes, mark: int) -> bytes:
+    return hashlib.blake2b(content, digest_size=16, salt=mark.to_bytes(8, "little", signed=True)).digest()
+
+
 BLOCKS = "context binary, first {first}, core binary, whole binary, low int, n int"
 
 
@@ -452,42 +426,39 @@ def repeated_texts(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     return texts.select("text_hash", "text").join(runs, "text_hash"), stored(copies(found), "repeats-copies")
 
 
-def _spans(runs, size: int, length: int, keep_first: bool) -> tuple[np.ndarray, np.ndarray]:
+def _spans(runs: pa.StructArray, length: int, keep_first: bool) -> tuple[list[int], list[int]]:
     """Maximal stretches of a text that the strings of the runs cover: starts and ends."""
     starts, n, later = (runs.field(c).to_numpy(zero_copy_only=False) for c in ("start", "n", "later"))
     if keep_first:
         starts, n = starts[later], n[later]
-    cover = np.zeros(size + 1, np.int64)
-    np.add.at(cover, starts, 1)
-    np.add.at(cover, starts + n + length - 1, -1)
-    lows, sizes = _runs(np.cumsum(cover[:size]) > 0)
-    return np.array(lows, np.int64), np.array(lows, np.int64) + np.array(sizes, np.int64)
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], np.maximum.accumulate((starts + n + length - 1)[order])
+    first = np.append(True, starts[1:] > ends[:-1])[: len(starts)]
+    return starts[first].tolist(), ends[np.append(first[1:], True)[: len(starts)]].tolist()
 
 
-CUT = "text_hash binary, spans array<struct<start:int,end:int>>, n_removed bigint, kept_sha256 string"
+SPANS = "array<struct<start:int,end:int>>"
 
 
-def cut(texts: DataFrame, length: int, keep_first: bool) -> DataFrame:
-    """``text_hash, spans, n_removed, kept_sha256`` of texts that lose bytes."""
+def merged(texts: DataFrame, length: int, keep_first: bool) -> DataFrame:
+    """``text_hash, spans`` of texts that lose bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            rows = []
-            for name, content, runs in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
-                held = content.as_buffer()
-                starts, ends = _spans(runs.values, held.size, length, keep_first)
-                digest, view = hashlib.sha256(), memoryview(held)
-                for a, b in zip([0, *ends.tolist()], [*starts.tolist(), held.size], strict=True):
-                    digest.update(view[a:b])
-                spans = [{"start": a, "end": b} for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                rows.append((name.as_py(), spans, int((ends - starts).sum()), digest.hexdigest()))
-            kinds = [pa.binary(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.int64(), pa.string()]
-            columns = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["text_hash", "spans", "n_removed", "kept_sha256"]
-            )
+            found = [_spans(runs.values, length, keep_first) for runs in batch.column(1)]
+            spans = [[{"start": a, "end": b} for a, b in zip(*f, strict=True)] for f in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], ["text_hash", "spans"])
+
+    return texts.select("text_hash", "runs").mapInArrow(run, f"text_hash binary, spans {SPANS}").filter(F.size("spans") > 0)
 
-    return texts.mapInArrow(run, CUT)
+
+def kept(text: str, spans: str) -> Column:
+    """The bytes of a binary column that are left outside its spans (ascending, apart)."""
+    begins = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
+    ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.octet_length(text)))
+    parts = F.zip_with(begins, ends, lambda a, b: F.hex(F.substring(F.col(text), a + 1, b - a)))
+    return F.unhex(F.array_join(parts, ""))
 
 
 def removed(
@@ -499,7 +470,12 @@ def removed(
     starts earlier, so that the first of all copies stays.
     """
     texts, same = repeated_texts(docs, length, doc_id, text)
-    lost = stored(cut(texts, length, keep_first), "repeats-cut")
+    spans = stored(merged(texts, length, keep_first), "repeats-spans")
+    gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    lost = lookup_join(texts.select("text_hash", "text"), spans, ["text_hash"]).select(
+        "text_hash", "spans", gone.alias("n_removed"), F.sha2(kept("text", "spans"), 256).alias("kept_sha256")
+    )
+    lost = stored(lost, "repeats-lost")
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), text_hash(text).alias("text_hash"), F.octet_length(text_of(text)).cast("bigint").alias("n_bytes"),
         F.sha2(text_of(text).cast("binary"), 256).alias("whole_sha256"),
@@ -510,7 +486,7 @@ def removed(
     if keep_first:
         goes = goes & ~F.col("doc_id").eqNullSafe(F.col("least"))
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("end")))
-    none = F.array().cast("array<struct<start:int,end:int>>")
+    none = F.array().cast(SPANS)
     return rows.select(
         "doc_id", "text_hash", "n_bytes", F.when(goes, whole).otherwise(F.coalesce("spans", none)).alias("spans"),
         F.when(goes, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0).cast("bigint"))).alias("n_removed"),
@@ -519,17 +495,6 @@ def removed(
 
 
 def kept_bytes(rows: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
-    """``rows`` with the column ``text`` as the bytes that are left outside ``spans``."""
-    names = rows.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for content, gone in zip(batch.column(text), batch.column(spans).to_pylist(), strict=True):
-                held = content.as_buffer().to_pybytes()
-                ends = [0, *(s["end"] for s in gone or [])]
-                out.append(b"".join(held[a:b] for a, b in zip(ends, [*(s["start"] for s in gone or []), len(held)], strict=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()) if n == text else batch.column(n) for n in names], names)
-
+    """``rows`` with the column ``text`` as the bytes that are left outside ``spans``; null as empty."""
     given = rows.withColumn(text, text_of(text).cast("binary"))
-    return given.mapInArrow(run, given.schema)
+    return given.withColumn(text, F.when(F.col(spans).isNull(), F.col(text)).otherwise(kept(text, spans)))
