@@ -29,8 +29,8 @@ RUN, SLIP, LEAST_LENGTH, LEAST_COUNT = r"[A-Za-z\x{C0}-\x{FF}]+", 31, 7, 2
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A form must occur so many times as often as the word.
 TIMES = 10
-#: Words in a list at most, and ranges that a task looks at together.
-LIST_WORDS, RANGES = 20_000, 1 << 20
+#: Words in a list at most, and words that a task looks up together.
+LIST_WORDS, LOOKED_UP = 20_000, 1 << 13
 #: A common prefix of any length.
 ANY = 1 << 30
 
@@ -77,19 +77,15 @@ def one_edit_apart(words: list[bytes], lists: np.ndarray, shared: np.ndarray) ->
     """
     flat, starts, lengths = _flat(words)
     n = len(words)
-    # depth from which a word differs from the one before it; lists have nothing in common
-    lcp = np.zeros(n + 1, np.int64)
-    lcp[1:n] = common_prefixes(flat, starts, lengths, np.arange(n - 1), np.arange(1, n))
-    edge = np.ones(n + 1, bool)
-    edge[1:n] = lists[1:] != lists[:-1]
-    lcp[edge] = -1
-    first = np.flatnonzero(edge[:n])
-    of = np.cumsum(edge[:n]) - 1
-    ends = np.append(first[1:], n)
+    edge = np.append(True, lists[1:] != lists[:-1])[:n]
+    first = np.flatnonzero(edge)
+    of, ends = np.cumsum(edge) - 1, np.append(first[1:], n)
+    # where a word parts from the one before it in its list, and at which depth
+    place = np.flatnonzero(~edge)
+    parted = np.sort(common_prefixes(flat, starts, lengths, place - 1, place) * n + place)
     us, vs = [], []
-    step = max(1, RANGES // 64)
-    for begin in range(0, n, step):
-        query = np.arange(begin, min(n, begin + step))
+    for begin in range(0, n, LOOKED_UP):
+        query = np.arange(begin, min(n, begin + LOOKED_UP))
         low, high, depth = first[of[query]], ends[of[query]], shared[query]
         # the shared letters are alike: the row at their end
         row = np.stack([np.ones_like(depth), np.zeros_like(depth), np.ones_like(depth)]).astype(np.int8)
@@ -110,7 +106,7 @@ def one_edit_apart(words: list[bytes], lists: np.ndarray, shared: np.ndarray) ->
             query, low, high, depth, row = query[some], low[some], high[some], depth[some], row[:, some]
             if not len(query):
                 break
-            query, low, high, depth, row = _children(lcp, query, low, high, depth, row)
+            query, low, high, depth, row = _children(parted, n, query, low, high, depth, row)
             letter = flat[starts[low] + depth]
             row = _next_row(flat, starts, lengths, query, depth, letter, row)
             some = np.flatnonzero(row.min(axis=0) <= 1)
@@ -118,15 +114,16 @@ def one_edit_apart(words: list[bytes], lists: np.ndarray, shared: np.ndarray) ->
     return np.concatenate(us) if us else np.zeros(0, np.int64), np.concatenate(vs) if vs else np.zeros(0, np.int64)
 
 
-def _children(lcp, query, low, high, depth, row):
-    """The ranges of one more common letter in every range."""
-    sizes = high - low
-    who = np.repeat(np.arange(len(query)), sizes)
-    place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + low[who]
-    begins = (place == low[who]) | (lcp[place] <= depth[who])
-    who, place = who[begins], place[begins]
-    last = np.append(who[1:] != who[:-1], True)
-    ends = np.where(last, high[who], np.append(place[1:], 0))
+def _children(parted, n, query, low, high, depth, row):
+    """The ranges of one more common letter in every range; ``parted`` has the places where words part, by depth."""
+    begin = np.searchsorted(parted, depth * n + low + 1)
+    more = np.searchsorted(parted, depth * n + high) - begin
+    who = np.repeat(np.arange(len(query)), more + 1)
+    nth = np.arange(len(who)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+    place = np.where(nth == 0, low[who], parted[np.maximum(begin[who] + nth - 1, 0)] - depth[who] * n) if len(parted) else low[who]
+    ends = np.append(place[1:], 0)
+    last = np.cumsum(more + 1) - 1
+    ends[last] = high
     return query[who], place, ends, depth[who], row[:, who]
 
 
