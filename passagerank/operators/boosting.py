@@ -30,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Rows of a block; pairs of a query looked at together; rounds after which the state is written.
 BLOCK_ROWS, PAIRS, CUT_ROUNDS = 1 << 16, 1 << 21, 10
+#: Rows that are worth a task of their own; tasks whose histograms the driver may sum itself.
+TASK_ROWS, DIRECT = 1 << 14, 16
 #: Rows of a query that one task looks at; a longer one is cut.
 QUERY_ROWS = 1 << 18
 #: What every row in a pair adds to the Hessian of its leaf: a pair that is ordered very wrongly bends hardly at all
@@ -148,7 +150,8 @@ def blocks(
     features = [F.coalesce(F.col(n).cast("double"), F.lit(float("nan"))).alias(f"__f{i}") for i, n in enumerate(names)]
     wanted = rows.select("qid", "doc_id", F.coalesce("label", F.lit(0)).alias("label"), *features)
     order = F.col("doc_id") if tied == "doc_id" else F.col("doc_id").cast("string").desc()
-    parts = max(spark.sparkContext.defaultParallelism, -(-rows.count() // (4 * BLOCK_ROWS)))
+    count = rows.count()
+    parts = max(min(spark.sparkContext.defaultParallelism, -(-count // TASK_ROWS)), -(-count // (4 * BLOCK_ROWS)), 1)
     if large:
         # more parts than a query of this size has blocks, so that none is much larger than a block
         salt = F.pmod(F.xxhash64("doc_id"), F.lit(2 * parts)).alias("__salt")
@@ -295,8 +298,11 @@ def _counted(at: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (next(halves) << 24) + next(halves)
 
 
-def summed(state: DataFrame, splits: list[tuple], leaves: list[int], n_features: int) -> dict[int, np.ndarray]:
-    """Histograms of the named leaves under ``splits``: per feature and bin the sums of grad, hess and rows."""
+def summed(state: DataFrame, splits: list[tuple], leaves: list[int], n_features: int, few: bool = False) -> dict[int, np.ndarray]:
+    """Histograms of the named leaves under ``splits``: per feature and bin the sums of grad, hess and rows.
+
+    Those of a ``few`` tasks are summed by the driver, others after an exchange by bin.
+    """
     tree = Tree(splits, np.zeros(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,10 +331,10 @@ def summed(state: DataFrame, splits: list[tuple], leaves: list[int], n_features:
             ["leaf", "feature", "bin", "grad", "hess", "n"],
         )
 
-    rows = state.select("bins", "grad", "hess").mapInArrow(run, HISTOGRAM).groupBy("leaf", "feature", "bin").agg(
-        F.sum("grad").alias("grad"), F.sum("hess").alias("hess"), F.sum("n").alias("n")
-    )
-    # a row per leaf, feature and bin at most
+    rows = state.select("bins", "grad", "hess").mapInArrow(run, HISTOGRAM)
+    if not few:
+        rows = rows.groupBy("leaf", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("grad", "hess", "n")])
+    # a row per leaf, feature and bin at most, of every task if there are few
     held = rows.toArrow()
     leaf, feature, at = (held.column(c).to_numpy() for c in ("leaf", "feature", "bin"))
     sums = np.stack([held.column(c).to_numpy() for c in ("grad", "hess", "n")], axis=1)
@@ -337,7 +343,7 @@ def summed(state: DataFrame, splits: list[tuple], leaves: list[int], n_features:
     for one in leaves:
         out[one] = np.zeros((n_features, width, 3), np.int64)
         here = leaf == one
-        out[one][feature[here], at[here]] = sums[here]
+        np.add.at(out[one], (feature[here], at[here]), sums[here])
     return out
 
 
@@ -487,6 +493,30 @@ def _means(state: DataFrame, cutoffs: tuple[int, ...]) -> list[float]:
     return [found[c] * UNIT / max(found[len(cutoffs)], 1) for c in range(len(cutoffs))]
 
 
+def fit_leaves(
+    rows: DataFrame, names: list[str], splits: list[tuple[int, str, float, int, int]], learning_rate: float = 0.1
+) -> RankModel:
+    """One boosting step with a given tree: its leaves get the Newton steps of the first round's gradients.
+
+    ``splits`` are (leaf, feature, threshold, left, right), from leaf 0 on, in an order in which a leaf stands before its children.
+    """
+    at = {n: i for i, n in enumerate(names)}
+    bounds = [np.unique([t for _, f, t, _, _ in splits if f == n]) for n in names]
+    made = [(leaf, at[f], int(np.searchsorted(bounds[at[f]], t)), low, high) for leaf, f, t, low, high in splits]
+    usual, large = _by_size(rows, None)
+    state = pull(cut(blocks(usual, names, bounds, ())), None, learning_rate, len(names), 0)
+    if large is not None:
+        state = state.union(pull_large(cut(blocks(large, names, bounds, (), large=True)), None, learning_rate, len(names)))
+    leaves = sorted({c for s in made for c in s[3:]} - {s[0] for s in made}) or [0]
+    sums = summed(state, made, leaves, len(names))
+    values = np.zeros(max(leaves) + 1)
+    for leaf, histogram in sums.items():
+        g, h, _ = histogram[0].sum(axis=0) * [UNIT, UNIT, 1]
+        values[leaf] = g / h if h > 0 else 0.0
+    gains = {s[0]: (0.0, s[1], s[2]) for s in made}
+    return RankModel("lambdamart", list(names), as_nodes(Tree(made, values), gains, bounds, 0), learning_rate)
+
+
 def _by_size(rows: DataFrame, depth: int | None) -> tuple[DataFrame, DataFrame | None]:
     """Rows of queries that a task may hold, and of those that it may not, if there are any."""
     if depth is not None and depth <= QUERY_ROWS:
@@ -525,6 +555,7 @@ def train_lambdamart(
     check = cut(blocks(valid, names, bounds, eval_at, tied="evaluator")) if valid is not None else None
     tables, history, tree = [], [], None
     best_round, best_measure = -1, -np.inf
+    few = state.rdd.getNumPartitions() <= DIRECT and huge is None
     for i in range(rounds):
         before = state
         state = pull(state, tree, learning_rate, n_features, len(eval_at)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -532,7 +563,7 @@ def train_lambdamart(
             huge = cut(pull_large(huge, tree, learning_rate, n_features))
         every = state if huge is None else state.union(huge)
         tree, gains = grow(
-            lambda splits, leaves: summed(every, splits, leaves, n_features),  # noqa: B023
+            lambda splits, leaves: summed(every, splits, leaves, n_features, few),  # noqa: B023
             num_leaves, min_rows_in_leaf, min_hess_in_leaf, max_depth,
         )
         tables.append(as_nodes(tree, gains, bounds, i))

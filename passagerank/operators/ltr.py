@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagerank.operators.boosting import train_lambdamart
+from passagerank.operators.boosting import fit_leaves, train_lambdamart
 from passagerank.operators.evaluate import judge, summary
 from passagerank.operators.forest import train_random_forest
 from passagerank.operators.pairs import lambda_gradients
 from passagerank.operators.trees import RankModel
 
 __all__ = [
-    "RankModel", "lambda_gradients", "load_model", "model_name", "save_model", "train_lambdamart", "train_random_forest",
+    "RankModel", "fit_leaves", "lambda_gradients", "load_model", "model_name", "save_model", "train_lambdamart", "train_random_forest",
 ]
 
 

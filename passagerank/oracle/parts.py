@@ -166,6 +166,9 @@ PARTS: dict[str, str] = {
     ),
     "expterm": terms_of("expanded"),
     "exprun": run_of("expterm", bm25_search(BYTE_LENGTH), DEPTH),
+    "spelled": "SELECT qid, corrected AS query FROM mended",
+    "spelledterm": terms_of("spelled"),
+    "spelledrun": run_of("spelledterm", bm25_search(BYTE_LENGTH), DEPTH),
     # ---- features
     "feat": (
         "SELECT qid, doc_id, " + ", ".join(f"{fixed(w)} AS {n}" for n, w in WEIGHTS.items())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from passagerank.oracle.parts import FEATURES, SEED, compose, rnd, tokens
+from passagerank.oracle.parts import FEATURES, PARTS, SEED, compose, rnd, tokens
 from passagerank.oracle.stemming import stems_of
 
 CUTOFFS = (5, 10, 15, 20, 30, 100, 200, 500, 1000)
@@ -130,6 +130,33 @@ _SPELL = f"""
             WHERE word <> '' AND word NOT IN (SELECT term FROM surface)) WHERE d <= 2) WHERE rn = 1)
       ON original = word GROUP BY qid) USING (qid)"""
 
+PARTS["mended"] = _SPELL
+
+# One boosting step from scores of zero: pairs in the order of documents, Newton steps per leaf.
+_STEP = f"""
+    SELECT qid, doc_id, {rnd('coalesce(0.1*sum(g) OVER leaves / nullif(sum(h) OVER leaves, 0), 0.0)')} AS score FROM (
+      SELECT cand.qid, cand.doc_id, g, h, CASE
+        WHEN f_tf/1e9 <= 2.5 THEN CASE WHEN f_sample/1e9 <= 4.000000123 THEN 5 ELSE 6 END
+        WHEN f_tf/1e9 <= 5.5 THEN 3 WHEN f_pl2/1e9 <= 3.000000123 THEN 7 ELSE 8 END AS leaf
+      FROM cand LEFT JOIN (
+        SELECT qid, doc_id, sum(g) AS g, sum(h) + 0.001 AS h FROM (
+          SELECT qid, unnest([i, j]) AS doc_id, unnest([0.5*delta, -0.5*delta]) AS g, unnest([0.25*delta, 0.25*delta]) AS h FROM (
+            SELECT a.qid, a.doc_id AS i, b.doc_id AS j, abs(a.gain-b.gain)*abs(a.disc-b.disc)/m.best AS delta
+            FROM (SELECT *, pow(2, label)-1 AS gain, 1/log2(1+row_number() OVER (PARTITION BY qid ORDER BY doc_id)) AS disc
+                  FROM ltr) a
+            JOIN (SELECT *, pow(2, label)-1 AS gain, 1/log2(1+row_number() OVER (PARTITION BY qid ORDER BY doc_id)) AS disc
+                  FROM ltr) b ON a.qid = b.qid AND a.label > b.label
+            JOIN (SELECT qid, sum((pow(2, label)-1)/log2(1+ip)) AS best FROM (SELECT qid, label, row_number() OVER
+                  (PARTITION BY qid ORDER BY label DESC, doc_id) AS ip FROM ltr) GROUP BY qid) m ON m.qid = a.qid))
+        GROUP BY qid, doc_id) pulls ON pulls.qid = cand.qid AND pulls.doc_id = cand.doc_id)
+    WINDOW leaves AS (PARTITION BY leaf)"""
+
+# Two trees with a weight of a half.
+_GIVEN = f"""
+    SELECT qid, doc_id, row_number() OVER (PARTITION BY qid ORDER BY total DESC, rank)-1 AS rank, {rnd('total')} AS score FROM (
+      SELECT qid, doc_id, rank, 0.5 * CASE WHEN f_tf/1e9 <= 3.5 THEN 0.25 WHEN f_sample/1e9 <= 6.000000123 THEN 0.5 ELSE 2.0 END
+        + 0.5 * CASE WHEN f_tf/1e9 <= 1.5 THEN -1.0 ELSE 1.0 END AS total FROM cand)"""
+
 _IDS = "SELECT CAST(qid AS VARCHAR) AS qid, CAST(doc_id AS VARCHAR) AS doc_id, CAST(rank AS BIGINT) AS rank, "
 # What must hold of any trained run: all candidates of a query, ranked densely by score, ties in candidate order.
 _TRAINED = (
@@ -153,6 +180,11 @@ _STATEMENTS: dict[str, str] = {
     "stances_unlabelled": (
         "SELECT headline, body_id, md5(text) AS body_md5 FROM labelled JOIN documents ON body_id = documents.doc_id"
     ),
+    "boost_step": _STEP,
+    "given_trees": _GIVEN,
+    "f_bm25": f"SELECT qid, doc_id, CAST(rank AS BIGINT) AS rank, {rnd('f_sample/1e9', 4)} AS f_bm25 FROM cand",
+    "bm25_spelled": _scored("spelledrun"),
+    "run_nb_tab_file": "SELECT qid, doc_id, CAST(rank AS BIGINT) AS rank, " + f"{rnd('score', 4)} AS score FROM tied",
     "lambdamart_checked": _TRAINED,
     "random_forest_checked": _TRAINED,
     "topics": f"SELECT CAST(item_id AS VARCHAR) AS qid, trim({BLANKS}) AS query FROM benchmark",
@@ -208,7 +240,7 @@ _STATEMENTS: dict[str, str] = {
     "rank_cutoff": _scored("run") + " WHERE rank < 10",
     "rerank_candidates": (
         "SELECT qid, run.doc_id, CAST(rank AS BIGINT) AS rank, " + rnd("score", 4) + " AS score, documents.text, query "
-        "FROM run JOIN documents ON run.doc_id = documents.doc_id JOIN topics USING (qid) WHERE rank < 50"
+        "FROM run JOIN documents ON run.doc_id = documents.doc_id JOIN topics USING (qid) WHERE rank < 100"
     ),
     "ranking_arrays": (
         "SELECT qid, string_agg(doc_id, ' ' ORDER BY rank) AS doc_ids FROM run GROUP BY qid"

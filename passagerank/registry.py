@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,7 +16,9 @@ from pyspark.sql.window import Window
 from passagerank.operators import errors, evaluate, expand, index, ltr, search, spelling, stance
 from passagerank.operators.features import DEFAULT_FEATURES, attach_labels, features, filter_qrels, head_topics
 from passagerank.operators.rerank import coverage, rerank
+from passagerank.operators.trees import leaf_last
 from passagerank.operators.workspace import cut
+from passagerank.plans.batch import bm25_batch
 from passagerank.sources import readers, writers
 from passagerank.testbed import DEPTH, SEED, Testbed
 
@@ -157,6 +160,17 @@ def run_nb_file(t: Testbed) -> DataFrame:
     )
 
 
+@query
+def run_nb_tab_file(t: Testbed) -> DataFrame:
+    """The notebook's tab form, in which a space stands before the score."""
+    def back(path: str) -> DataFrame:
+        parts = F.split("value", "[\t ]+")
+        row = [parts[i].cast(k).alias(n) for i, (n, k) in enumerate((("qid", "bigint"), ("doc_id", "bigint"), ("rank", "int"), ("score", "double")))]
+        return t.spark.read.text(path).select(*row)
+
+    return _run_back(t, "run.nbtab", lambda p: writers.write_run_nb(t.tied_run, p, "tsv", mode="overwrite"), back)
+
+
 @query
 def index_reopened(t: Testbed) -> DataFrame:
     """Term statistics of the stored index, opened once more instead of being built."""
@@ -287,7 +301,7 @@ def rank_cutoff(t: Testbed) -> DataFrame:
 
 @query
 def rerank_candidates(t: Testbed) -> DataFrame:
-    hits = search.candidates_with_text(t.run, t.index.docs, t.topics, 50)
+    hits = search.candidates_with_text(t.run, t.index.docs, t.topics, 100)
     return big(rounded(hits, 4))
 
 
@@ -335,6 +349,12 @@ def bm25_expanded(t: Testbed) -> DataFrame:
     return big(rounded(search.search_with_scores(expanded, t.index, k=DEPTH), 4))
 
 
+@query
+def bm25_spelled(t: Testbed) -> DataFrame:
+    """The batch with spelling on: topics with a letter missing are mended, then searched."""
+    return big(rounded(bm25_batch(t.typo_topics.select("qid", "query"), t.index, k=DEPTH, spell_checking=True), 4))
+
+
 # ------------------------------------------------------------ learning to rank
 
 
@@ -363,7 +383,7 @@ def _one_feature(name: str) -> None:
     QUERIES[name] = run
 
 
-for _name in DEFAULT_FEATURES:
+for _name in (*DEFAULT_FEATURES, "f_bm25"):
     _one_feature(_name)
 
 
@@ -385,15 +405,53 @@ def lambda_gradients(t: Testbed) -> DataFrame:
     return rounded(ltr.lambda_gradients(rows, depth=DEPTH), 6)
 
 
+#: The queries of this share (one in so many, by hash) are held out of training, for validation.
+HELD_OUT = 5
+
+
 def _trained(t: Testbed, name: str) -> ltr.RankModel:
     """The stored model of a session, trained when it is first asked for."""
+    held_out = F.pmod(F.xxhash64("qid"), F.lit(HELD_OUT)) == 0
+    learn, valid = t.ltr_rows.filter(~held_out), t.ltr_rows.filter(held_out)
     train = {
-        "lambdamart": lambda: ltr.train_lambdamart(t.ltr_rows, None, list(DEFAULT_FEATURES), rounds=10, depth=DEPTH),
-        "randomforest": lambda: ltr.train_random_forest(t.ltr_rows, list(DEFAULT_FEATURES), n_trees=20, max_depth=8),
+        "lambdamart": lambda: ltr.train_lambdamart(learn, valid, list(DEFAULT_FEATURES), rounds=100, num_leaves=7, depth=DEPTH),
+        "randomforest": lambda: ltr.train_random_forest(learn, list(DEFAULT_FEATURES), n_trees=100),
     }[name]
     return ltr.load_model(t.spark, t._files(f"model-{name}", lambda path: ltr.save_model(train(), t.spark, path)))
 
 
+@query
+def boost_step(t: Testbed) -> DataFrame:
+    """One boosting step with given splits: the leaf that each row comes to, by its new score."""
+    splits = [(0, "f_tf", 2.5, 1, 2), (2, "f_tf", 5.5, 3, 4), (1, "f_sample", 4.000000123, 5, 6), (4, "f_pl2", 3.000000123, 7, 8)]
+    model = ltr.fit_leaves(t.ltr_rows, list(DEFAULT_FEATURES), splits)
+    return rounded(model.transform(t.ltr_rows, "score").select("qid", "doc_id", "score"))
+
+
+@query
+def given_trees(t: Testbed) -> DataFrame:
+    """Scores of a model whose nodes are given, after it was stored and read back."""
+    leaf = {"feature": -1, "threshold": float("inf"), "gain": 0.0}
+    split = {"value": 0.0, "gain": 1.0}
+    nodes = pd.concat([
+        leaf_last([
+            {**split, "feature": 1, "threshold": 3.5, "left": 1, "right": 2},
+            {**leaf, "left": 1, "right": 1, "value": 0.25},
+            {**split, "feature": 0, "threshold": 6.000000123, "left": 3, "right": 4},
+            {**leaf, "left": 3, "right": 3, "value": 0.5}, {**leaf, "left": 4, "right": 4, "value": 2.0},
+        ], 0),
+        leaf_last([
+            {**split, "feature": 1, "threshold": 1.5, "left": 1, "right": 2},
+            {**leaf, "left": 1, "right": 1, "value": -1.0}, {**leaf, "left": 2, "right": 2, "value": 1.0},
+        ], 1),
+    ], ignore_index=True)
+    model = ltr.RankModel("lambdamart", ["f_sample", "f_tf"], nodes, 0.5)
+    path = f"{t.root}/models/given"
+    ltr.save_model(model, t.spark, path)
+    ranked = rerank(t.ltr_rows, ltr.load_model(t.spark, path), depth=DEPTH)
+    return big(rounded(ranked.select("qid", "doc_id", "rank", "score")))
+
+
 @query
 def lambdamart_rank(t: Testbed) -> DataFrame:
     model = _trained(t, "lambdamart")
@@ -524,7 +582,7 @@ def eval_gm_map(t: Testbed) -> DataFrame:
 
 def _measure(name: str) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(evaluate.per_query(_judged(Testbed(spark, sf_dir)), (name,)).drop("R", "M"))
+        return rounded(getattr(evaluate, f"eval_{name}")(_judged(Testbed(spark, sf_dir))))
 
     QUERIES[f"eval_{name}"] = run
 

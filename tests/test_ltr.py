@@ -305,3 +305,22 @@ def test_both_ways_of_scoring_agree(spark, monkeypatch):
     monkeypatch.setattr(trees, "SHIPPED_NODES", 20)
     assert len(list(model._shipments())) > 1
     assert {(r["qid"], r["doc_id"]): r["model_score"] for r in model.transform(given).collect()} == pytest.approx(folded)
+
+
+def test_many_tasks_exchange_their_histograms(spark, monkeypatch):
+    data, df = learning_rows(spark, 160)
+    once = ltr.train_lambdamart(df, None, ["f_a", "f_b"], rounds=2, min_rows_in_leaf=4)
+    monkeypatch.setattr(boosting, "DIRECT", 0)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 40)
+    again = ltr.train_lambdamart(df.repartition(5), None, ["f_a", "f_b"], rounds=2, min_rows_in_leaf=4)
+    assert again.nodes.equals(once.nodes)
+
+
+def test_leaves_of_a_given_tree(spark):
+    data, df = learning_rows(spark, 80)
+    model = ltr.fit_leaves(df, ["f_a", "f_b"], [(0, "f_a", 1.0, 1, 2), (2, "f_b", 0.5, 3, 4)])
+    pulls = brute_gradients([(r[0], r[1], r[4], 0.0) for r in data])
+    leaf = {r[1]: 1 if r[2] <= 1 else 3 if r[3] <= 0.5 else 4 for r in data}
+    for r in model.transform(df).collect():
+        mine = [pulls[q, d] for q, d, *_ in data if leaf[d] == leaf[r["doc_id"]]]
+        assert r["model_score"] == pytest.approx(0.1 * sum(g for g, _ in mine) / sum(h + boosting.RIDGE for _, h in mine), abs=1e-6)
