@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagerank.functions.weighting import fixed
-from passagerank.operators.index import Index, select_docs
+from passagerank.operators.index import Index, index_terms, select_docs
 from passagerank.operators.ranking import top_k
 from passagerank.operators.search import search
 from passagerank.operators.sizing import measure, skew_join
@@ -30,9 +30,11 @@ def feedback_terms(run: DataFrame, index: Index) -> DataFrame:
 
 def first_word_terms(topics: DataFrame, index: Index) -> DataFrame:
     """``(qid, term)``: the first analyzed token of every space-separated query word."""
-    words = topics.select("qid", F.explode_outer(F.split("query", " ")).alias("word"))
-    terms = words.select("qid", F.get(index.analyze("word"), F.lit(0)).alias("term"))
-    return terms.filter(F.col("term").isNotNull()).distinct()
+    words = topics.select("qid", F.posexplode_outer(F.split("query", " ")).alias("nth", "word"))
+    if index.stemmer is None:
+        terms = words.select("qid", F.get(index.analyze("word"), F.lit(0)).alias("term"))
+        return terms.filter(F.col("term").isNotNull()).distinct()
+    return index_terms(words, "word", index).filter("position = 0").select("qid", "term").distinct()
 
 
 def drop_query_terms(feedback: DataFrame, topics: DataFrame, index: Index) -> DataFrame:

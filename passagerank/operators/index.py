@@ -7,6 +7,8 @@ Layout of a stored index:
 * ``postings(term, doc_id, tf, dl, positions)``: a directory per term slot,
   bucketed by document with the same hash, sorted by term inside a file.
 * ``terms(term, df, cf)``: a directory per term slot, sorted by term.
+* ``words(word, df)``: the surface forms of the collection; ``stems(word, stem)``: every word of the analyzer once,
+  with its stem, if there is a stemmer.
 * ``coll``: one row of statistics and settings, written last as the commit mark.
 
 Bucketing postings by document spreads even a term found in every third
@@ -33,6 +35,7 @@ from passagerank.functions.porter import stem_words
 from passagerank.functions.text import STOPWORDS, raw_tokens, tokens, with_term_groups
 from passagerank.functions.weighting import Collection
 from passagerank.operators.sizing import lookup_join, measure, skew_join
+from passagerank.operators.workspace import cut
 
 # One shard holds about this much text; with 16 term slots its files stay near 100 MB.
 SHARD_BYTES = 2 << 30
@@ -64,6 +67,7 @@ class Index:
     stopwords: bool
     term_slots: int
     shards: int
+    stems: DataFrame | None = None
 
     @property
     def doc_stats(self) -> DataFrame:
@@ -104,6 +108,54 @@ def stem_vocabulary(vocabulary: DataFrame, column: str = "term") -> DataFrame:
     return vocabulary.select(column, stem_words(column).alias("stem"))
 
 
+def stem_dictionary(words: DataFrame) -> DataFrame:
+    """``(word, stem)`` of the analyzer's words among the surface forms ``words``: the possessive goes, every word stands once."""
+    bare = F.regexp_replace("word", "['’]s$", "").alias("word")
+    return stem_vocabulary(words.select(bare).distinct(), "word")
+
+
+def stems_for(words: DataFrame, index: Index) -> DataFrame:
+    """``(word, stem)`` of the distinct words of ``words(word)``: looked up in the index, worked out where it does not know them.
+
+    The result is written, so that a plan that goes on with it stems nothing.
+    """
+    wanted = cut(words.select("word").distinct())
+    if measure(wanted).small:
+        known = index.stems.join(F.broadcast(wanted), "word")
+    else:
+        known = wanted.join(index.stems, "word")
+    known = cut(known.select("word", "stem"))
+    rest = lookup_join(wanted, known.select("word"), ["word"], "left_anti")
+    return cut(known.union(stem_vocabulary(rest, "word").select("word", "stem")))
+
+
+def index_terms(df: DataFrame, column: str, index: Index) -> DataFrame:
+    """One row per analyzed token of a text column: its position and its term as the index has it."""
+    flat = tokenize_flat(df, column, None, index.stop_list)
+    if index.stemmer is None:
+        return flat
+    flat = flat.withColumnRenamed("term", "word")
+    joined = lookup_join(flat, stems_for(flat, index), ["word"])
+    return joined.withColumnRenamed("stem", "term").drop("word")
+
+
+def stemmed_documents(corpus: DataFrame, stems: DataFrame, stopwords: tuple[str, ...] = STOPWORDS) -> DataFrame:
+    """As ``document_terms``, with the stems of a dictionary: the words of a document are grouped in its row, and only
+    these groups meet the dictionary.  Where ``corpus`` is partitioned by document, they come back without an exchange."""
+    given = document_terms(corpus, None, stopwords)
+    flat = given.select("doc_id", F.inline_outer("terms")).filter(F.col("term").isNotNull()).withColumnRenamed("term", "word")
+    merged = lookup_join(flat, stems, ["word"]).groupBy("doc_id", "stem").agg(
+        F.sum("tf").cast("int").alias("tf"), F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions")
+    )
+    vectors = merged.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("stem").alias("term"), "tf", "positions"))).alias("terms")
+    )
+    joined = corpus.join(vectors, "doc_id", "left")
+    none = F.array().cast(_VECTOR)
+    joined = joined.withColumn("terms", F.coalesce("terms", none))
+    return joined.withColumn("dl", F.aggregate("terms", F.lit(0), lambda n, t: n + t["tf"]))
+
+
 def document_terms(corpus: DataFrame, stemmer: str | None = "porter",
                    stopwords: tuple[str, ...] = STOPWORDS) -> DataFrame:
     """Corpus with ``dl`` and ``terms``; narrow, no exchange."""
@@ -221,15 +273,25 @@ def build_index(
     spark = corpus.sparkSession
     if _committed(spark, path):
         raise FileExistsError(f"{path} holds an index")
+    if stemmer not in (None, "porter"):
+        raise ValueError(f"unknown stemmer {stemmer!r}; use 'porter' or None")
     corpus = corpus.select("doc_id", "text")
     shards = shards or _default_shards(corpus)
-    docs = document_terms(corpus.repartition(shards, "doc_id"), stemmer, STOPWORDS if stopwords else ())
-    if not keep_text:
-        docs = docs.drop("text")
     id_type = corpus.schema["doc_id"].dataType.simpleString()
     # data go to a folder of their own: a build that broke off is no obstacle to the next one
     data = f"data-{uuid.uuid4().hex}"
     root = f"{path}/{data}"
+    surface_words(corpus).sortWithinPartitions("word").write.mode("errorifexists").parquet(f"{root}/words")
+    placed, stop_list = corpus.repartition(shards, "doc_id"), STOPWORDS if stopwords else ()
+    if stemmer is None:
+        docs = document_terms(placed, None, stop_list)
+    else:
+        words = spark.read.schema("word STRING, df BIGINT").parquet(f"{root}/words")
+        stems = stem_dictionary(words).sortWithinPartitions("word")
+        stems.write.mode("errorifexists").parquet(f"{root}/stems")
+        docs = stemmed_documents(placed, spark.read.schema(_STEMS).parquet(f"{root}/stems"), stop_list)
+    columns = ["doc_id", *(["text"] if keep_text else []), "terms", "dl"]
+    docs = docs.select(*columns)
     _write_bucketed(docs, f"{root}/docs", shards, "doc_id", "doc_id", None)
     spec = _tables(root, id_type, keep_text, shards)
     stored = _attach(spark, {"docs": spec["docs"]})
@@ -247,7 +309,6 @@ def build_index(
         counts.sortWithinPartitions(slot, "term")
         .write.partitionBy("term_slot").mode("errorifexists").parquet(f"{root}/terms")
     )
-    surface_words(corpus).sortWithinPartitions("word").write.mode("errorifexists").parquet(f"{root}/words")
     stats = collection_stats(stored["docs"].select("doc_id", "dl"))
     stats = stats.select(
         "*",
@@ -294,6 +355,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
         stopwords=row["stopwords"],
         term_slots=row["term_slots"],
         shards=row["shards"],
+        stems=spark.read.schema(_STEMS).parquet(f"{root}/stems") if row["stemmer"] else None,
     )
 
 
@@ -312,6 +374,7 @@ def open_or_build(corpus: DataFrame, path: str, **options) -> Index:
     return open_index(spark, path) if _committed(spark, path) else build_index(corpus, path, **options)
 
 
+_STEMS = "word STRING, stem STRING"
 _VECTOR = "ARRAY<STRUCT<term: STRING, tf: INT, positions: ARRAY<INT>>>"
 
 

@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from passagerank.functions import weighting as wm
 from passagerank.functions.text import with_term_groups
-from passagerank.operators.index import LITERAL_TERMS, Index, fetch_docs, term_slot
+from passagerank.operators.index import LITERAL_TERMS, Index, fetch_docs, index_terms, term_slot
 from passagerank.operators.ranking import top_k
 from passagerank.operators.sizing import measure, skew_join
 
 
 def query_terms(topics: DataFrame, index: Index) -> DataFrame:
-    """``(qid, term, qtf)`` of every topic, grouped inside the topic row."""
+    """``(qid, term, qtf)`` of every topic: grouped inside the topic row, or after its words are looked up in the index."""
+    if index.stemmer is not None:
+        flat = index_terms(topics.select("qid", "query"), "query", index)
+        return flat.groupBy("qid", "term").agg(F.count(F.lit(1)).cast("int").alias("qtf"))
     analyzed = topics.select("qid", index.analyze("query").alias("__tokens"))
     grouped = with_term_groups(analyzed, "__tokens", "terms")
     exploded = grouped.select("qid", F.inline_outer("terms")).filter(F.col("term").isNotNull())

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from passagerank.oracle.stemming import stems_of
+
 WORD = r"[\p{L}\p{N}]+"
 TOKEN = WORD + r"(?:[.''’]" + WORD + ")*"
 STOP = (
@@ -222,6 +224,37 @@ PARTS: dict[str, str] = {
     ),
 }
 
+#: Relations that have a stemmed counterpart, named with ``s_`` in front.
+_STEMMED = ("post", "tstat", "qterm", "run", "feedback", "weights", "ownterm", "best", "expanded")
+_READS = re.compile(rf"\b(FROM|JOIN)\s+({'|'.join(_STEMMED)})\b|\b({'|'.join(_STEMMED)})\.")
+
+
+def stemmed(sql: str) -> str:
+    """A statement over the stemmed relations instead of the plain ones."""
+    return _READS.sub(lambda m: f"{m[1]} s_{m[2]}" if m[1] else f"s_{m[3]}.", sql)
+
+
+def _stems(select: str) -> str:
+    """``select`` with the stem of every ``term`` in its place."""
+    return f"SELECT * EXCLUDE (term, stem), stem AS term FROM ({select}) JOIN stemmap USING (term)"
+
+
+PARTS |= {
+    "anyterm": f"SELECT term FROM pos UNION SELECT unnest({tokens('query')}) AS term FROM topics",
+    "stemmap": stems_of("anyterm"),
+    "s_pos": _stems("SELECT doc_id, term, position FROM pos"),
+    "s_post": (
+        "SELECT term, doc_id, tf, dl FROM "
+        "(SELECT term, doc_id, count(*) AS tf FROM s_pos GROUP BY term, doc_id) JOIN dls USING (doc_id)"
+    ),
+    "s_qterm": (
+        "SELECT qid, term, count(*) AS qtf FROM ("
+        + _stems(f"SELECT qid, unnest({tokens('query')}) AS term FROM topics") + ") GROUP BY qid, term"
+    ),
+    "s_ownterm": f"SELECT DISTINCT qid, term FROM ({_stems(PARTS['ownterm'])})",
+    **{f"s_{name}": stemmed(PARTS[name]) for name in ("tstat", "run", "feedback", "weights", "best", "expanded")},
+}
+
 _LITERAL = re.compile(r"'(?:[^']|'')*'")
 
 

@@ -180,6 +180,16 @@ _STATEMENTS: dict[str, str] = {
     "stances_unlabelled": (
         "SELECT headline, body_id, md5(text) AS body_md5 FROM labelled JOIN documents ON body_id = documents.doc_id"
     ),
+    "analyze_stemmed": (
+        "SELECT doc_id, coalesce(string_agg(term, ' ' ORDER BY position), '') AS tokens, count(term) AS n_tokens "
+        "FROM documents LEFT JOIN s_pos USING (doc_id) GROUP BY doc_id"
+    ),
+    "postings_stemmed": (
+        "SELECT term, doc_id, count(*) AS tf, dl, string_agg(position, ' ' ORDER BY position) AS positions "
+        "FROM s_pos JOIN dls USING (doc_id) GROUP BY term, doc_id, dl"
+    ),
+    "bm25_stemmed": _scored("s_run"),
+    "expand_queries_stemmed": "SELECT qid, query FROM s_expanded",
     "boost_step": _STEP,
     "given_trees": _GIVEN,
     "f_bm25": f"SELECT qid, doc_id, CAST(rank AS BIGINT) AS rank, {rnd('f_sample/1e9', 4)} AS f_bm25 FROM cand",

@@ -205,6 +205,13 @@ def analyze(t: Testbed) -> DataFrame:
     return out.select("doc_id", text_of("tokens").alias("tokens"), F.size("tokens").cast("bigint").alias("n_tokens"))
 
 
+@query
+def analyze_stemmed(t: Testbed) -> DataFrame:
+    """The default analyzer."""
+    out = index.analyze(t.corpus, "text")
+    return out.select("doc_id", text_of("tokens").alias("tokens"), F.size("tokens").cast("bigint").alias("n_tokens"))
+
+
 @query
 def token_positions(t: Testbed) -> DataFrame:
     return big(index.tokenize_flat(t.corpus, "text", stemmer=None))
@@ -236,6 +243,13 @@ def postings(t: Testbed) -> DataFrame:
     return big(built.select("term", "doc_id", "tf", text_of("positions").alias("positions")))
 
 
+@query
+def postings_stemmed(t: Testbed) -> DataFrame:
+    """Postings of the index as it is built by default: words meet their stems in a dictionary."""
+    rows = t.stemmed_index.postings.select("term", "doc_id", "tf", "dl", text_of("positions").alias("positions"))
+    return big(rows)
+
+
 @query
 def doc_lengths(t: Testbed) -> DataFrame:
     return index.doc_lengths(t.index.postings)
@@ -288,6 +302,11 @@ def bm25_turns(t: Testbed) -> DataFrame:
     return big(rounded(search.search_with_scores(t.turns, t.index, k=DEPTH), 4))
 
 
+@query
+def bm25_stemmed(t: Testbed) -> DataFrame:
+    return big(rounded(search.search_with_scores(t.topics, t.stemmed_index, k=DEPTH), 4))
+
+
 @query
 def bm25_top3(t: Testbed) -> DataFrame:
     found = search.search_one(t.spark, "the then thenly erha tion of this ouer", t.index, k=3)
@@ -343,6 +362,11 @@ def expand_queries(t: Testbed) -> DataFrame:
     return _expanded(t)
 
 
+@query
+def expand_queries_stemmed(t: Testbed) -> DataFrame:
+    return expand.expand_queries(t.topics, t.stemmed_index, 10, feedback_k=DEPTH).drop("seq")
+
+
 @query
 def bm25_expanded(t: Testbed) -> DataFrame:
     expanded = t._stored("expanded", lambda: _expanded(t))

@@ -71,6 +71,15 @@ class Testbed:
             _indexes[key] = open_or_build(self.corpus, path, stemmer=None)
         return _indexes[key]
 
+    @property
+    def stemmed_index(self) -> Index:
+        """The index as it is built by default."""
+        path = f"{self.root}/stemmed"
+        key = (path, id(self.spark))
+        if key not in _indexes:
+            _indexes[key] = open_or_build(self.corpus, path)
+        return _indexes[key]
+
     # -------------------------------------------------------------- topics
 
     @property

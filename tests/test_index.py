@@ -100,3 +100,40 @@ def test_large_corpus_gets_more_shards(spark, corpus, monkeypatch):
     few = ix._default_shards(corpus)
     monkeypatch.setattr(ix, "SHARD_BYTES", 8)
     assert 1 <= few <= 8 < ix._default_shards(corpus) <= ix.MAX_SHARDS
+
+
+@pytest.fixture(scope="module")
+def stemmed(corpus, tmp_path_factory):
+    return ix.build_index(corpus, str(tmp_path_factory.mktemp("index") / "stemmed"), shards=3, term_slots=4)
+
+
+def test_stemmed_index_equals_analysis_in_the_row(corpus, stemmed):
+    key = lambda r: (r["term"], r["doc_id"])
+    wanted = sorted(ix.build_postings(corpus).collect(), key=key)
+    found = stemmed.postings.select("term", "doc_id", "tf", "dl", "positions").collect()
+    assert sorted(found, key=key) == wanted and {"cat", "car", "sat"} <= {r["term"] for r in wanted}
+    assert stemmed.docs.count() == corpus.count() and stemmed.docs.filter("doc_id = 4").first()["terms"] == []
+
+
+def test_stems_come_from_the_dictionary_without_another_exchange(spark, corpus, stemmed, monkeypatch):
+    docs = ix.stemmed_documents(corpus.repartition(3, "doc_id"), stemmed.stems)
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+    assert plan.count("Exchange hashpartitioning(doc_id") <= 2  # one of them reused
+    from passagerank.operators import sizing
+
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 0)
+    by_shuffle = ix.stemmed_documents(corpus.repartition(3, "doc_id"), stemmed.stems).select("doc_id", "terms", "dl")
+    assert sorted(by_shuffle.collect()) == sorted(docs.select("doc_id", "terms", "dl").collect())
+
+
+def test_query_words_are_looked_up_or_stemmed(spark, stemmed):
+    words = spark.createDataFrame([("cats",), ("walking",), ("cats",), ("the",)], "word STRING")
+    found = {r["word"]: r["stem"] for r in ix.stems_for(words, stemmed).collect()}
+    assert found == {"cats": "cat", "walking": "walk", "the": "the"}
+    topics = spark.createDataFrame([(1, "Cars' cats walking cats")], "qid INT, query STRING")
+    from passagerank.operators.search import query_terms
+
+    rows = query_terms(topics, stemmed)
+    assert sorted((r["term"], r["qtf"]) for r in rows.collect()) == [("car", 1), ("cat", 2), ("walk", 1)]
+    assert "ArrowEvalPython" not in rows._jdf.queryExecution().executedPlan().toString()
