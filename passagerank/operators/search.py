@@ -124,6 +124,16 @@ def candidates_with_text(run: DataFrame, corpus: DataFrame, topics: DataFrame, k
     return skew_join(hits, topics.select("qid", "query"), ["qid"])
 
 
+def candidates_with_terms(run: DataFrame, index: Index, topics: DataFrame, k: int = 100) -> DataFrame:
+    """As ``candidates_with_text``, with the distinct terms of a passage, as the index keeps them, in place of its text."""
+    vectors = index.docs.select("doc_id", F.col("terms.term").alias("terms"))
+    hits = rank_cutoff(run, k)
+    joined = vectors.join(F.broadcast(hits), "doc_id") if measure(hits).small else skew_join(hits, vectors, ["doc_id"])
+    asked = topics.select("qid", "query")
+    found = joined.join(F.broadcast(asked), "qid") if measure(topics).small else skew_join(joined, asked, ["qid"])
+    return found.select(*run.columns, "terms", "query")
+
+
 def ranking_arrays(run: DataFrame, depth: int) -> DataFrame:
     """The document ids of the first ``depth`` hits of every query, in order: one list per query.
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passagerank.operators.ranking import GROUP_ROWS, row_numbers
 from passagerank.operators.sizing import lookup_join
 
 # Stance names and their labels.
@@ -38,26 +37,74 @@ def shuffle_key(row_id: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")))
 
 
+#: Keys that the driver sorts to find one cut; hex digits that a counting pass looks at.
+CUT_KEYS, DIGITS = 4_096, 3
+
+
 def kfold(
     stances: DataFrame,
     n: int,
     seed: int = 42,
     row_id: str = "row_id",
     compat: bool = False,
-    group_rows: int = GROUP_ROWS,
+    cut_keys: int = CUT_KEYS,
 ) -> DataFrame:
     """Add ``fold`` in 0..n-1 after a seeded shuffle; fold i begins at ceil(i/n*size).
 
-    ``compat`` leaves the last fold out, as the original reader does.
+    Rows do not move: the keys at which folds begin are found by counting, and a row is labelled by its own key.  Rows of
+    one id have one key; they stay together.  ``compat`` leaves the last fold out, as the original reader does.
     """
+    key = shuffle_key(F.col(row_id), seed)
     size = stances.count()
-    order = [shuffle_key(F.col(row_id), seed), F.col(row_id)]
-    placed = row_numbers(stances, [], order, "__p", group_rows=group_rows)
-    fold = F.floor((F.col("__p") - 1) * n / F.lit(max(size, 1))).cast("int")
-    folds = placed.withColumn("fold", fold).drop("__p")
+    begins = sorted({-(-i * size // n) for i in range(1, n)} - {0, size})
+    cuts = order_statistics(stances.select(key.alias("key"), F.col(row_id).alias("id")), begins, cut_keys)
+    # several folds may begin at one place where there are fewer rows than folds
+    place = [-(-i * size // n) for i in range(1, n)]
+    own = F.struct(key.alias("key"), F.col(row_id).alias("id"))
+    fold = F.lit(0)
+    for at in place:
+        if at < size:
+            fold = fold + (F.lit(True) if at == 0 else own >= _literal(cuts[at], stances.schema[row_id].dataType)).cast("int")
+    folds = stances.withColumn("fold", fold.cast("int"))
     return folds.filter(F.col("fold") < n - 1) if compat else folds
 
 
+def _literal(cut: tuple, kind) -> Column:
+    return F.struct(F.lit(cut[0]).alias("key"), F.lit(cut[1]).cast(kind).alias("id"))
+
+
+def order_statistics(keys: DataFrame, places: Sequence[int], cut_keys: int = CUT_KEYS) -> dict[int, tuple]:
+    """The ``(key, id)`` that stands at each place (from 0) of the sorted ``keys(key, id)``; ``key`` is a hex string.
+
+    A pass counts keys by their next digits, only where a place still lies among many; few are then sorted by the driver.
+    """
+    open_ = {at: ("", at) for at in places}  # digits known so far, place among the keys that have them
+    found: dict[int, tuple] = {}
+    length = 0
+    while open_:
+        length += DIGITS
+        starts = sorted({prefix for prefix, _ in open_.values()})
+        some = keys if starts == [""] else keys.filter(F.substring("key", 1, length - DIGITS).isin(starts))
+        counts = some.groupBy(F.substring("key", 1, length).alias("p")).count().collect()
+        few, after = {}, {}
+        for at, (prefix, place) in open_.items():
+            for r in sorted((r for r in counts if r["p"].startswith(prefix)), key=lambda r: r["p"]):
+                if place < r["count"]:
+                    (few if r["count"] <= cut_keys or length >= 32 else after)[at] = (r["p"], place)
+                    break
+                place -= r["count"]
+        if few:
+            wanted = sorted({prefix for prefix, _ in few.values()})
+            rows = keys.filter(F.substring("key", 1, length).isin(wanted)).distinct().collect() if length >= 32 else (
+                keys.filter(F.substring("key", 1, length).isin(wanted)).collect()
+            )
+            for at, (prefix, place) in few.items():
+                mine = sorted(((r["key"], r["id"]) for r in rows if r["key"].startswith(prefix)))
+                found[at] = mine[min(place, len(mine) - 1)]
+        open_ = after
+    return found
+
+
 def fnc_score(actual: Column, predicted: Column) -> Column:
     """0.25 when equal, 0.50 more when that label is related, 0.25 when both are related."""
     score = (

@@ -132,6 +132,17 @@ _SPELL = f"""
 
 PARTS["mended"] = _SPELL
 
+
+def _coverage(k: int) -> str:
+    return (
+        "SELECT qid, doc_id, row_number() OVER (PARTITION BY qid ORDER BY cover DESC, rank)-1 AS rank, "
+        "CAST(rank AS BIGINT) AS prior_rank, " + rnd("cover") + " AS score FROM ("
+        "SELECT run.qid, run.doc_id, rank, CASE WHEN len(qw) > 0 THEN len(list_intersect(qw, w))/len(qw) ELSE 0 END AS cover "
+        f"FROM run JOIN tok USING (doc_id) JOIN (SELECT qid, list_distinct({tokens('query')}) AS qw FROM topics) USING (qid) "
+        f"WHERE rank < {k})"
+    )
+
+
 # One boosting step from scores of zero: pairs in the order of documents, Newton steps per leaf.
 _STEP = f"""
     SELECT qid, doc_id, {rnd('coalesce(0.1*sum(g) OVER leaves / nullif(sum(h) OVER leaves, 0), 0.0)')} AS score FROM (
@@ -277,11 +288,13 @@ _STATEMENTS: dict[str, str] = {
     + ", ".join(f"{rnd(f'{n}/1e9', 4)} AS {n}" for n in FEATURES)
     + ", CAST(coalesce(rating, 0) AS BIGINT) AS label FROM cand LEFT JOIN qrels USING (qid, doc_id)",
     "lambda_gradients": _LAMBDA,
-    "rerank_coverage": (
-        "SELECT qid, doc_id, row_number() OVER (PARTITION BY qid ORDER BY cover DESC, rank)-1 AS rank, "
-        "CAST(rank AS BIGINT) AS prior_rank, " + rnd("cover") + " AS score FROM ("
-        "SELECT run.qid, run.doc_id, rank, CASE WHEN len(qw) > 0 THEN len(list_intersect(qw, w))/len(qw) ELSE 0 END AS cover "
-        f"FROM run JOIN tok USING (doc_id) JOIN (SELECT qid, list_distinct({tokens('query')}) AS qw FROM topics) USING (qid))"
+    "rerank_coverage": _coverage(1000),
+    "rerank_text_coverage": _coverage(100),
+    "rerank_arrow": (
+        "SELECT qid, doc_id, row_number() OVER (PARTITION BY qid ORDER BY made DESC, rank)-1 AS rank, "
+        "CAST(rank AS BIGINT) AS prior_rank, " + rnd("made") + " AS score FROM ("
+        "SELECT run.qid, run.doc_id, rank, ((31*length(coalesce(text, '')) + 17*length(coalesce(query, ''))) % 1009)/1009.0::DOUBLE AS made "
+        "FROM run JOIN documents ON run.doc_id = documents.doc_id JOIN topics USING (qid) WHERE rank < 100)"
     ),
     "rel_retrieved": (
         "SELECT qid, doc_id, CAST(rating AS BIGINT) AS rating FROM qrels WHERE rating >= 2 "

@@ -15,7 +15,8 @@ from pyspark.sql.window import Window
 
 from passagerank.operators import errors, evaluate, expand, index, ltr, search, spelling, stance
 from passagerank.operators.features import DEFAULT_FEATURES, attach_labels, features, filter_qrels, head_topics
-from passagerank.operators.rerank import coverage, rerank
+from passagerank.operators.rerank import coverage, rerank, term_coverage
+from passagerank.operators.scoring import BatchScorer
 from passagerank.operators.trees import leaf_last
 from passagerank.operators.workspace import cut
 from passagerank.plans.batch import bm25_batch
@@ -530,11 +531,31 @@ def random_forest_checked(t: Testbed) -> DataFrame:
 
 @query
 def rerank_coverage(t: Testbed) -> DataFrame:
-    hits = search.candidates_with_text(t.run, t.index.docs, t.topics, DEPTH)
+    hits = search.candidates_with_terms(t.run, t.index, t.topics, DEPTH)
+    ranked = rerank(hits, term_coverage(), depth=DEPTH)
+    return big(rounded(ranked.select("qid", "doc_id", "rank", "prior_rank", "score")))
+
+
+@query
+def rerank_text_coverage(t: Testbed) -> DataFrame:
+    """The usual hundred candidates with their texts, analyzed as they are scored."""
+    hits = search.candidates_with_text(t.run, t.index.docs, t.topics, 100)
     ranked = rerank(hits, coverage(stemmer=None), depth=DEPTH)
     return big(rounded(ranked.select("qid", "doc_id", "rank", "prior_rank", "score")))
 
 
+@query
+def rerank_arrow(t: Testbed) -> DataFrame:
+    """The hundred candidates of every topic, scored in Arrow batches by a model that is loaded once per worker."""
+    def by_lengths():
+        # stands for a model: scores that plain SQL can follow
+        return lambda queries, texts: [(31 * len(t) + 17 * len(q)) % 1009 / 1009 for q, t in zip(queries, texts, strict=True)]
+
+    hits = search.candidates_with_text(t.run, t.index.docs, t.topics, 100)
+    scorer = BatchScorer(by_lengths, f"{t.root}/scored-by-length", slices=4)
+    return big(rounded(rerank(hits, scorer, depth=DEPTH).select("qid", "doc_id", "rank", "prior_rank", "score")))
+
+
 # ----------------------------------------------------------------- evaluation
 
 

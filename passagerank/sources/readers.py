@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from passagerank import schemas
 from passagerank.functions.text import strip_punctuation
 from passagerank.operators.stance import stance_to_label
+from passagerank.sources.quoted import read_quoted
 
 # Stored metadata lengths of the passage index.
 META_LENGTHS = (20, 4096)
@@ -91,20 +92,6 @@ def read_corpus_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("id").alias("doc_id"), F.col("contents").alias("text"))
 
 
-def _csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .csv(path)
-        .select("*", _place())
-    )
-
-
 def _first_skipped(df: DataFrame, skip: bool) -> DataFrame:
     """Compatibility with a loader that takes the first record for a second header line."""
     if not skip:
@@ -129,8 +116,8 @@ def read_stances(
         raise ValueError("labelled splits are 'train' and 'competition'")
     body_file, stance_file = STANCE_FILES[split]
     root = folder.rstrip("/")
-    bodies = _first_skipped(_csv(spark, f"{root}/{body_file}", schemas.BODIES), compat_skip_first)
-    stances = _first_skipped(_csv(spark, f"{root}/{stance_file}", schemas.STANCES), compat_skip_first)
+    bodies = _first_skipped(read_quoted(spark, f"{root}/{body_file}", schemas.BODIES), compat_skip_first)
+    stances = _first_skipped(read_quoted(spark, f"{root}/{stance_file}", schemas.STANCES), compat_skip_first)
     stances = stances.withColumn("label", stance_to_label(F.col("stance")))
     return _non_empty(bodies, "bodies"), _non_empty(stances, "stances")
 
@@ -140,6 +127,6 @@ def read_stances_unlabelled(
 ) -> tuple[DataFrame, DataFrame]:
     """Headline and body pairs without a label."""
     root = folder.rstrip("/")
-    bodies = _csv(spark, f"{root}/{files[0]}", schemas.BODIES)
-    stances = _csv(spark, f"{root}/{files[1]}", schemas.STANCES_UNLABELLED)
+    bodies = read_quoted(spark, f"{root}/{files[0]}", schemas.BODIES)
+    stances = read_quoted(spark, f"{root}/{files[1]}", schemas.STANCES_UNLABELLED)
     return _non_empty(bodies, "bodies"), _non_empty(stances, "stances")

@@ -176,3 +176,37 @@ def test_empty_and_unknown_stances(spark, tmp_path):
     put(tmp_path, "train_stances.csv", "Headline,Body ID,Stance\nA,1,maybe\n")
     with pytest.raises(Exception, match="Stance does not exist: maybe"):
         readers.read_stances(spark, str(tmp_path))[1].collect()
+
+
+def test_quoted_records_at_any_split_size(spark, tmp_path):
+    import csv
+    import random
+
+    draw = random.Random(5)
+    bits = ['"', "\n", "\r\n", ",", "word", "é", " ", "x" * 30, "\n\n"]
+    rows = [(i, "".join(draw.choice(bits) for _ in range(draw.randint(0, 12)))) for i in range(300)]
+    rows[7] = (7, "long\n" * 500)  # fills several splits
+    for name in ("a", "b"):
+        with open(tmp_path / f"{name}.csv", "w", newline="", encoding="utf-8") as out:
+            writer = csv.writer(out, lineterminator="\r\n" if name == "a" else "\n")
+            writer.writerow(("Body ID", "articleBody"))
+            writer.writerows(rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "64", "500"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            for name in ("a", "b"):
+                found = readers.read_quoted(spark, str(tmp_path / f"{name}.csv"), readers.schemas.BODIES)
+                got = {r["body_id"]: r["article_body"] or "" for r in found.collect()}
+                assert got == dict(rows), (size, name)
+                assert [r["body_id"] for r in found.orderBy("seq").collect()] == [i for i, _ in rows]
+                if size == "500":
+                    assert found.select("seq.block").distinct().count() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_malformed_quoted_records_fail(spark, tmp_path):
+    put(tmp_path, "bad.csv", "Body ID,articleBody\nnot a number,x\n")
+    with pytest.raises(Exception):
+        readers.read_quoted(spark, str(tmp_path / "bad.csv"), readers.schemas.BODIES).collect()

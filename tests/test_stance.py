@@ -45,7 +45,7 @@ def test_folds(rows):
     whole = {r.row_id: r.fold for r in st.kfold(rows, 10, 1).collect()}
     sizes = [list(whole.values()).count(i) for i in range(10)]
     assert sizes == [ceil((i + 1) / 10 * 23) - ceil(i / 10 * 23) for i in range(10)] and sum(sizes) == 23
-    assert {r.row_id: r.fold for r in st.kfold(rows, 10, 1, group_rows=4).collect()} == whole
+    assert {r.row_id: r.fold for r in st.kfold(rows, 10, 1, cut_keys=1).collect()} == whole
     assert {r.row_id: r.fold for r in st.kfold(rows, 10, 2).collect()} != whole
     kept = {r.row_id: r.fold for r in st.kfold(rows, 10, 1, compat=True).collect()}
     assert kept == {k: v for k, v in whole.items() if v < 9}
@@ -77,3 +77,23 @@ def test_random_baseline(rows, spark):
     assert set(counts) == {1, 2, 3, 4} and min(counts.values()) > 850
     again = st.random_baseline(many, 1).exceptAll(st.random_baseline(many, 1))
     assert again.count() == 0
+
+
+def test_folds_do_not_move_rows(spark, rows):
+    from math import ceil
+
+    plan = st.kfold(rows.select("row_id", "headline"), 10, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    few = spark.createDataFrame([(i,) for i in range(3)], "row_id INT")
+    assert sorted(r.fold for r in st.kfold(few, 10, 1).collect()) == sorted(i * 10 // 3 for i in range(3))
+    assert st.kfold(few.limit(0), 4).count() == 0
+    many = spark.range(5000).withColumnRenamed("id", "row_id")
+    sizes = {r["fold"]: r["count"] for r in st.kfold(many, 7, 3, cut_keys=3).groupBy("fold").count().collect()}
+    assert sizes == {i: ceil((i + 1) * 5000 / 7) - ceil(i * 5000 / 7) for i in range(7)}
+
+
+def test_order_statistics(spark):
+    rows = [(f"{(i * 7919) % 500:032x}", i % 3) for i in range(2000)]
+    found = st.order_statistics(spark.createDataFrame(rows, "key STRING, id INT"), [0, 17, 1000, 1999], 2)
+    wanted = sorted(rows)
+    assert {at: key[0] for at, key in found.items()} == {at: wanted[at][0] for at in (0, 17, 1000, 1999)}
