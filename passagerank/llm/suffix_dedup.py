@@ -28,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passagerank.llm.shared import stored, text_of
+from passagerank.llm.shared import setting, stored, text_of
 from passagerank.operators.sizing import lookup_join
 
 #: Bytes of a string that must not repeat.
 LENGTH = 400
 #: Starts of a segment; different contexts of a group that one task sorts, bytes of contexts sorted together; starts of a block.
-SEGMENT, GROUP_CONTEXTS, SORT_BYTES, BLOCK = 1 << 20, 2048, 2_000_000, 16
+SEGMENT, GROUP_CONTEXTS, SORT_BYTES, BLOCK = 1 << 20, 1024, 1_000_000, 16
+#: Contexts that are hashed at a time; bits of a filter per key, and at most.
+ROWS, BITS, MOST_BITS = 512, 16, 1 << 28
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -185,15 +187,45 @@ def copies(found: DataFrame) -> DataFrame:
 
 
 def occurrences(texts: DataFrame, length: int) -> DataFrame:
-    """One row per context of ``texts(text_hash, doc_id, text, contexts)``, with its bytes; ``reach`` is from its first start to its anchor."""
+    """One row per context of ``texts(text_hash, doc_id, text, contexts)``; ``reach`` is from its first start to its anchor."""
     place, start, size = (F.col(f"c.{n}") for n in ("places", "starts", "sizes"))
     rows = texts.select("text_hash", "doc_id", "text", F.explode("contexts").alias("c"))
-    rows = rows.select(
-        F.xxhash64(F.substring("text", place + 1, F.lit(gram_of(length)))).alias("anchor"), "text_hash", "doc_id",
-        start.alias("start"), size.alias("size"), (place - start).alias("reach"),
-        F.substring("text", start + 1, size + length - 1).alias("bytes"),
+    held = F.substring("text", start + 1, size + length - 1)
+    return rows.select(
+        F.xxhash64(F.substring("text", place + 1, F.lit(gram_of(length)))).alias("anchor"),
+        F.unhex(F.md5(F.concat(held, (place - start).cast("string").cast("binary")))).alias("context"),
+        "text_hash", "doc_id", start.alias("start"), size.alias("size"), (place - start).alias("reach"),
+    )
+
+
+def grouped(every: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """``anchor, context, first, size, reach, bytes`` of contexts whose anchor has different ones: one row per context."""
+    mark = F.xxhash64("context")
+    several = every.groupBy("anchor").agg(F.min(mark).alias("a"), F.max(mark).alias("b")).filter("a <> b").select("anchor")
+    rows = lookup_join(every, stored(several, "repeats-several"), ["anchor"], "left_semi")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "start")
+    firsts = rows.groupBy("anchor", "context").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("reach").alias("reach"))
+    # the text that has a context first gives its bytes
+    wanted = firsts.groupBy(F.col("first.text_hash").alias("text_hash")).agg(F.collect_list(F.struct("anchor", "context", "first", "size", "reach")).alias("of"))
+    given = texts.select("text_hash", "text").join(wanted, "text_hash").select("text", F.explode("of").alias("c"))
+    return given.select("c.*", F.substring("text", F.col("c.first.start") + 1, F.col("c.size") + length - 1).alias("bytes"))
+
+
+def may_have(rows: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
+    """``rows`` without most of those whose ``key`` (a 64-bit hash) is none of ``keys(key)``: a bitmap of bounded size is broadcast."""
+    bits = 1 << 15
+    while bits < min(MOST_BITS, BITS * keys.count()):
+        bits *= 2
+    # Spark counts bits and buckets of bitmaps from 1 on
+    number = F.pmod("key", F.lit(bits)) + 1
+    maps = keys.groupBy(F.bitmap_bucket_number(number).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("__bits")
     )
-    return rows.withColumn("context", F.unhex(F.md5(F.concat("bytes", F.col("reach").cast("string").cast("binary")))))
+    placed = rows.withColumn("__at", F.pmod(key, F.lit(bits)) + 1)
+    placed = placed.withColumn("__bucket", F.bitmap_bucket_number("__at")).withColumn("__at", F.bitmap_bit_position("__at").cast("int"))
+    found = placed.join(F.broadcast(maps), "__bucket")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(F.col("__at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return found.filter(F.getbit(byte, F.col("__at") % 8) == 1).select(*rows.columns)
 
 
 # suffix order of a task's groups
@@ -205,14 +237,23 @@ def prefix_ranks(data: np.ndarray, length: int) -> np.ndarray:
     while width < min(8, length) and width * 2 <= length:
         ranks = (ranks[:-width] << np.uint64(8 * width)) | ranks[width:]
         width *= 2
-    ranks = np.unique(ranks, return_inverse=True)[1].astype(np.uint64)
+    ranks = _dense(ranks)
     while width < length:
         step = min(width, length - width)
-        ranks = np.unique((ranks[:-step] << np.uint64(32)) | ranks[step:], return_inverse=True)[1].astype(np.uint64)
+        ranks = _dense((ranks[:-step].astype(np.uint64) << np.uint64(32)) | ranks[step:])
         width += step
     return ranks
 
 
+def _dense(keys: np.ndarray) -> np.ndarray:
+    """The keys' places among the distinct ones."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    ranks = np.empty(len(keys), np.uint32)
+    ranks[order] = np.cumsum(np.append(np.uint32(0), keys[1:] != keys[:-1])[: len(keys)], dtype=np.uint32)
+    return ranks
+
+
 def nearest_smaller(position: np.ndarray, common: np.ndarray) -> np.ndarray:
     """Per place in suffix order the common prefix with the nearest place before it that has a smaller position, 0 if none has.
 
@@ -315,7 +356,7 @@ def blocks(contexts: DataFrame, length: int) -> DataFrame:
     """Blocks of neighbouring starts by their distance to the anchor: a hash of what all their strings share, and one of all bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             at, out = [], [[] for _ in range(4)]
             for i, (reach, size, held) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("reach", "size", "bytes")), strict=True)):
                 for block in range((reach - size + 1) // BLOCK, reach // BLOCK + 1):
@@ -339,7 +380,7 @@ def strings(rows: DataFrame, length: int) -> DataFrame:
     """``context, first, string, low``: a hash of every string of the blocks in ``of``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             at, names, lows = [], [], []
             for i, (held, of) in enumerate(zip(batch.column("bytes").to_pylist(), batch.column("of").to_pylist(), strict=True)):
                 for low in (low for b in of for low in range(b["low"], b["low"] + b["n"])):
@@ -382,39 +423,45 @@ def _both(after: str) -> Column:
 def marks(contexts: DataFrame, length: int, most: int | None = None) -> DataFrame:
     """``context, low, n, later``: runs of strings that other contexts of ``contexts`` have, and that earlier ones have."""
     most = GROUP_CONTEXTS if most is None else most
+    spark = contexts.sparkSession
     sizes = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("__n"))
     large = stored(sizes.filter(F.col("__n") > most).select("anchor"), "repeats-large")
     some = not large.isEmpty()
     small = lookup_join(contexts, large, ["anchor"], "left_anti") if some else contexts
     groups = small.groupBy("anchor").agg(F.array_sort(F.collect_list(F.struct("first", "context", "bytes"))).alias("held"))
-    found = sorted_groups(groups.filter(F.size("held") > 1).select("held"), length)
+    # a group may hold about a megabyte: few of them travel together
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "64"):
+        found = stored(sorted_groups(groups.filter(F.size("held") > 1).select("held"), length), "repeats-sorted")
     return found.union(hashed_groups(lookup_join(contexts, large, ["anchor"], "left_semi"), length)) if some else found
 
 
 # texts
 
 
-def repeated_texts(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Texts that may lose bytes, ``text_hash, text, runs`` with the runs of starts of repeated strings
+def repeated_texts(
+    docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Texts that may lose bytes (``text_hash, text``), ``text_hash, runs`` with the runs of starts of repeated strings
     (``start, n, later``), and ``text_hash, doc_id, copies`` of all texts of ``length`` bytes or more."""
     found = stored(anchored(docs, length, doc_id, text), "repeats-anchors")
     could = stored(candidates(found), "repeats-candidates")
-    rows = docs.select(text_hash(text).alias("text_hash"), F.col(doc_id).alias("__doc"), text_of(text).cast("binary").alias("text"))
-    texts = lookup_join(rows, could, ["text_hash"]).filter(F.col("__doc").eqNullSafe(F.col("doc_id")))
-    texts = stored(texts.select("text_hash", "doc_id", "text", "contexts").dropDuplicates(["text_hash"]), "repeats-texts")
+    same = stored(copies(found), "repeats-copies")
+    rows = docs.select(text_hash(text).alias("text_hash"), F.col(doc_id).alias("doc_id"), text_of(text).cast("binary").alias("text"))
+    one = F.xxhash64("text_hash", "doc_id")
+    some = may_have(rows, could.select(one.alias("key")), one).alias("a").join(
+        could.alias("b"), (F.col("a.text_hash") == F.col("b.text_hash")) & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
+    )
+    texts = stored(some.select("a.text_hash", "a.doc_id", "text", "contexts"), "repeats-texts")
+    if texts.count() > could.count():  # rows of one id and text
+        texts = stored(texts.dropDuplicates(["text_hash"]), "repeats-texts")
     every = stored(occurrences(texts, length), "repeats-occurrences")
+    marked = stored(marks(stored(grouped(every, texts, length), "repeats-contexts"), length), "repeats-marks")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "start")
-    contexts = every.groupBy("anchor", "context").agg(
-        F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), F.max("bytes").alias("bytes"),
-        F.first("size").alias("size"), F.first("reach").alias("reach"),
-    )
-    contexts = stored(contexts, "repeats-contexts")
-    marked = stored(marks(contexts, length), "repeats-marks")
-    several = contexts.filter("times > 1").select(
+    several = every.groupBy("context").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").select(
         "context", F.col("first.text_hash").alias("of"), F.col("first.start").alias("at")
     )
     places = every.select("context", "text_hash", "start", "size")
-    alike = lookup_join(places, several, ["context"])
+    alike = lookup_join(places, stored(several, "repeats-alike"), ["context"])
     more = (F.col("text_hash") != F.col("of")) | (F.col("start") != F.col("at"))
     alike = alike.withColumn("after", more).select("text_hash", "start", F.col("size").alias("n"), _both("after"))
     by_mark = marked.groupBy("context").agg(F.collect_list(F.struct("low", "n", "later")).alias("marks"))
@@ -423,7 +470,7 @@ def repeated_texts(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
         "text_hash", (F.col("start") + F.col("m.low")).alias("start"), "m.n", "m.later"
     )
     runs = alike.union(shared).groupBy("text_hash").agg(F.collect_list(F.struct("start", "n", "later")).alias("runs"))
-    return texts.select("text_hash", "text").join(runs, "text_hash"), stored(copies(found), "repeats-copies")
+    return texts.select("text_hash", "text"), runs, same
 
 
 def _spans(runs: pa.StructArray, length: int, keep_first: bool) -> tuple[list[int], list[int]]:
@@ -440,7 +487,7 @@ def _spans(runs: pa.StructArray, length: int, keep_first: bool) -> tuple[list[in
 SPANS = "array<struct<start:int,end:int>>"
 
 
-def merged(texts: DataFrame, length: int, keep_first: bool) -> DataFrame:
+def merged(runs: DataFrame, length: int, keep_first: bool) -> DataFrame:
     """``text_hash, spans`` of texts that lose bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -450,7 +497,7 @@ def merged(texts: DataFrame, length: int, keep_first: bool) -> DataFrame:
             spans = [[{"start": a, "end": b} for a, b in zip(*f, strict=True)] for f in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], ["text_hash", "spans"])
 
-    return texts.select("text_hash", "runs").mapInArrow(run, f"text_hash binary, spans {SPANS}").filter(F.size("spans") > 0)
+    return runs.mapInArrow(run, f"text_hash binary, spans {SPANS}").filter(F.size("spans") > 0)
 
 
 def kept(text: str, spans: str) -> Column:
@@ -469,8 +516,8 @@ def removed(
     A byte goes if a string of ``length`` bytes that covers it starts anywhere else; with ``keep_first`` only if it
     starts earlier, so that the first of all copies stays.
     """
-    texts, same = repeated_texts(docs, length, doc_id, text)
-    spans = stored(merged(texts, length, keep_first), "repeats-spans")
+    texts, runs, same = repeated_texts(docs, length, doc_id, text)
+    spans = stored(merged(runs, length, keep_first), "repeats-spans")
     gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     lost = lookup_join(texts.select("text_hash", "text"), spans, ["text_hash"]).select(
         "text_hash", "spans", gone.alias("n_removed"), F.sha2(kept("text", "spans"), 256).alias("kept_sha256")
@@ -480,7 +527,7 @@ def removed(
         F.col(doc_id).alias("doc_id"), text_hash(text).alias("text_hash"), F.octet_length(text_of(text)).cast("bigint").alias("n_bytes"),
         F.sha2(text_of(text).cast("binary"), 256).alias("whole_sha256"),
     )
-    several = stored(same.filter("copies > 1").select("text_hash", F.col("doc_id").alias("least"), F.lit(True).alias("copied")), "repeats-several")
+    several = stored(same.filter("copies > 1").select("text_hash", F.col("doc_id").alias("least"), F.lit(True).alias("copied")), "repeats-copied")
     rows = lookup_join(lookup_join(rows, lost, ["text_hash"], "left"), several, ["text_hash"], "left")
     goes = F.coalesce("copied", F.lit(False))
     if keep_first:
