@@ -3,6 +3,8 @@ import random
 import zlib
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from passagerank.llm import shards
 from passagerank.llm.queries import QUERIES
@@ -29,6 +31,44 @@ def test_capacity_and_cuts_against_all_cuts():
         assert max(sizes[a:b].sum() for a, b in itertools.pairwise(starts)) == best
 
 
+def test_few_ranges_need_to_be_divided():
+    draw = random.Random(5)
+    for _ in range(200):
+        sizes = np.array([draw.choice((1, 2, 3, 9, 40, 200)) for _ in range(draw.randint(1, 60))])
+        n, width = draw.randint(1, 6), draw.randint(2, 9)
+        ranges = [list(range(a, min(a + width, len(sizes)))) for a in range(0, len(sizes), width)]
+        while True:
+            totals = np.array([sizes[r].sum() for r in ranges])
+            open_ = shards.undecided(totals, np.array([len(r) == 1 for r in ranges]), n).tolist()
+            if not open_:
+                break
+            ranges = [part for i, r in enumerate(ranges) for part in ([r[: len(r) // 2], r[len(r) // 2 :]] if i in open_ else [r])]
+        assert shards.smallest_capacity(totals, n) == shards.smallest_capacity(sizes, n)
+
+
+def loads_of(rows, n):
+    out = [0] * n
+    for r in rows:
+        out[r["shard"]] += r["size"]
+    return out
+
+
+@pytest.mark.parametrize(("bits", "n"), [(16, 24), (4, 24), (1, 7), (3, 2)])
+def test_query_has_the_smallest_capacity_of_all_groups(spark, sf_dir, documents, bits, n):
+    """Against the groups of all texts in the order of their hash, more of them than ranges."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    groups = docs.groupBy(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).agg(
+        F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 8).alias("b")
+    ).collect()
+    sizes = [r["b"] for r in sorted(groups, key=lambda r: r["h"] % 2**64)]
+    found = shards.assign_shards(docs, n, bucket_bits=bits).collect()
+    assert max(loads_of(found, n)) == shards.smallest_capacity(np.array(sizes), n)
+    check(found, lambda r: [documents[r["doc_id"]]], n)
+    if (bits, n) == (16, 24):
+        query = QUERIES["op4_sharding"](spark, sf_dir).collect()
+        assert {(r["doc_id"], r["shard"]) for r in query} == {(r["doc_id"], r["shard"]) for r in found}
+
+
 def test_no_groups_and_one_large_group():
     assert shards.cut_points(np.zeros(0, np.int64), 3) == [0, 0, 0, 0]
     sizes = np.array([1] * 50 + [40] + [1] * 50)
