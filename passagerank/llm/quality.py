@@ -6,9 +6,12 @@ all documents of the language that pass the base rules, taken again without thos
 far from the first sums.  A distance counts only above a minimum length, as short
 texts differ by chance.
 
+The word lists of ``COMMON`` give four languages a reference of words.  Every other language with documents enough has
+one of character classes, from its own documents; a tag with few documents is treated like none.
+
 Edge cases: null and empty texts have no words and fail the base rules; a document without a
-language is compared with all references and keeps the least distance; a language without
-a reference rejects none; repeated rows are judged each; an empty table gives
+language, or with a rare one, is compared with the references of the listed languages and keeps the least distance; without any
+reference none is rejected; extra columns stay or are not read, whatever their names; repeated rows are judged each; an empty table gives
 no rows; texts are read whole.
 """
 
@@ -40,6 +43,8 @@ COMMON = {
     "fr": "le la les de des du et en un une que qui dans pour est sur pas avec au elle aux".split(),
 }
 CLASSES = 9
+#: Documents that make a reference of a language that is not listed, and such languages at most (those with most documents).
+LEAST_DOCS, MOST_LANGUAGES = 100, 1_000
 
 
 @dataclass(frozen=True)
@@ -185,16 +190,20 @@ def base_failed(found: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def distances(found: dict[str, np.ndarray], langs: list, references: dict) -> list[np.ndarray]:
-    """Both distances of documents from their languages' references."""
+    """Both distances of documents from their languages' references; a reference may lack words."""
     names, out = np.array(langs, object), []
+    own = np.array([name in references for name in langs], bool)
     for at, kind in enumerate(("classes", "words")):
-        counts = found[kind].astype(float)
-        every = {k: distance(counts, v[at]) for k, v in references.items()}
-        least = np.zeros(len(counts))
-        if every:
-            least = np.where(names == None, np.min(list(every.values()), axis=0), 0.0)  # noqa: E711
-        for k, values in every.items():
-            least = np.where(names == k, values, least)
+        counts, least = found[kind].astype(float), np.zeros(len(langs))
+        # documents of no known language are held against those that have both references
+        some = np.flatnonzero(~own)
+        listed = [v[at] for v in references.values() if v[1] is not None]
+        if len(some) and listed:
+            least[some] = np.min([distance(counts[some], v) for v in listed], axis=0)
+        for k in {n for n, known in zip(langs, own.tolist(), strict=True) if known}:
+            here = np.flatnonzero(names == k)
+            if references[k][at] is not None:
+                least[here] = distance(counts[here], references[k][at])
         out.append(least)
     return out
 
@@ -226,14 +235,18 @@ def _judged(rows: DataFrame, references: dict, limits: Limits) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *more.fields]))
 
 
-def _sums(rows: DataFrame, n_words: int, known: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Both histograms summed per known language: a few rows, whatever the corpus."""
+def _sums(rows: DataFrame, n_words: int, known: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray | None]]:
+    """Both histograms summed per listed language, character classes for others with documents enough: a bounded number of rows."""
     entries = [F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(CLASSES)]
     entries += [F.sum(F.get("words", F.lit(i))).alias(f"w{i}") for i in range(n_words)]
-    found = rows.filter(F.col("lang").isin(known)).groupBy("lang").agg(*entries).collect()
+    listed = F.col("lang").isin(known)
+    summed = rows.filter("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *entries)
+    others = summed.filter(~listed & (F.col("docs") >= LEAST_DOCS)).orderBy(F.col("docs").desc(), "lang").limit(MOST_LANGUAGES)
+    found = [*summed.filter(listed).collect(), *others.collect()]
     return {
         r["lang"]: (
-            np.array([r[f"c{i}"] for i in range(CLASSES)], float), np.array([r[f"w{i}"] for i in range(n_words)], float)
+            np.array([r[f"c{i}"] for i in range(CLASSES)], float),
+            np.array([r[f"w{i}"] for i in range(n_words)], float) if r["lang"] in known else None,
         )
         for r in found
     }

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -93,3 +94,17 @@ def test_odd_tables(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"]) == sorted(r["doc_id"] for r in rows if r["kept"] and r["doc_id"])
     assert quality.judge(no_docs).count() == quality.keep_good(no_docs).count() == 0
+
+
+def test_languages_without_a_list_and_rare_tags(spark):
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choice("αβγδεζηθικλμνξοπρστυφχψω") for _ in range(draw.randint(2, 9)))
+    known = "the sum of it is in the end what they had from a day of work and that was for the best on with as are this be or an at by".split()
+    english = lambda: " ".join(draw.choice(known) for _ in range(120))
+    rows = [(i, english(), "en") for i in range(150)]
+    rows += [(1000 + i, " ".join(word() for _ in range(120)), "el") for i in range(150)]
+    junk = " ".join("{}[]=+/^~`_"[draw.randrange(11)] * 3 + str(draw.randrange(10**6)) for _ in range(150))
+    rows += [(5000, junk, "el"), (5001, junk, "zz"), (5002, junk, None), (5003, english(), "zz"), (5004, english(), None), (5005, junk, "en")]
+    found = quality.judge(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")).collect()
+    assert not any(r["base_failed"] for r in found)
+    assert {r["doc_id"] for r in found if not r["kept"]} == {5000, 5001, 5002, 5005}
