@@ -9,7 +9,7 @@ from passagerank.functions.weighting import fixed
 from passagerank.operators.index import Index, index_terms, select_docs
 from passagerank.operators.ranking import top_k
 from passagerank.operators.search import search
-from passagerank.operators.sizing import measure, skew_join
+from passagerank.operators.sizing import lookup_join, measure, skew_join
 from passagerank.operators.workspace import cut
 
 
@@ -18,10 +18,11 @@ def feedback_terms(run: DataFrame, index: Index) -> DataFrame:
 
     Documents are bucketed by id: the run moves to them, never the vectors.
     """
-    hits = run.select("qid", "doc_id")
+    hits = cut(run.select("qid", "doc_id"))
     vectors = index.docs.select("doc_id", F.col("terms.term").alias("vector"))
-    if measure(hits).small:
-        joined = select_docs(vectors, hits).join(F.broadcast(hits), "doc_id")
+    size = measure(hits)
+    if size.small:
+        joined = select_docs(vectors, hits, size.rows).join(F.broadcast(hits), "doc_id")
     else:
         joined = skew_join(hits, vectors, ["doc_id"])
     flat = joined.select("qid", F.explode("vector").alias("term"))
@@ -76,6 +77,56 @@ def expansion_terms(weights: DataFrame, n: int = 10) -> DataFrame:
     return top_k(weights, ["qid"], order, n)
 
 
+#: Terms, the most frequent ones, that are counted in any case.
+FREQUENT_TERMS = 4_096
+
+
+def best_feedback_terms(
+    run: DataFrame, topics: DataFrame, index: Index, n: int = 10, feedback_k: int = 1000, frequent: int | None = None
+) -> DataFrame:
+    """What ``expansion_terms`` finds among all feedback terms, without counting all of them.
+
+    A term of a few documents occurs in a few retrieved ones at most, which bounds its weight.  The most frequent terms are
+    counted first; of the others, only those whose bound reaches the ``n``-th weight that a query has already.
+    """
+    frequent = FREQUENT_TERMS if frequent is None else frequent
+    hits = cut(run.select("qid", "doc_id"))
+    stats = index.term_stats.select("term", "df")
+    least = stats.orderBy(F.col("df").desc()).limit(frequent).agg(F.min("df")).first()[0]
+    if least is None:
+        return expansion_terms(offer_weights(feedback_terms(hits, index), index, feedback_k), n)
+    common = stats.filter(F.col("df") >= least).select("term", F.lit(0.0).alias("bound"))
+    everywhere = hits.withColumn("reached", F.lit(0.0))
+    first = cut(offer_weights(drop_query_terms(_counted(everywhere, index, common), topics, index), index, feedback_k))
+    best = expansion_terms(first, n)
+    # no bound holds for a query that has fewer terms yet
+    reached = best.filter(F.col("rank") == n - 1).select("qid", F.col("weight").alias("reached"))
+    reached = hits.select("qid").distinct().join(reached, "qid", "left").fillna(float("-inf"), ["reached"])
+    lowest = reached.agg(F.min("reached")).first()[0]
+    r = F.least(F.col("df").cast("double"), F.lit(float(feedback_k)))
+    most = offer_weight(r, F.lit(float(feedback_k)), F.col("df").cast("double"), F.lit(float(index.collection.n_docs)))
+    # weights are compared to nine decimals
+    rest = stats.filter(F.col("df") < least).select("term", (F.greatest(most, F.lit(0.0)) + 1e-8).alias("bound"))
+    rest = cut(rest.filter(F.col("bound") >= F.lit(lowest)))
+    if rest.isEmpty():
+        return best
+    more = _counted(lookup_join(hits, reached, ["qid"]), index, rest)
+    second = offer_weights(drop_query_terms(more, topics, index), index, feedback_k)
+    return expansion_terms(first.union(second.select(*first.columns)), n)
+
+
+def _counted(hits: DataFrame, index: Index, terms: DataFrame) -> DataFrame:
+    """As ``feedback_terms``, for ``terms(term, bound)`` and the hits whose ``reached`` the bound reaches.
+
+    Terms are chosen while a document stands once, before its rankings multiply it.
+    """
+    flat = index.docs.select("doc_id", F.explode("terms.term").alias("term"))
+    flat = lookup_join(flat, terms, ["term"])
+    joined = flat.join(F.broadcast(hits), "doc_id") if measure(hits).small else skew_join(flat, hits, ["doc_id"])
+    kept = joined.filter(F.col("bound") >= F.col("reached"))
+    return kept.groupBy("qid", "term").agg(F.count(F.lit(1)).alias("r"))
+
+
 def expand_queries(
     topics: DataFrame,
     index: Index,
@@ -88,8 +139,7 @@ def expand_queries(
     As in the original procedure R is the feedback depth, even where fewer documents were found.
     """
     run = cut(search(topics, index, k=feedback_k, **search_options))
-    fresh = drop_query_terms(feedback_terms(run, index), topics, index)
-    best = expansion_terms(offer_weights(fresh, index, feedback_k), n)
+    best = best_feedback_terms(run, topics, index, n, feedback_k)
     tails = best.groupBy("qid").agg(
         F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("ts")
     ).select("qid", F.transform("ts", lambda t: t["term"]).alias("extra"))

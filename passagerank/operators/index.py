@@ -204,12 +204,16 @@ def collection_stats(doc_stats: DataFrame) -> DataFrame:
     ).withColumn("avgdl", F.col("total_terms") / F.col("n_docs"))
 
 
-def select_docs(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def select_docs(docs: DataFrame, ids: DataFrame, rows: int | None = None) -> DataFrame:
     """``docs`` cut to the ids of ``ids`` where these are few enough to be literals of the scan.
 
+    ``rows`` is the number of ids, repeats included, where it is known: of very many the distinct ones are not asked for.
+
     Literal ids prune bucket files, and in a file sorted by id also pages.  With
     many ids the scan stays whole; the join that follows does the selection.
     """
+    if rows is not None and rows > 50 * LITERAL_IDS:
+        return docs
     kind = docs.schema["doc_id"].dataType
     wanted = ids.select(F.col("doc_id").cast(kind).alias("doc_id"))
     few = wanted.distinct().limit(LITERAL_IDS + 1).collect()
@@ -245,9 +249,10 @@ def top_terms(docs: DataFrame, n: int = 10, out: str = "top_terms") -> DataFrame
 
 def fetch_docs(run: DataFrame, corpus: DataFrame) -> DataFrame:
     """Stored text of every hit.  A small run moves to the documents; a document in very many rankings is salted."""
-    texts = corpus.select("doc_id", "text")
-    if measure(run).small:
-        joined = select_docs(texts, run).join(F.broadcast(run), "doc_id")
+    texts, run = corpus.select("doc_id", "text"), cut(run)  # measured, listed and joined: worked out once
+    size = measure(run)
+    if size.small:
+        joined = select_docs(texts, run, size.rows).join(F.broadcast(run), "doc_id")
     else:
         joined = skew_join(run, texts, ["doc_id"])
     return joined.select(*run.columns, "text")
@@ -334,13 +339,16 @@ def _default_shards(corpus: DataFrame) -> int:
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
-    """Open a stored index; fails when the build never committed."""
+    """Open a stored index; fails when the build never committed.
+
+    Raises ``spark.sql.parquet.pushdown.inFilterThreshold`` of the session, and leaves it so: searches are planned later, and
+    literal terms become exact page predicates only up to that many.
+    """
     coll = spark.read.parquet(f"{path}/coll")
     row = coll.first()
     root = f"{path}/{row['data']}"
     tables = _attach(spark, _tables(root, row["id_type"], row["keep_text"], row["shards"]))
     terms = spark.read.schema("term STRING, df BIGINT, cf BIGINT, term_slot INT").parquet(f"{root}/terms")
-    # literal terms become exact page predicates only up to this many
     threshold = "spark.sql.parquet.pushdown.inFilterThreshold"
     if int(spark.conf.get(threshold)) < LITERAL_TERMS:
         spark.conf.set(threshold, str(LITERAL_TERMS))

@@ -12,6 +12,7 @@ from passagerank.functions.text import with_term_groups
 from passagerank.operators.index import LITERAL_TERMS, Index, fetch_docs, index_terms, term_slot
 from passagerank.operators.ranking import top_k
 from passagerank.operators.sizing import measure, skew_join
+from passagerank.operators.workspace import cut
 
 
 def query_terms(topics: DataFrame, index: Index) -> DataFrame:
@@ -127,7 +128,7 @@ def candidates_with_text(run: DataFrame, corpus: DataFrame, topics: DataFrame, k
 def candidates_with_terms(run: DataFrame, index: Index, topics: DataFrame, k: int = 100) -> DataFrame:
     """As ``candidates_with_text``, with the distinct terms of a passage, as the index keeps them, in place of its text."""
     vectors = index.docs.select("doc_id", F.col("terms.term").alias("terms"))
-    hits = rank_cutoff(run, k)
+    hits = cut(rank_cutoff(run, k))
     joined = vectors.join(F.broadcast(hits), "doc_id") if measure(hits).small else skew_join(hits, vectors, ["doc_id"])
     asked = topics.select("qid", "query")
     found = joined.join(F.broadcast(asked), "qid") if measure(topics).small else skew_join(joined, asked, ["qid"])

@@ -269,6 +269,7 @@ _STATEMENTS: dict[str, str] = {
     "feedback_terms": "SELECT qid, term, r FROM feedback",
     "offer_weights": f"SELECT qid, term, r, n, {rnd('weight')} AS weight FROM weights",
     "expansion_terms": f"SELECT qid, term, r, n, {rnd('weight')} AS weight, CAST(rank AS BIGINT) AS rank FROM best",
+    "expansion_terms_of_all": f"SELECT qid, term, r, n, {rnd('weight')} AS weight, CAST(rank AS BIGINT) AS rank FROM best",
     "expand_queries": "SELECT qid, query FROM expanded",
     "bm25_expanded": _scored("exprun"),
     "head_topics": "SELECT qid, query FROM topics ORDER BY qid LIMIT 15",

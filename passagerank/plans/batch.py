@@ -13,7 +13,7 @@ from passagerank.operators.rerank import Scorer, rerank
 from passagerank.operators.search import candidates_with_text, search_with_scores
 from passagerank.operators.spelling import spell_correct
 from passagerank.operators.workspace import cut
-from passagerank.sources.writers import write_run_ltr, write_run_plain, write_run_reranked, write_run_trec
+from passagerank.sources.writers import RERANKED_RUN, write_run_ltr, write_run_plain, write_run_reranked, write_run_trec
 
 
 def bm25_batch(
@@ -98,7 +98,7 @@ def rerank_batch(
     index: Index,
     scorer: Scorer,
     out: str | None = None,
-    name: str = "MonoT5",
+    name: str = RERANKED_RUN,
     k: int = 100,
     **options,
 ) -> DataFrame:

@@ -349,6 +349,12 @@ def offer_weights(t: Testbed) -> DataFrame:
 
 @query
 def expansion_terms(t: Testbed) -> DataFrame:
+    return big(rounded(expand.best_feedback_terms(t.run, t.topics, t.index, 10, DEPTH)))
+
+
+@query
+def expansion_terms_of_all(t: Testbed) -> DataFrame:
+    """The same terms, chosen after every feedback term was counted."""
     fresh = expand.drop_query_terms(_feedback(t), t.topics, t.index)
     best = expand.expansion_terms(expand.offer_weights(fresh, t.index, DEPTH), 10)
     return big(rounded(best))

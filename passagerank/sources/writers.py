@@ -20,7 +20,11 @@ def _write(run: DataFrame, line: Column, path: str, order: list[str], mode: str)
     )
 
 
-def trec_line(name: str = "bm25", round_to: int | None = 2) -> Column:
+# The run names that the original writers use.
+BM25_RUN, RERANKED_RUN, LEARNED_RUN = "bm25", "MonoT5", "pyterrier"
+
+
+def trec_line(name: str = BM25_RUN, round_to: int | None = 2) -> Column:
     score = F.col("score") if round_to is None else F.round("score", round_to)
     return _line(" ", F.col("qid"), F.lit("Q0"), F.col("doc_id"), F.col("rank"), score, F.lit(name))
 
@@ -44,7 +48,7 @@ def form_of(path: str) -> str:
     raise ValueError(f"{path}: use a path with .csv or .tsv")
 
 
-def write_run_trec(run: DataFrame, path: str, name: str = "bm25", mode: str = "errorifexists") -> None:
+def write_run_trec(run: DataFrame, path: str, name: str = BM25_RUN, mode: str = "errorifexists") -> None:
     _write(run, trec_line(name), path, ["rank"], mode)
 
 
@@ -56,7 +60,7 @@ def write_run_plain(run: DataFrame, path: str, sep: str = " ", mode: str = "erro
 def write_run_reranked(
     run: DataFrame,
     path: str,
-    name: str = "MonoT5",
+    name: str = RERANKED_RUN,
     form: str | None = None,
     compat: bool = False,
     mode: str = "errorifexists",
@@ -64,7 +68,7 @@ def write_run_reranked(
     _write(run, reranked_line(form or form_of(path), name, compat), path, ["rank"], mode)
 
 
-def write_run_ltr(run: DataFrame, path: str, name: str = "pyterrier", mode: str = "errorifexists") -> None:
+def write_run_ltr(run: DataFrame, path: str, name: str = LEARNED_RUN, mode: str = "errorifexists") -> None:
     """Learned run: rows in candidate order (``prior_rank``), ``rank`` by the new score."""
     _write(run, trec_line(name, round_to=None), path, ["prior_rank"], mode)
 

@@ -110,3 +110,21 @@ def test_words_of_the_collection_stay(spark, tmp_path, stemmer):
     topics = spark.createDataFrame([(1, "the causes of running queries to an engine"), (2, "enginne")], "qid INT, query STRING")
     got = {r.qid: r.corrected for r in spell_correct(topics, index.words).collect()}
     assert got == {1: "the causes of running queries to an engine", 2: "engine"}
+
+
+@pytest.mark.parametrize("frequent", [1, 2, 5, 4096])
+@pytest.mark.parametrize("n", [1, 3, 50])
+def test_best_terms_without_counting_all(spark, index, topics, frequent, n):
+    from passagerank.operators.search import search
+
+    run = search(topics, index, k=4)
+    every = expand.offer_weights(expand.drop_query_terms(expand.feedback_terms(run, index), topics, index), index, 4)
+    wanted = expand.expansion_terms(every, n).select("qid", "term", "rank", "weight").collect()
+    found = expand.best_feedback_terms(run, topics, index, n, 4, frequent).select("qid", "term", "rank", "weight").collect()
+    assert sorted(found) == sorted(wanted)
+
+
+def test_no_run_has_no_best_terms(index, topics):
+    from passagerank.operators.search import search
+
+    assert expand.best_feedback_terms(search(topics.limit(0), index, k=4), topics, index, 3, 4).count() == 0

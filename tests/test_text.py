@@ -5,6 +5,7 @@ from passagerank.functions.porter import porter
 from passagerank.functions.text import STOPWORDS, strip_punctuation, tokens, with_term_groups
 from passagerank.operators.index import stem_vocabulary, tokenize_flat
 
+# fixed value: the sentence of the install check
 SENTENCE = "This is a test query in which things are tested. Found using www.google.com of course!"
 
 
