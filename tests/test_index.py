@@ -137,3 +137,21 @@ def test_query_words_are_looked_up_or_stemmed(spark, stemmed):
     rows = query_terms(topics, stemmed)
     assert sorted((r["term"], r["qtf"]) for r in rows.collect()) == [("car", 1), ("cat", 2), ("walk", 1)]
     assert "ArrowEvalPython" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_run_moves_to_the_documents(spark, index, monkeypatch):
+    """Documents are bucketed by id: beyond the broadcast limit only the hits are exchanged, never the texts."""
+    from passagerank.operators import sizing
+
+    run = spark.createDataFrame([(1, 1, 0), (1, 7, 1), (2, 2, 0), (3, 99, 0)], "qid INT, doc_id BIGINT, rank INT")
+    wanted = sorted(ix.fetch_docs(run, index.docs).collect())
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ix.fetch_docs(run, index.docs)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(found.collect()) == wanted and len(wanted) == 3
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
