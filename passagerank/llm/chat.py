@@ -10,7 +10,7 @@ however many stand there already; reading takes one away.  Other text stays as i
 
 Edge cases: null texts and roles count as empty; turns of one number are ordered by role and
 text, null turns first; repeated rows are turns of their own; a null conversation id is a
-conversation; an empty table gives no rows.  A conversation is one row of the result, so it
+conversation; an empty table gives no rows; extra columns are not read, whatever their names.  A conversation is one row of the result, so it
 must fit a row.
 """
 

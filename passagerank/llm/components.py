@@ -3,6 +3,9 @@
 Every round writes its edges to the shared folder, so no lineage grows and a lost executor costs
 one round at most.  Edges of a large component meet its smallest node by a join on a
 written table, which adaptive execution splits where one node has very many edges.
+
+Edge cases: loops and repeated edges count for nothing; edges with a null end belong to no component; an empty table gives no
+rows; columns other than ``u`` and ``v`` are not read.
 """
 
 from __future__ import annotations

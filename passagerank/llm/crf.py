@@ -1,4 +1,8 @@
-"""Linear-chain conditional random field in numpy: training on a small table, batched Viterbi decoding."""
+"""Linear-chain conditional random field in numpy: training on a small table, batched Viterbi decoding.
+
+Edge cases: features that training has not met weigh nothing; a batch may hold sequences of any lengths from 1 on, and an empty
+batch gives nothing; of paths with equal scores the one of the first labels is taken.
+"""
 
 from __future__ import annotations
 

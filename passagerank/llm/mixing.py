@@ -9,7 +9,8 @@ so the words taken miss the target by half of the last document at most.
 
 Edge cases: a null or empty text has size 0 and takes 0 words; sources order by code point,
 null last, as a source of its own; repeated rows (same id, source, text) are taken
-equally often; an empty table gives no rows; a table without words has targets of 0.
+equally often; an empty table gives no rows; a table without words has targets of 0; extra columns stay with their
+rows, whatever their names, but names that begin with two underscores are kept for the operator.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ sequences without a pair leave with the number of symbols they have left.
 
 Edge cases: null and empty texts have 0 tokens; the special strings of the vocabulary count as
 one token each, as its library counts them; texts are never cut, whatever their length; an
-empty table gives no rows; repeated rows are counted each.
+empty table gives no rows; repeated rows are counted each; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations

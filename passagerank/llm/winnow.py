@@ -7,7 +7,8 @@ tokens keeps its smallest hash, the rightmost one on ties, with its position.  A
 Edge cases: null and empty texts have an empty fingerprint, like to each other and to no other; a
 text of fewer than ``k`` tokens is one gram, of fewer than ``w`` grams one window; the next document
 of a row is the one with the next smaller id, null being the smallest, and of several rows with
-that id the smallest text; an only document is its own next; an empty table gives no rows.
+that id the smallest text; an only document is its own next; an empty table gives no rows; extra columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations

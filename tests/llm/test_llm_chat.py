@@ -60,3 +60,13 @@ def test_digest_of_the_added_conversation(spark, sf_dir):
     text = "</s>[INST] ok [/INST]"
     assert row["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest()
     assert row["turns_sha256"] == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    long = "a [INST] word é " * 100_000
+    given = spark.createDataFrame(
+        [(1, 0, "user", long, "x", "y", "z"), (1, 1, "assistant", long + "!", "x", "y", "z")],
+        "conv_id BIGINT, turn BIGINT, role STRING, text STRING, segments STRING, starts STRING, runs STRING",
+    )
+    row = chat.format_conversations(given).withColumn("read", chat.read_turns(chat.F.col("formatted"))).first()
+    assert [t["text"] for t in row["read"]] == [long, long + "!"] and "".join(s["text"] for s in row["segments"]) == row["formatted"]
