@@ -1,4 +1,9 @@
-"""Pipeline over ``documents``: every stage calls one operator and works on all rows the one before kept."""
+"""Pipeline over ``documents``: every stage calls one operator and works on all rows the one before kept.
+
+Edge cases: null and empty texts fail the quality rules; rows of one id and text are one document to the near-copy stage; an empty
+table goes through every stage; extra columns stay up to the last stage, which returns its own, but a name that begins with two
+underscores is kept for the operators.
+"""
 
 from __future__ import annotations
 
@@ -21,8 +26,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is masked by its kind; ``n_chars`` follows the text."""
+    """Personal data is masked by its kind; ``n_chars`` follows the text, where there is such a column."""
     found = pii.masked(docs, pii.train_field(pii.labelled_examples(spark)))
+    if "n_chars" not in docs.columns:
+        return found
     return found.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
