@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from types import ModuleType
+from typing import Any
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +25,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def per_worker(kind: str, name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, once in a worker process, which outlives its tasks; the last ``name`` of a ``kind`` is kept."""
+    held = sys.modules.setdefault("passagerank_worker", ModuleType("passagerank_worker")).__dict__
+    if kind not in held or held[kind][0] != name:
+        held[kind] = (name, make())
+    return held[kind][1]
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A session setting for the jobs inside; the one from before holds again afterwards."""

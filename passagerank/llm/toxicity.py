@@ -1,7 +1,7 @@
 """Toxicity of texts whose words may be disguised.
 
 A noisy channel turns letters into digits and signs, repeats them or spaces them out.
-Tokens that look disguised become lattices of the letters they may stand for; Viterbi decoding
+Every distinct token that it may have made becomes a lattice of the letters it may stand for; Viterbi decoding
 under a character trigram model, counted over all documents, restores the likeliest word.  Restored and
 plain words are scored by word and character-piece log-odds learned from labels.
 
@@ -11,7 +11,8 @@ all rows.
 
 Edge cases: null and empty texts are scored by their (zero) evidence; rows without a label are scored like
 others; without labels of both kinds every score is the share of label 1 (0 without labels);
-repeated rows are scored each; an empty table gives no rows; texts are read whole.
+repeated rows are scored each; an empty table gives no rows; texts are read whole; extra columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passagerank.llm.shared import stored, text_of
+from passagerank.llm.shared import per_worker, stored, text_of
 
 #: Labelled rows that are learned from, at most about so many.
 MAX_DOCS = 20_000
@@ -39,7 +41,7 @@ BEGINNINGS, PIECE = range(3, 9), 5
 AGAIN = b"+"
 #: Greatest weights that count on their own.
 TOP = 4
-#: Distinct tokens a task remembers.
+#: Distinct tokens a worker remembers.
 MEMO = 300_000
 #: Fixed values of the channel: what a sign may stand for, and signs that only separate.
 STANDS_FOR = {
@@ -49,10 +51,13 @@ STANDS_FOR = {
 SEPARATORS = " ._*~-'"
 AS_IT_IS, DISGUISED, REPEATED, SILENT = map(math.log, (0.9, 0.5, 0.05, 0.3))
 EDGES = b"".join(bytes([b]) for b in range(33, 127) if not chr(b).isalnum())
-SPACED = re.compile(rb"(?<!\S)[a-z0-9@$!|+](?: [a-z0-9@$!|+]){2,}(?!\S)")
-DOTTED = re.compile(rb"[a-z0-9@$!|+](?:[._*~-]+[a-z0-9@$!|+]){2,}")
-MIXED = re.compile(rb"[a-z][0-9@$!|+(]+[a-z]|^[0-9@$|+]+[a-z]{2}|[a-z]{2}[0-9@$]$")
-TRIPLE = re.compile(rb"([a-z])\1\1")
+#: Letters and their stand-ins one by one with white space between; a letter beside a stand-in; a separator inside a word; a
+#: doubled letter: what the channel may have made.  Signs that only close or open a word are not part of it.
+SPACED = re.compile(rb"(?<!\S)[a-z0-9@$!|+](?:\s+[a-z0-9@$!|+]){2,}(?!\S)")
+BESIDE = re.compile(rb"[a-z][0-9@$!|+(]|[0-9@$!|+][a-z]")
+PARTED = re.compile(rb"[a-z0-9@$!|+][._*~-]+[a-z]|[a-z][._*~-]+[a-z0-9@$!|+]")
+DOUBLED = re.compile(rb"([a-z])\1")
+OPENING, CLOSING = b"([{<\"'", b"!.,;:?)]}>\"'"
 #: Symbols of the language model: 0 is no letter, 1 to 26 the letters, 27 any other character.
 SYMBOLS = 28
 
@@ -76,30 +81,36 @@ def language_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p3)
 
 
+def _channel(sign: str) -> tuple[list[tuple[int, float]], bool]:
+    """The letters that a sign may stand for, with their costs, and whether it may stand for nothing."""
+    if "a" <= sign <= "z":
+        return [(ord(sign) - 96, AS_IT_IS)], False
+    letters = STANDS_FOR.get(sign, "")
+    return [(ord(c) - 96, DISGUISED - math.log(len(letters))) for c in letters], sign in SEPARATORS or not letters
+
+
+CHANNEL = {chr(c): _channel(chr(c)) for c in range(128)}
+
+
 def restore(span: str, model: list) -> str:
     """The likeliest word behind a disguised span; states are the last two letters."""
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for sign in span:
-        if "a" <= sign <= "z":
-            options = [(ord(sign) - 96, AS_IT_IS)]
-        else:
-            letters = STANDS_FOR.get(sign, "")
-            options = [(ord(c) - 96, DISGUISED - math.log(len(letters))) for c in letters]
-        silent = sign in SEPARATORS or not options
+        options, silent = CHANNEL.get(sign) or _channel(sign)
         after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-
-        def offer(state, score, path, after=after):
-            if state not in after or score > after[state][0]:
-                after[state] = (score, path)
-
-        for (first, second), (score, path) in states.items():
-            row = model[first][second]
+        for state, (score, path) in states.items():
+            second = state[1]
+            row = model[state[0]][second]
             for letter, cost in options:
-                offer((second, letter), score + cost + row[letter], (path, letter))
+                made, total = (second, letter), score + cost + row[letter]
+                if made not in after or total > after[made][0]:
+                    after[made] = (total, (path, letter))
                 if letter == second:
-                    offer((first, second), score + cost + REPEATED, path)
-            if silent:
-                offer((first, second), score + SILENT, path)
+                    total = score + cost + REPEATED
+                    if state not in after or total > after[state][0]:
+                        after[state] = (total, path)
+            if silent and (state not in after or score + SILENT > after[state][0]):
+                after[state] = (score + SILENT, path)
         states = after
     path = max((score + model[a][b][0], i, path) for i, ((a, b), (score, path)) in enumerate(states.items()))[2]
     letters = []
@@ -110,18 +121,19 @@ def restore(span: str, model: list) -> str:
 
 
 def disguised(token: bytes) -> bool:
-    return bool(MIXED.search(token) or TRIPLE.search(token) or DOTTED.fullmatch(token))
+    """Whether the channel may have made the token of another word."""
+    core = token.lstrip(OPENING).rstrip(CLOSING)
+    return bool(BESIDE.search(core) or DOUBLED.search(core) or PARTED.search(core))
 
 
-def pieces(word: bytes) -> Iterator[bytes]:
+def pieces(word: bytes) -> list[bytes]:
     """The word, its beginnings and the pieces inside it, with marks at its ends."""
+    if word.isascii():
+        inside = [word[i : i + PIECE] for i in range(1, len(word) - PIECE + 1)]
+        return [b"^" + word + b"$", *[b"^" + word[:n] for n in BEGINNINGS if n < len(word)], *inside]
     text = word.decode("utf-8", "ignore")
-    yield b"^" + word + b"$"
-    for n in BEGINNINGS:
-        if n < len(text):
-            yield b"^" + text[:n].encode()
-    for i in range(1, len(text) - PIECE + 1):
-        yield text[i : i + PIECE].encode()
+    begins = [b"^" + text[:n].encode() for n in BEGINNINGS if n < len(text)]
+    return [b"^" + word + b"$", *begins, *[text[i : i + PIECE].encode() for i in range(1, len(text) - PIECE + 1)]]
 
 
 def words_of(token: bytes, model: list | None) -> list[bytes]:
@@ -136,7 +148,7 @@ def tokens_of(text: bytes) -> Counter[bytes]:
     """Tokens of a text and how often they occur, with spaced-out letters as one token each."""
     low = text.lower()
     found = Counter(low.split())
-    found.update(m.group() for m in SPACED.finditer(low))
+    found.update(b" ".join(m.group().split()) for m in SPACED.finditer(low))
     return found
 
 
@@ -154,19 +166,34 @@ class Model:
     prior: float
 
 
+class Pieces:
+    """The distinct pieces of a token's words, remembered while there is room."""
+
+    def __init__(self, language: np.ndarray):
+        self.model, self.memo = language.tolist(), {}
+
+    def of(self, token: bytes) -> tuple[bytes, ...]:
+        found = self.memo.get(token)
+        if found is None:
+            found = tuple({p for w in token_words(token, self.model) for p in pieces(w)})
+            if len(self.memo) >= MEMO // 10:
+                self.memo.clear()
+            self.memo[token] = found
+        return found
+
+
 class Scorer:
     """Evidence of a text: its greatest weights, and numbers of weighty and of all words."""
 
     def __init__(self, language: np.ndarray, weights: dict[bytes, float]):
         self.model, self.weights, self.memo = language.tolist(), weights, {}
+        self.known = {p.removeprefix(AGAIN) for p in weights}
 
     def weighty(self, token: bytes) -> tuple[bytes, ...]:
         """The pieces of a token that may weigh, alone or met in several words."""
         found = self.memo.get(token)
         if found is None:
-            weights = self.weights
-            every = {p for w in token_words(token, self.model) for p in pieces(w)}
-            found = tuple(p for p in every if p in weights or AGAIN + p in weights)
+            found = tuple(self.known.intersection(p for w in token_words(token, self.model) for p in pieces(w)))
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             self.memo[token] = found
@@ -203,16 +230,17 @@ def _trigrams(rows: DataFrame) -> np.ndarray:
 
 def _piece_counts(rows: DataFrame, language: np.ndarray, among=None) -> DataFrame:
     """``half, piece, n``: documents with each piece (of those in the broadcast set, if one is given)."""
+    name = uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, only = language.tolist(), among.value if among else None
+        held, only = per_worker("toxic-pieces", name, lambda: Pieces(language)), among.value if among else None
         for batch in batches:
             counts: Counter[tuple[int, bytes]] = Counter()
             texts = batch.column("text").cast(pa.binary())
             for half, text in zip(batch.column("half").to_pylist(), texts, strict=True):
                 times: Counter[bytes] = Counter()
                 for token in tokens_of(text.as_py()):
-                    times.update({p for w in token_words(token, model) for p in pieces(w)})
+                    times.update(held.of(token))
                 found = {*times, *(AGAIN + p for p, n in times.items() if n > 1)}
                 counts.update((half, p) for p in (found if only is None else found & only))
             columns = [pa.array([k[0] for k in counts], pa.int32()), pa.array([k[1] for k in counts], pa.binary())]
@@ -305,10 +333,10 @@ def train(
 
 def _evidence(rows: DataFrame, language: np.ndarray, weights: dict, more: list[str]) -> DataFrame:
     """``doc_id``, ``more`` columns and the figures of evidence."""
-    shipped = rows.sparkSession.sparkContext.broadcast((language, weights))
+    shipped, name = rows.sparkSession.sparkContext.broadcast((language, weights)), uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*shipped.value)
+        scorer = per_worker("toxic-scorer", name, lambda: Scorer(*shipped.value))
         for batch in batches:
             found = [scorer.evidence(t.as_py()) for t in batch.column("text").cast(pa.binary())]
             kept = [batch.column(c) for c in ("doc_id", *more)]

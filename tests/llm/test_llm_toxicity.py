@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -16,11 +17,46 @@ def model():
 @pytest.mark.parametrize(
     ("shown", "meant"),
     [("1d10t", "idiot"), ("i d i o t", "idiot"), ("idiooooot", "idiot"), ("m0r0n", "moron"), ("$tupid", "stupid"),
-     ("c l 0 w n", "clown"), ("d!sgust!ng", "disgusting"), ("p@thetic", "pathetic"), ("l.o.s.e.r", "loser")],
+     ("c l 0 w n", "clown"), ("d!sgust!ng", "disgusting"), ("p@thetic", "pathetic"), ("l.o.s.e.r", "loser"),
+     ("!diot", "idiot"), ("id.iot", "idiot"), ("st-upid", "stupid"), ("stuupid", "stupid"), ("1d1ot", "idiot"), ("m0r0n!!", "moron")],
 )
 def test_restores_disguised_words(model, shown, meant):
     assert toxicity.disguised(shown.encode()) or toxicity.SPACED.search(shown.encode())
-    assert toxicity.restore(shown, model) == meant
+    assert toxicity.restore(shown.rstrip("!"), model) == meant
+
+
+FORMS = {
+    "digits": lambda w, d: "".join({"o": "0", "i": "1", "e": "3", "a": "4", "s": "5", "t": "7"}.get(c, c) if d.random() < 0.6 else c for c in w),
+    "signs": lambda w, d: "".join({"i": "!", "a": "@", "s": "$"}.get(c, c) for c in w),
+    "first sign": lambda w, d: {"i": "!", "a": "@", "s": "$", "t": "+"}.get(w[0], w[0]) + w[1:],
+    "repeats": lambda w, d: w[:2] + w[2] * d.randint(2, 5) + w[3:],
+    "blanks": lambda w, d: " ".join(w),
+    "two blanks": lambda w, d: "  ".join(w),
+    "tabs": lambda w, d: "\t".join(w),
+    "lines": lambda w, d: "\n".join(w),
+    "dots": lambda w, d: ".".join(w),
+    "one separator": lambda w, d: w[:3] + d.choice(".-_*") + w[3:],
+}
+
+
+@pytest.mark.parametrize("form", list(FORMS))
+def test_held_out_recall_of_every_disguise(spark, learned_plain, form):
+    """Words learned undisguised are seen through every form."""
+    draw, words = random.Random(form), ["idiot", "moron", "stupid", "loser", "clown", "pathetic"]
+    texts = [f"you are really {FORMS[form](draw.choice(words), draw)} and {FORMS[form](draw.choice(words), draw)} again" for _ in range(60)]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    found = toxicity.score(asked, learned_plain).collect()
+    assert sum(r["score"] >= 0.5 for r in found) >= 57
+
+
+@pytest.fixture(scope="module")
+def learned_plain(spark):
+    draw = random.Random(3)
+    bad, fine = ["idiot", "moron", "stupid", "loser", "clown", "pathetic"], ["weather", "river", "evening", "train", "garden", "kettle", "yellow"]
+    rest = ["you", "are", "really", "and", "again", "the", "book", "letter", "small", "room", "number", "said"]
+    rows = [(i, " ".join([*draw.sample(rest, 6), *draw.sample(bad if i % 2 else fine, 2)])) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    return toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id BIGINT, toxic INT"))
 
 
 def test_viterbi_is_the_best_path(model):
