@@ -5,7 +5,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from compare import connect, difference
+
 from passagerank.llm import suffix_dedup as sd
+from passagerank.llm.oracle import SQL
 from passagerank.llm.queries import QUERIES
 
 
@@ -46,8 +49,11 @@ def test_query_equals_brute_force(spark, dir_):
                 gone[i + 400] -= 1
         spans, n, kept = expected(t, np.cumsum(gone[:-1]) > 0)
         wanted[doc_id] = (len(t), n, len(spans), kept)
-    found = QUERIES["op11_suffix_dedup"](spark, f"/root/testdata/{dir_}").collect()
+    df = QUERIES["op11_suffix_dedup"](spark, f"/root/testdata/{dir_}")
+    found = df.collect()
     assert len(found) == len(rows)
+    result = connect(f"/root/testdata/{dir_}").execute(SQL["op11_suffix_dedup"])
+    assert difference(found, df.columns, result.fetchall(), [d[0] for d in result.description]) is None
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found} == wanted
     assert any(0 < r["n_removed"] < r["n_bytes"] for r in found)
 

@@ -6,7 +6,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from compare import connect
+
 from passagerank.llm import variants
+from passagerank.llm.oracle import SQL
 from passagerank.llm.queries import QUERIES
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -72,6 +75,10 @@ def test_query_equals_brute_force(spark, dir_):
     found = as_dict(QUERIES["op13_variants"](spark, f"/root/testdata/{dir_}"))
     wanted = grouped(counted(rows))
     assert found == wanted and any(v[0] for v in wanted.values())
+    result = connect(f"/root/testdata/{dir_}").execute(SQL["op13_variants"])
+    names = [d[0] for d in result.description]
+    by_sql = {r["word"]: tuple(r[c] for c in ("form", "root", "n", "n_near", "form_n")) for r in (dict(zip(names, row, strict=True)) for row in result.fetchall())}
+    assert by_sql == wanted
 
 
 def random_words(draw, n, letters="abé", least=7, most=12):
