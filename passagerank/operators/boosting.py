@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from passagerank.operators.pairs import lambda_gradients
 from passagerank.operators.sizing import lookup_join
-from passagerank.operators.trees import COLUMNS, RankModel, leaf_last
+from passagerank.operators.trees import COLUMNS, RankModel, tree_table
 from passagerank.operators.workspace import cut
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -451,7 +451,7 @@ def as_nodes(tree: Tree, gains: dict, bounds: list[np.ndarray], number: int) ->
                 "feature": -1, "threshold": float("inf"), "left": at[leaf], "right": at[leaf],
                 "value": float(tree.values[leaf]), "gain": 0.0,
             })
-    return leaf_last(rows, number)
+    return tree_table(rows, number)
 
 
 def validated(state: DataFrame, tree: Tree, rate: float, n_features: int, cutoffs: tuple[int, ...]) -> DataFrame:
@@ -548,6 +548,8 @@ def train_lambdamart(
     ``valid`` gives the history of the measures at ``eval_at``; with ``early_stopping`` training ends when the last of
     them has not risen for so many rounds, and the trees after its best round are left out.
     """
+    if max_bins >= WIDTH:
+        raise ValueError(f"max_bins must be below {WIDTH}")
     bounds, n_features = bin_bounds(train, names, max_bins), len(names)
     usual, large = _by_size(train, depth)
     state = cut(blocks(usual, names, bounds, eval_at))

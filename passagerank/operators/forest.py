@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from passagerank.operators.boosting import bin_bounds
 from passagerank.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS
-from passagerank.operators.trees import COLUMNS, SCHEMA, RankModel, from_nodes, leaf_last
+from passagerank.operators.trees import COLUMNS, SCHEMA, RankModel, from_nodes, tree_table
 from passagerank.operators.workspace import cut
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -54,7 +54,7 @@ def grow_exact(values: np.ndarray, target: np.ndarray, weight: np.ndarray, max_d
     # rows of the level's open nodes, node by node, in the order of every feature
     sizes, first, depth = np.array([n]), 0, 0
     if not n:
-        return leaf_last([{"feature": -1, "threshold": np.inf, "left": 0, "right": 0, "value": 0.0, "gain": 0.0}], 0)
+        return tree_table([{"feature": -1, "threshold": np.inf, "left": 0, "right": 0, "value": 0.0, "gain": 0.0}], 0)
     wy = weight * target
     while len(sizes):
         node = np.repeat(np.arange(len(sizes)), sizes)

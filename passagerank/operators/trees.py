@@ -26,7 +26,7 @@ COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 FOLD_NODES, SHIPPED_NODES = 4_000, 4_000_000
 
 
-def leaf_last(rows: list[dict], tree: int) -> pd.DataFrame:
+def tree_table(rows: list[dict], tree: int) -> pd.DataFrame:
     """The nodes of one tree as a table, in order of their numbers."""
     return pd.DataFrame([{"tree": tree, "node": i, **r} for i, r in enumerate(rows)], columns=COLUMNS)
 

@@ -17,7 +17,7 @@ from passagerank.operators import errors, evaluate, expand, index, ltr, search,
 from passagerank.operators.features import DEFAULT_FEATURES, attach_labels, features, filter_qrels, head_topics
 from passagerank.operators.rerank import coverage, rerank, term_coverage
 from passagerank.operators.scoring import BatchScorer
-from passagerank.operators.trees import leaf_last
+from passagerank.operators.trees import tree_table
 from passagerank.operators.workspace import cut
 from passagerank.plans.batch import bm25_batch
 from passagerank.sources import readers, writers
@@ -465,13 +465,13 @@ def given_trees(t: Testbed) -> DataFrame:
     leaf = {"feature": -1, "threshold": float("inf"), "gain": 0.0}
     split = {"value": 0.0, "gain": 1.0}
     nodes = pd.concat([
-        leaf_last([
+        tree_table([
             {**split, "feature": 1, "threshold": 3.5, "left": 1, "right": 2},
             {**leaf, "left": 1, "right": 1, "value": 0.25},
             {**split, "feature": 0, "threshold": 6.000000123, "left": 3, "right": 4},
             {**leaf, "left": 3, "right": 3, "value": 0.5}, {**leaf, "left": 4, "right": 4, "value": 2.0},
         ], 0),
-        leaf_last([
+        tree_table([
             {**split, "feature": 1, "threshold": 1.5, "left": 1, "right": 2},
             {**leaf, "left": 1, "right": 1, "value": -1.0}, {**leaf, "left": 2, "right": 2, "value": 1.0},
         ], 1),
