@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from passagerank.functions import weighting as wm
 from passagerank.functions.text import with_term_groups
+from passagerank.operators.blocks import best_by_blocks, many_matches
 from passagerank.operators.index import LITERAL_TERMS, Index, fetch_docs, index_terms, term_slot
 from passagerank.operators.ranking import top_k
 from passagerank.operators.sizing import measure, skew_join
@@ -94,7 +95,12 @@ def search_with_scores(
     does, 'exact' uses the true length.
     """
     weight = wm.bm25_search(index.collection, k1, b, length_norm)
-    totals = scored(topics, index, [Score("total", weight)])
+    wanted = query_terms(topics, index).withColumn("term_slot", term_slot("term", index.term_slots))
+    size = measure(wanted)
+    if size.rows > 10 * LITERAL_TERMS and (not size.small or many_matches(wanted, index)):
+        totals = best_by_blocks(wanted, index, weight, k)
+    else:
+        totals = scored(topics, index, [Score("total", weight)])
     best = top_k(totals, ["qid"], [F.col("total").desc(), F.col("doc_id")], k, tasks=index.shards)
     return best.select("qid", "doc_id", "rank", wm.unfixed(F.col("total")).alias("score"))
 

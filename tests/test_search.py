@@ -148,3 +148,40 @@ def test_byte_length():
         bits = max(rest, 0).bit_length()
         want = dl if dl < 24 else 24 + ((rest >> max(bits - 4, 0)) << max(bits - 4, 0))
         assert n == want
+
+
+def test_a_batch_of_many_matches_is_scored_in_blocks(spark, index, topics, monkeypatch):
+    """Same rows as the aggregate, with repeated and null query ids, whatever the blocks; no row per match is shuffled."""
+    from passagerank.operators import blocks
+
+    more = topics.union(spark.createDataFrame([(1, "cat"), (None, "car bus"), (8, "near near mat red")], topics.schema))
+
+    def rows(k):
+        return sorted(map(str, se.search_with_scores(more, index, k=k).collect()))
+
+    wanted = {k: rows(k) for k in (1, 2, 1000)}
+    monkeypatch.setattr(se, "LITERAL_TERMS", 0)
+    monkeypatch.setattr(blocks, "MANY_MATCHES", 0)
+    for postings, terms, hits in ((1 << 20, 1 << 20, 1 << 20), (5, 3, 4)):
+        for name, value in (("BLOCK_POSTINGS", postings), ("BLOCK_TERMS", terms), ("BLOCK_HITS", hits)):
+            monkeypatch.setattr(blocks, name, value)
+        assert {k: rows(k) for k in wanted} == wanted
+    assert "FlatMapCoGroupsInArrow" in se.search_with_scores(more, index)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 1)
+    assert {k: rows(k) for k in wanted} == wanted
+
+
+def test_block_hits_merge_shared_ids_and_count_weights_of_nothing():
+    import pyarrow as pa
+
+    from passagerank.operators.blocks import block_hits
+
+    weighed = pa.table({"pair": [3, 3, 9, 3, 9], "doc_id": pa.array(["b", "b", "b", None, "a"]), "w": [2, 5, 0, 7, 0]})
+    marked = pa.table({"query": [1, 1, 2, 2, 4], "pair": [3, 9, 9, 9, 5]})
+    assert block_hits(weighed, marked, 5).to_pylist() == [
+        {"query": 1, "doc_id": None, "total": 7}, {"query": 1, "doc_id": "a", "total": 0}, {"query": 1, "doc_id": "b", "total": 7},
+        {"query": 2, "doc_id": "a", "total": 0}, {"query": 2, "doc_id": "b", "total": 0},
+    ]
+    assert block_hits(weighed, marked, 1).to_pylist() == [
+        {"query": 1, "doc_id": None, "total": 7}, {"query": 2, "doc_id": "a", "total": 0},
+    ]
