@@ -23,20 +23,22 @@ from passagerank.operators.workspace import cut
 # executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: A batch of more (query, posting) matches is scored in blocks.
+#: A batch of more (query, posting) matches, with a posting matched by so many queries on average, is scored in blocks.
 MANY_MATCHES = 10_000_000
+MANY_QUERIES = 64
 BLOCK_POSTINGS = 4_000_000
 BLOCK_TERMS = 1_000_000
-BLOCK_HITS = 8_000_000
+BLOCK_HITS = 2_000_000
 # A term of this share of a block's documents is added as a whole row.
 _DENSE = 8
 
 
 def many_matches(wanted: DataFrame, index: Index) -> bool:
-    """Whether ``wanted(qid, term, qtf, term_slot)``, small enough for a broadcast, has more matches than ``MANY_MATCHES``."""
+    """Whether ``wanted(qid, term, qtf, term_slot)``, small enough for a broadcast, is worth scoring in blocks."""
     asked = wanted.groupBy("term_slot", "term").agg(F.count(F.lit(1)).alias("__n"))
     known = index.term_stats.join(F.broadcast(asked), ["term_slot", "term"])
-    return (known.agg(F.sum(F.col("df") * F.col("__n"))).first()[0] or 0) > MANY_MATCHES
+    row = known.agg(F.sum(F.col("df") * F.col("__n")).alias("matches"), F.sum("df").alias("postings")).first()
+    return (row["matches"] or 0) > max(MANY_MATCHES, MANY_QUERIES * (row["postings"] or 0))
 
 
 def best_by_blocks(wanted: DataFrame, index: Index, weight: Column, k: int) -> DataFrame:
@@ -73,7 +75,9 @@ def best_by_blocks(wanted: DataFrame, index: Index, weight: Column, k: int) -> D
     weighed = weighed.withColumn("pack", F.explode(F.sequence(F.lit(0), F.lit(packs - 1))))
 
     kind = index.postings.schema["doc_id"].dataType.simpleString()
-    both = weighed.groupBy("part", "pack").cogroup(marked.groupBy("part", "pack"))
+    # tasks enough that few hold two blocks, whatever the session's number of shuffle partitions
+    at = (4 * parts * packs, "part", "pack")
+    both = weighed.repartition(*at).groupBy("part", "pack").cogroup(marked.repartition(*at).groupBy("part", "pack"))
     hits = both.applyInArrow(_block_hits(k), f"query BIGINT, doc_id {kind}, total BIGINT")
     found = hits.join(named, "query")
     return found.select("qid", "doc_id", "total")
