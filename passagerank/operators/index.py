@@ -37,9 +37,9 @@ from passagerank.functions.weighting import Collection
 from passagerank.operators.sizing import lookup_join, measure, skew_join
 from passagerank.operators.workspace import cut
 
-# One shard holds about this much text; with 16 term slots its files stay near 100 MB.
-SHARD_BYTES = 2 << 30
-LEAST_SHARD_BYTES = 64 << 20
+# One shard holds about this much of the estimated corpus (file bytes, where it is read from files), so that a task of a
+# build or a search holds as much whatever the size of the corpus.
+SHARD_BYTES = 8 << 20
 # A greater estimate is a guess (no statistics, or a product of two inputs): the text is measured instead.
 TRUSTED_BYTES = 1 << 50
 # Catalyst's own upper limit on buckets.
@@ -110,8 +110,11 @@ def stem_vocabulary(vocabulary: DataFrame, column: str = "term") -> DataFrame:
 
 def stem_dictionary(words: DataFrame) -> DataFrame:
     """``(word, stem)`` of the analyzer's words among the surface forms ``words``: the possessive goes, every word stands once."""
-    bare = F.regexp_replace("word", "['’]s$", "").alias("word")
-    return stem_vocabulary(words.select(bare).distinct(), "word")
+    return stem_vocabulary(_bare(words).select("word").distinct(), "word")
+
+
+def _bare(words: DataFrame) -> DataFrame:
+    return words.withColumn("word", F.regexp_replace("word", "['’]s$", ""))
 
 
 def stems_for(words: DataFrame, index: Index) -> DataFrame:
@@ -139,12 +142,19 @@ def index_terms(df: DataFrame, column: str, index: Index) -> DataFrame:
     return joined.withColumnRenamed("stem", "term").drop("word")
 
 
-def stemmed_documents(corpus: DataFrame, stems: DataFrame, stopwords: tuple[str, ...] = STOPWORDS) -> DataFrame:
+def stemmed_documents(corpus: DataFrame, stems: DataFrame, stopwords: tuple[str, ...] = STOPWORDS,
+                      words: DataFrame | None = None) -> DataFrame:
     """As ``document_terms``, with the stems of a dictionary: the words of a document are grouped in its row, and only
-    these groups meet the dictionary.  Where ``corpus`` is partitioned by document, they come back without an exchange."""
+    these groups meet the dictionary.  Where ``corpus`` is partitioned by document, they come back without an exchange.
+
+    ``words(word, df)``, where they are known, tell the frequent words: the corpus is not analyzed once more to count them."""
     given = document_terms(corpus, None, stopwords)
     flat = given.select("doc_id", F.inline_outer("terms")).filter(F.col("term").isNotNull()).withColumnRenamed("term", "word")
-    merged = lookup_join(flat, stems, ["word"]).groupBy("doc_id", "stem").agg(
+    if words is not None and not measure(stems).small:
+        met = skew_join(flat, stems, ["word"], counts=_bare(words).groupBy("word").agg(F.sum("df").alias("count")))
+    else:
+        met = lookup_join(flat, stems, ["word"])
+    merged = met.groupBy("doc_id", "stem").agg(
         F.sum("tf").cast("int").alias("tf"), F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions")
     )
     vectors = merged.groupBy("doc_id").agg(
@@ -294,7 +304,7 @@ def build_index(
         words = spark.read.schema("word STRING, df BIGINT").parquet(f"{root}/words")
         stems = stem_dictionary(words).sortWithinPartitions("word")
         stems.write.mode("errorifexists").parquet(f"{root}/stems")
-        docs = stemmed_documents(placed, spark.read.schema(_STEMS).parquet(f"{root}/stems"), stop_list)
+        docs = stemmed_documents(placed, spark.read.schema(_STEMS).parquet(f"{root}/stems"), stop_list, words)
     columns = ["doc_id", *(["text"] if keep_text else []), "terms", "dl"]
     docs = docs.select(*columns)
     _write_bucketed(docs, f"{root}/docs", shards, "doc_id", "doc_id", None)
@@ -330,12 +340,12 @@ def build_index(
 
 
 def _default_shards(corpus: DataFrame) -> int:
-    """Shards by estimated size: all cores busy from 64 MB a shard on, never more than ``SHARD_BYTES`` each."""
+    """Shards by estimated size, about ``SHARD_BYTES`` each however few the cores are; up to eight for a small corpus."""
     estimate = int(str(corpus._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if estimate > TRUSTED_BYTES:  # the planner does not know
         estimate = corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cores = corpus.sparkSession.sparkContext.defaultParallelism
-    return max(min(cores, 8), min(cores, estimate // LEAST_SHARD_BYTES), min(MAX_SHARDS, estimate // SHARD_BYTES))
+    return max(min(cores, 8), min(MAX_SHARDS, -(-estimate // SHARD_BYTES)))
 
 
 def open_index(spark: SparkSession, path: str) -> Index:

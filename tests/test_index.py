@@ -2,6 +2,7 @@ import re
 
 import pytest
 from corpus_rows import DOCS
+from pyspark.sql import functions as F
 
 from passagerank.operators import index as ix
 
@@ -155,3 +156,29 @@ def test_a_large_run_moves_to_the_documents(spark, index, monkeypatch):
         assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_shards_follow_the_corpus_and_not_the_cores(spark, monkeypatch):
+    """A task of a build or a search holds as much text whatever the size of the corpus."""
+    def of(n):
+        return spark.range(n).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+
+    monkeypatch.setattr(ix, "SHARD_BYTES", 1 << 10)
+    cores = spark.sparkContext.defaultParallelism
+    few, many = ix._default_shards(of(2_000)), ix._default_shards(of(20_000))
+    assert many > 8 * cores and 9 * few <= many <= 11 * few
+
+
+def test_frequent_words_are_known_before_the_corpus_meets_its_stems(corpus, stemmed, monkeypatch):
+    """The corpus is analyzed once, not once more to count its words; frequent ones are salted all the same."""
+    from passagerank.operators import sizing
+
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(sizing, "HOT_ROWS", 2)
+    asked = []
+    hot = sizing.hot_keys
+    monkeypatch.setattr(sizing, "hot_keys", lambda left, keys, n, counts: asked.append(counts) or hot(left, keys, n, counts))
+    docs = ix.stemmed_documents(corpus.repartition(3, "doc_id"), stemmed.stems, words=stemmed.words)
+    assert asked[0] is not None and {"cat", "red"} <= {r["word"] for r in asked[0].filter("count > 2").collect()}
+    columns = ("doc_id", "terms", "dl")
+    assert sorted(docs.select(*columns).collect()) == sorted(stemmed.docs.select(*columns).collect())
