@@ -311,9 +311,11 @@ def build_index(
     spec = _tables(root, id_type, keep_text, shards)
     stored = _attach(spark, {"docs": spec["docs"]})
     postings = _explode_postings(stored["docs"]).withColumn("term_slot", term_slot("term", term_slots))
-    # keep one task per bucket of documents, so that every (slot, bucket) is one sorted file
-    with _setting(spark, "spark.sql.sources.bucketing.autoBucketedScan.enabled", "false"):
-        _write_bucketed(postings, f"{root}/postings", shards, "doc_id", "term", "term_slot")
+    # keep one task per bucket of documents, so that every (slot, bucket) is one sorted file; a task has a file of every slot
+    # open and sorts by the term alone, whose first bytes decide most comparisons
+    one_task = {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+    with _settings(spark, one_task | {"spark.sql.maxConcurrentOutputFileWriters": str(term_slots + 1)}):
+        _write_bucketed(postings.sortWithinPartitions("term"), f"{root}/postings", shards, "doc_id", None, "term_slot")
     stored = _attach(spark, spec)
     slot = F.col("term_slot")
     counts = (
@@ -426,20 +428,23 @@ def _attach(spark: SparkSession, spec: dict[str, str]) -> dict[str, DataFrame]:
 
 
 def _write_bucketed(df, path, shards, bucket, sort, slot):
-    """Write bucket files under ``path`` through a catalog entry that is dropped again (files stay)."""
+    """Write bucket files under ``path`` through a catalog entry that is dropped again (files stay); without ``sort`` rows stay in their order."""
     name = _name(path, "write")
-    writer = df.write.format("parquet").mode("errorifexists").option("path", path)
+    writer = df.write.format("parquet").mode("errorifexists").option("path", path).option("compression", "zstd")
     if slot:
         writer = writer.partitionBy(slot)
-    writer.bucketBy(shards, bucket).sortBy(sort).saveAsTable(name)
+    writer = writer.bucketBy(shards, bucket)
+    (writer.sortBy(sort) if sort else writer).saveAsTable(name)
     df.sparkSession.sql(f"DROP TABLE {name}")
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
+def _settings(spark: SparkSession, values: dict[str, str]):
+    before = {key: spark.conf.get(key) for key in values}
     try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)

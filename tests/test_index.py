@@ -182,3 +182,20 @@ def test_frequent_words_are_known_before_the_corpus_meets_its_stems(corpus, stem
     assert asked[0] is not None and {"cat", "red"} <= {r["word"] for r in asked[0].filter("count > 2").collect()}
     columns = ("doc_id", "terms", "dl")
     assert sorted(docs.select(*columns).collect()) == sorted(stemmed.docs.select(*columns).collect())
+
+
+def test_postings_are_sorted_by_their_term_alone(spark, corpus, tmp_path, monkeypatch):
+    """The first bytes of the term decide most comparisons of the sort, not the slot that thousands of rows share."""
+    plans, write, key = {}, ix._write_bucketed, "spark.sql.maxConcurrentOutputFileWriters"
+
+    def told(df, path, *rest):
+        plans[path.rsplit("/", 1)[1]] = (df._jdf.queryExecution().executedPlan().toString(), spark.conf.get(key))
+        write(df, path, *rest)
+
+    before = spark.conf.get(key)
+    monkeypatch.setattr(ix, "_write_bucketed", told)
+    built = ix.build_index(corpus, str(tmp_path / "alone"), stemmer=None, shards=2, term_slots=3)
+    plan, writers = plans["postings"]
+    assert re.findall(r"Sort \[(.*?)\], (true|false)", plan) == [(re.search(r"term#\d+", plan).group() + " ASC NULLS FIRST", "false")]
+    assert int(writers) > 3 and spark.conf.get(key) == before
+    assert {r.term for r in built.postings.filter("doc_id = 7").collect()} == {"cat"}
