@@ -47,10 +47,11 @@ def stored_length(dl: Column) -> Column:
     ``dl - 24`` survive.
     """
     rest = (dl - 24).cast("int")
-    shift = F.greatest(F.length(F.bin(rest)) - 4, F.lit(0))
-    step = F.pow(F.lit(2.0), shift)
-    kept = F.floor(rest / step) * step
-    return F.when(dl < 24, dl.cast("double")).otherwise(F.lit(24.0) + kept)
+    step = F.when(rest < 16, 1)
+    for bits in range(5, 31):
+        step = step.when(rest < (1 << bits), 1 << (bits - 4))
+    step = step.otherwise(1 << 27)
+    return F.when(dl < 24, dl.cast("double")).otherwise(F.lit(24.0) + (rest - rest % step))
 
 
 def bm25_search(c: Collection, k1: float = 0.9, b: float = 0.4, length_norm: str = "byte") -> Column:

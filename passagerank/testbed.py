@@ -125,9 +125,9 @@ class Testbed:
         def pairs(df: DataFrame, text: str) -> DataFrame:
             words = F.regexp_extract_all(F.lower(text), F.lit("[\\p{L}\\p{N}]+"), F.lit(0))
             listed = df.withColumn("__w", words)
-            both = F.transform(
-                F.slice("__w", F.lit(1), F.greatest(F.size("__w") - 1, F.lit(0))),
-                lambda w, i: F.concat_ws(" ", w, F.get("__w", i + 1)),
+            n = F.greatest(F.size("__w") - 1, F.lit(0))
+            both = F.zip_with(
+                F.slice("__w", F.lit(1), n), F.slice("__w", F.lit(2), n), lambda w, after: F.concat(w, F.lit(" "), after)
             )
             return listed.withColumn("__pairs", F.array_distinct(both)).drop("__w")
 

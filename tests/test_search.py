@@ -186,3 +186,18 @@ def test_block_hits_merge_shared_ids_and_count_weights_of_nothing():
     assert block_hits(weighed, marked, 1).to_pylist() == [
         {"query": 1, "doc_id": None, "total": 7}, {"query": 2, "doc_id": "a", "total": 0},
     ]
+
+
+def test_stored_length_needs_no_text(spark):
+    """A length is coarsened by comparisons and a remainder: it is worked out for every match of a search."""
+    from pyspark.sql import functions as F
+
+    from passagerank.functions.weighting import stored_length
+
+    lengths = sorted({*range(0, 3000), *(24 + (1 << b) + d for b in range(4, 31) for d in (-1, 0, 1)), (1 << 31) - 1})
+    df = spark.createDataFrame([(n,) for n in lengths], "dl INT").select("dl", stored_length(F.col("dl")).alias("n"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "bin(" not in plan and "pow" not in plan
+    for dl, n in df.collect():
+        step = 1 << max((dl - 24).bit_length() - 4, 0) if dl >= 24 else 1
+        assert n == (dl if dl < 24 else 24 + (dl - 24) // step * step), dl
