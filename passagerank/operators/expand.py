@@ -118,11 +118,16 @@ def best_feedback_terms(
 def _counted(hits: DataFrame, index: Index, terms: DataFrame) -> DataFrame:
     """As ``feedback_terms``, for ``terms(term, bound)`` and the hits whose ``reached`` the bound reaches.
 
-    Terms are chosen while a document stands once, before its rankings multiply it.
+    Terms are chosen while a document stands once, before its rankings multiply it; of documents that nobody retrieved
+    no term is listed.
     """
-    flat = index.docs.select("doc_id", F.explode("terms.term").alias("term"))
+    hits, vectors = cut(hits), index.docs.select("doc_id", F.col("terms.term").alias("vector"))
+    small = measure(hits).small
+    if small:
+        vectors = vectors.join(F.broadcast(hits.select("doc_id").distinct()), "doc_id", "left_semi")
+    flat = vectors.select("doc_id", F.explode("vector").alias("term"))
     flat = lookup_join(flat, terms, ["term"])
-    joined = flat.join(F.broadcast(hits), "doc_id") if measure(hits).small else skew_join(flat, hits, ["doc_id"])
+    joined = flat.join(F.broadcast(hits), "doc_id") if small else skew_join(flat, hits, ["doc_id"])
     kept = joined.filter(F.col("bound") >= F.col("reached"))
     return kept.groupBy("qid", "term").agg(F.count(F.lit(1)).alias("r"))
 

@@ -49,6 +49,20 @@ def test_expanded_search_counts_repeats(spark, index):
     assert got[2] == pytest.approx({d: 2 * s for d, s in got[1].items()}, abs=1e-8)
 
 
+def test_only_retrieved_documents_are_taken_apart(spark, index, monkeypatch):
+    hits = spark.createDataFrame([(1, 7, 0.0), (2, 7, 0.0), (2, None, 0.0)], "qid BIGINT, doc_id BIGINT, reached DOUBLE")
+    terms = spark.createDataFrame([("cat", 1.0), ("red", 1.0), ("hat", 1.0)], "term STRING, bound DOUBLE")
+    seen, join = [], expand.lookup_join
+
+    def told(left, *rest):
+        seen.extend(r.doc_id for r in left.collect())
+        return join(left, *rest)
+
+    monkeypatch.setattr(expand, "lookup_join", told)
+    assert sorted(map(tuple, expand._counted(hits, index, terms).collect())) == [(1, "cat", 1), (2, "cat", 1)]
+    assert set(seen) == {7}
+
+
 # ------------------------------------------------------------------ spelling
 
 
