@@ -54,6 +54,7 @@ EDGES = b"".join(bytes([b]) for b in range(33, 127) if not chr(b).isalnum())
 #: Letters and their stand-ins one by one with white space between; a letter beside a stand-in; a separator inside a word; a
 #: doubled letter: what the channel may have made.  Signs that only close or open a word are not part of it.
 SPACED = re.compile(rb"(?<!\S)[a-z0-9@$!|+](?:\s+[a-z0-9@$!|+]){2,}(?!\S)")
+SPELLED = frozenset(bytes([b]) for b in b"abcdefghijklmnopqrstuvwxyz0123456789@$!|+")
 BESIDE = re.compile(rb"[a-z][0-9@$!|+(]|[0-9@$!|+][a-z]")
 PARTED = re.compile(rb"[a-z0-9@$!|+][._*~-]+[a-z]|[a-z][._*~-]+[a-z0-9@$!|+]")
 DOUBLED = re.compile(rb"([a-z])\1")
@@ -123,14 +124,17 @@ def restore(span: str, model: list) -> str:
 def disguised(token: bytes) -> bool:
     """Whether the channel may have made the token of another word."""
     core = token.lstrip(OPENING).rstrip(CLOSING)
+    if core.isalpha():  # letters a to z alone: the other two need a sign or a digit
+        return bool(DOUBLED.search(core))
     return bool(BESIDE.search(core) or DOUBLED.search(core) or PARTED.search(core))
 
 
 def pieces(word: bytes) -> list[bytes]:
     """The word, its beginnings and the pieces inside it, with marks at its ends."""
     if word.isascii():
-        inside = [word[i : i + PIECE] for i in range(1, len(word) - PIECE + 1)]
-        return [b"^" + word + b"$", *[b"^" + word[:n] for n in BEGINNINGS if n < len(word)], *inside]
+        begun, size = b"^" + word, len(word)
+        begins = [begun[: n + 1] for n in range(BEGINNINGS.start, min(BEGINNINGS.stop, size))]
+        return [begun + b"$", *begins, *[word[i : i + PIECE] for i in range(1, size - PIECE + 1)]]
     text = word.decode("utf-8", "ignore")
     begins = [b"^" + text[:n].encode() for n in BEGINNINGS if n < len(text)]
     return [b"^" + word + b"$", *begins, *[text[i : i + PIECE].encode() for i in range(1, len(text) - PIECE + 1)]]
@@ -147,8 +151,11 @@ def words_of(token: bytes, model: list | None) -> list[bytes]:
 def tokens_of(text: bytes) -> Counter[bytes]:
     """Tokens of a text and how often they occur, with spaced-out letters as one token each."""
     low = text.lower()
-    found = Counter(low.split())
-    found.update(b" ".join(m.group().split()) for m in SPACED.finditer(low))
+    listed = low.split()
+    found = Counter(listed)
+    # the pattern needs three such tokens in a row: most texts have none, and are not searched
+    if b"\1\1\1" in bytes(map(SPELLED.__contains__, listed)):
+        found.update(b" ".join(m.group().split()) for m in SPACED.finditer(low))
     return found
 
 
@@ -193,7 +200,8 @@ class Scorer:
         """The pieces of a token that may weigh, alone or met in several words."""
         found = self.memo.get(token)
         if found is None:
-            found = tuple(self.known.intersection(p for w in token_words(token, self.model) for p in pieces(w)))
+            listed = [pieces(w) for w in token_words(token, self.model)]
+            found = tuple(self.known.intersection(listed[0] if len(listed) == 1 else [p for found in listed for p in found]))
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             self.memo[token] = found

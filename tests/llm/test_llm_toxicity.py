@@ -123,3 +123,17 @@ def test_language_model_counts_all_documents(spark):
     found = toxicity.train(docs, labels, max_docs=10).language
     wanted = toxicity.language_model(sum(toxicity.trigram_counts(t.encode()) for t in texts))
     assert np.allclose(found, wanted)
+
+
+def test_texts_without_spelled_words_are_not_searched(monkeypatch):
+    spelled = [b"an i d i o t here", b"a b", b"x\ty\n z", b"no\xc3\xa9 a b c\xc3\xa9", b"1 $ ! a", b""]
+    wanted = [toxicity.tokens_of(t) for t in spelled]
+    assert wanted[0][b"i d i o t"] == 1 and wanted[2][b"x y z"] == 1 and wanted[4][b"1 $ ! a"] == 1
+
+    class Never:
+        def finditer(self, text):
+            raise AssertionError(text)
+
+    monkeypatch.setattr(toxicity, "SPACED", Never())
+    assert toxicity.tokens_of(b"a plain text of a few words") == {b"a": 2, b"plain": 1, b"text": 1, b"of": 1, b"few": 1, b"words": 1}
+    assert [toxicity.tokens_of(spelled[i]) for i in (1, 3, 5)] == [wanted[i] for i in (1, 3, 5)]
