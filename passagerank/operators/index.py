@@ -143,29 +143,73 @@ def index_terms(df: DataFrame, column: str, index: Index) -> DataFrame:
 
 
 def stemmed_documents(corpus: DataFrame, stems: DataFrame, stopwords: tuple[str, ...] = STOPWORDS,
-                      words: DataFrame | None = None) -> DataFrame:
+                      words: DataFrame | None = None, shards: int | None = None) -> DataFrame:
     """As ``document_terms``, with the stems of a dictionary: the words of a document are grouped in its row, and only
-    these groups meet the dictionary.  Where ``corpus`` is partitioned by document, they come back without an exchange.
-
-    ``words(word, df)``, where they are known, tell the frequent words: the corpus is not analyzed once more to count them."""
-    given = document_terms(corpus, None, stopwords)
-    flat = given.select("doc_id", F.inline_outer("terms")).filter(F.col("term").isNotNull()).withColumnRenamed("term", "word")
-    if words is not None and not measure(stems).small:
-        met = skew_join(flat, stems, ["word"], counts=_bare(words).groupBy("word").agg(F.sum("df").alias("count")))
+    these groups meet the dictionary.  Where ``corpus`` is partitioned by document, as ``shards`` has it done here, they come
+    back without an exchange.
+
+    A dictionary beyond a broadcast is divided among ``shards`` of the documents: every shard asks for the stems of its own
+    distinct words, and only words that a stem shortens come back to it.  Neither the groups nor their positions move.
+    ``words(word, df)``, where they are known, bound in how many shards a word stands: the corpus is not analyzed once more
+    to count them."""
+    if measure(stems).small:
+        placed, place = corpus.repartition(shards, "doc_id") if shards else corpus, []
+        flat = _word_groups(placed, place, stopwords)
+        met = flat.join(F.broadcast(stems), "word")
     else:
-        met = lookup_join(flat, stems, ["word"])
-    merged = met.groupBy("doc_id", "stem").agg(
+        shards = shards or int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        shard, place = _shard(corpus.sparkSession, shards), ["__shard"]
+        # by the expression and not by the column: all readers then need the same two columns, and one exchange serves them
+        placed = corpus.repartition(shards, shard).withColumn("__shard", shard)
+        flat = _word_groups(placed, place, stopwords)
+        shortened = _shard_stems(placed, stems, stopwords, words, shards)
+        met = flat.join(shortened.hint("shuffle_hash"), ["__shard", "word"], "left").withColumn("stem", F.coalesce("stem", "word"))
+    merged = met.groupBy(*place, "doc_id", "stem").agg(
         F.sum("tf").cast("int").alias("tf"), F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions")
     )
-    vectors = merged.groupBy("doc_id").agg(
+    vectors = merged.groupBy(*place, "doc_id").agg(
         F.array_sort(F.collect_list(F.struct(F.col("stem").alias("term"), "tf", "positions"))).alias("terms")
     )
-    joined = corpus.join(vectors, "doc_id", "left")
+    # null-safe, as a filter of null ids on one side only would part the exchange that both sides read; a null id has no terms
+    named = vectors.select(*[F.col(c).alias(f"__of_{c}") for c in (*place, "doc_id")], "terms")
+    same = F.col("doc_id").eqNullSafe(F.col("__of_doc_id"))
+    for c in place:
+        same = same & (F.col(c) == F.col(f"__of_{c}"))
+    joined = placed.join(named, same, "left").drop(*place, *[f"__of_{c}" for c in (*place, "doc_id")])
     none = F.array().cast(_VECTOR)
-    joined = joined.withColumn("terms", F.coalesce("terms", none))
+    joined = joined.withColumn("terms", F.when(F.col("doc_id").isNotNull(), F.coalesce("terms", none)).otherwise(none))
     return joined.withColumn("dl", F.aggregate("terms", F.lit(0), lambda n, t: n + t["tf"]))
 
 
+def _word_groups(corpus: DataFrame, place: list[str], stopwords: tuple[str, ...]) -> DataFrame:
+    given = document_terms(corpus, None, stopwords)
+    flat = given.select(*place, "doc_id", F.inline_outer("terms"))
+    return flat.filter(F.col("term").isNotNull()).withColumnRenamed("term", "word")
+
+
+def _shard_stems(placed: DataFrame, stems: DataFrame, stopwords: tuple[str, ...], words: DataFrame | None, shards: int) -> DataFrame:
+    """``(__shard, word, stem)`` of the words in every shard that differ from their stem, back at the shard."""
+    listed = placed.select("__shard", F.explode_outer(F.array_distinct(tokens("text", None, stopwords))).alias("word"))
+    own = listed.filter(F.col("word").isNotNull()).distinct()
+    bound = None
+    if words is not None:
+        bound = _bare(words).groupBy("word").agg(F.least(F.sum("df"), F.lit(shards)).alias("count"))
+    met = skew_join(own, stems, ["word"], counts=bound)
+    return met.filter(F.col("word") != F.col("stem")).repartition(shards, "__shard")
+
+
+def _shard(spark: SparkSession, shards: int) -> Column:
+    """A number of the document's bucket that Spark's own partitioning sends to the task of just that number: a task then has
+    the documents of one bucket, and plans know what is at home there."""
+    ids, found = 4 * shards, {}
+    while len(found) < shards:
+        ids *= 4
+        numbered = spark.range(ids).groupBy(F.pmod(F.hash("id"), F.lit(shards)).alias("task")).agg(F.min("id").alias("id"))
+        found = {r["task"]: r["id"] for r in numbered.collect()}
+    at = F.pmod(F.hash("doc_id"), F.lit(shards)) + 1
+    return F.coalesce(F.element_at(F.lit([found[task] for task in range(shards)]), at), F.lit(0)).cast("bigint")
+
+
 def document_terms(corpus: DataFrame, stemmer: str | None = "porter",
                    stopwords: tuple[str, ...] = STOPWORDS) -> DataFrame:
     """Corpus with ``dl`` and ``terms``; narrow, no exchange."""
@@ -297,17 +341,20 @@ def build_index(
     data = f"data-{uuid.uuid4().hex}"
     root = f"{path}/{data}"
     surface_words(corpus).sortWithinPartitions("word").write.mode("errorifexists").parquet(f"{root}/words")
-    placed, stop_list = corpus.repartition(shards, "doc_id"), STOPWORDS if stopwords else ()
+    stop_list = STOPWORDS if stopwords else ()
     if stemmer is None:
-        docs = document_terms(placed, None, stop_list)
+        docs = document_terms(corpus.repartition(shards, "doc_id"), None, stop_list)
     else:
         words = spark.read.schema("word STRING, df BIGINT").parquet(f"{root}/words")
         stems = stem_dictionary(words).sortWithinPartitions("word")
         stems.write.mode("errorifexists").parquet(f"{root}/stems")
-        docs = stemmed_documents(placed, spark.read.schema(_STEMS).parquet(f"{root}/stems"), stop_list, words)
+        stems = spark.read.schema(_STEMS).parquet(f"{root}/stems")
+        docs = stemmed_documents(corpus, stems, stop_list, words, shards)
     columns = ["doc_id", *(["text"] if keep_text else []), "terms", "dl"]
     docs = docs.select(*columns)
-    _write_bucketed(docs, f"{root}/docs", shards, "doc_id", "doc_id", None)
+    # what is at home in a shard is joined there, whatever else the keys of a join hold
+    with _settings(spark, {"spark.sql.requireAllClusterKeysForCoPartition": "false"}):
+        _write_bucketed(docs, f"{root}/docs", shards, "doc_id", "doc_id", None)
     spec = _tables(root, id_type, keep_text, shards)
     stored = _attach(spark, {"docs": spec["docs"]})
     postings = _explode_postings(stored["docs"]).withColumn("term_slot", term_slot("term", term_slots))

@@ -199,3 +199,33 @@ def test_postings_are_sorted_by_their_term_alone(spark, corpus, tmp_path, monkey
     assert re.findall(r"Sort \[(.*?)\], (true|false)", plan) == [(re.search(r"term#\d+", plan).group() + " ASC NULLS FIRST", "false")]
     assert int(writers) > 3 and spark.conf.get(key) == before
     assert {r.term for r in built.postings.filter("doc_id = 7").collect()} == {"cat"}
+
+
+def test_only_distinct_words_of_a_shard_move_to_a_large_dictionary(spark, corpus, tmp_path, monkeypatch):
+    """The groups of a document, with their positions, stay where the document is; ids may repeat or be null."""
+    from passagerank.operators import sizing
+
+    more = corpus.union(spark.createDataFrame([(1, "Cats walking, cars' cats"), (None, "a lost cat")], corpus.schema))
+    wanted = ix.build_index(more, str(tmp_path / "small"), shards=3, term_slots=2)
+    plans, write, key = {}, ix._write_bucketed, "spark.sql.autoBroadcastJoinThreshold"
+
+    def told(df, path, *rest):
+        plans[path.rsplit("/", 1)[1]] = df._jdf.queryExecution().executedPlan().toString()
+        write(df, path, *rest)
+
+    monkeypatch.setattr(ix, "_write_bucketed", told)
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 0)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        built = ix.build_index(more, str(tmp_path / "large"), shards=3, term_slots=2)
+    finally:
+        spark.conf.set(key, before)
+    columns = ("doc_id", "terms", "dl")
+    found = sorted(map(str, built.docs.select(*columns).collect()))
+    assert found == sorted(map(str, wanted.docs.select(*columns).collect())) and len(found) == 9
+    dealt = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"Exchange hashpartitioning\((.*), \d+\), ", plans["docs"])]
+    texts = [x for x in dealt if "hash(doc_id" in x]
+    assert len(texts) == 3 and len(set(texts)) == 1  # one of them runs, the others use it again
+    assert sorted(x for x in dealt if x not in texts) == ["__shard", "word", "word"]
+    assert len(list((tmp_path / "large").glob("data-*/docs/*.parquet"))) <= 3
