@@ -98,10 +98,10 @@ def search_with_scores(
     wanted = query_terms(topics, index).withColumn("term_slot", term_slot("term", index.term_slots))
     size = measure(wanted)
     if size.rows > 10 * LITERAL_TERMS and (not size.small or many_matches(wanted, index)):
-        totals = best_by_blocks(wanted, index, weight, k)
+        best = best_by_blocks(wanted, index, weight, k)
     else:
         totals = scored(topics, index, [Score("total", weight)])
-    best = top_k(totals, ["qid"], [F.col("total").desc(), F.col("doc_id")], k, tasks=index.shards)
+        best = top_k(totals, ["qid"], [F.col("total").desc(), F.col("doc_id")], k, tasks=index.shards)
     return best.select("qid", "doc_id", "rank", wm.unfixed(F.col("total")).alias("score"))
 
 

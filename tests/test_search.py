@@ -201,3 +201,43 @@ def test_stored_length_needs_no_text(spark):
     for dl, n in df.collect():
         step = 1 << max((dl - 24).bit_length() - 4, 0) if dl >= 24 else 1
         assert n == (dl if dl < 24 else 24 + (dl - 24) // step * step), dl
+
+
+def test_blocks_give_only_hits_that_reach_a_score(spark, monkeypatch, tmp_path):
+    """Same rows as the aggregate where few documents are looked at first; a query whose score was set too high is scored again."""
+    import random
+
+    from passagerank.operators import blocks
+    from passagerank.operators.index import build_index
+
+    drawn = random.Random(5)
+    texts = [" ".join(drawn.choices("ant bee cow dog elk fox gnu hen".split(), k=drawn.randint(1, 12))) for _ in range(300)]
+    corpus = spark.createDataFrame([*enumerate(texts), (7, "ant bee"), (None, "cow cow dog")], "doc_id BIGINT, text STRING")
+    index = build_index(corpus, str(tmp_path / "many"), stemmer=None, shards=3, term_slots=2)
+    asked = [(f"q{i}", t) for i, t in enumerate([*texts[:20], "ant", "hen zebra", "zebra"])] + [("q1", "ant"), (None, "bee elk")]
+    topics = spark.createDataFrame(asked, "qid STRING, query STRING")
+
+    def rows():
+        return sorted(map(str, se.search_with_scores(topics, index, k=20).collect()))
+
+    wanted = rows()
+    monkeypatch.setattr(se, "LITERAL_TERMS", 0)
+    for name, value in (("MANY_MATCHES", 0), ("MANY_QUERIES", 0), ("LEAST_POSTINGS", 50), ("MANY_HITS", 0), ("CHUNK_TERMS", 20)):
+        monkeypatch.setattr(blocks, name, value)
+    given, block_hits = [], blocks._block_hits
+    monkeypatch.setattr(blocks, "_block_hits", lambda k: given.append(k) or block_hits(k))
+    assert rows() == wanted and len(given) == 1
+    folder = max((f for f in _folders(spark) if f.name.startswith("hits-")), key=lambda f: f.stat().st_mtime)
+    assert spark.read.parquet(str(folder)).groupBy("query").count().agg({"count": "max"}).first()[0] < 25 * 20
+    monkeypatch.setattr(blocks, "_reach", lambda k: 2)  # far too few: hits are lacking
+    assert rows() == wanted and len(given) == 3
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 1)
+    assert rows() == wanted and len(given) == 5
+
+
+def _folders(spark):
+    from pathlib import Path
+
+    from passagerank.operators.workspace import workspace
+
+    return Path(workspace(spark).removeprefix("file:")).iterdir()
